@@ -39,8 +39,8 @@ def plain(value):
     return value
 
 
-def compare(frame, connection, sql: str) -> str | None:
-    """Reason of a difference, or nothing when columns and all rows agree."""
+def compare(frame, connection, sql: str) -> str:
+    """Reason of a difference, empty when columns and all rows agree."""
     relation = connection.sql(sql)
     if sorted(frame.columns) != sorted(relation.columns):
         return f"columns {sorted(frame.columns)} vs {sorted(relation.columns)}"
@@ -49,7 +49,7 @@ def compare(frame, connection, sql: str) -> str | None:
     places = [relation.columns.index(n) for n in names]
     theirs = Counter(tuple(plain(r[i]) for i in places) for r in relation.fetchall())
     if ours == theirs:
-        return None
+        return "" if ours else "no rows on either side"
     lost, extra = list((theirs - ours).elements()), list((ours - theirs).elements())
     key = lambda row: tuple(str(v) for v in row)
     return (f"rows {sum(ours.values())} vs {sum(theirs.values())}; {len(extra)} only in Spark, {len(lost)} only in oracle\n"
@@ -72,7 +72,7 @@ def main() -> int:
         begun = time.time()
         try:
             frame = QUERIES[key](spark, base)
-            reason = compare(frame, connection, ORACLES[key]) if key in ORACLES else None
+            reason = compare(frame, connection, ORACLES[key]) if key in ORACLES else ""
             rows = "" if key in ORACLES else f"  {frame.count()} rows, no oracle"
         except Exception as error:  # noqa: BLE001 - report and go on with the next key
             reason, rows = f"{type(error).__name__}: {str(error)[:700]}", ""
