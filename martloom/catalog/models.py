@@ -1 +1,183 @@
-"""To come."""
+"""Trained models: each query trains on the sample tables and returns figures about the result."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from martloom.catalog.registry import big, query
+from martloom.models import corpus, metrics, series, training
+from martloom.tables import table
+
+NUMBERS = ["quantity", "discount", "tax"]
+CATEGORIES = ["flag", "kind"]
+
+
+def lines(spark, base) -> DataFrame:
+    """Order lines as a training table: price as target, some discounts missing."""
+    parts = table(spark, base, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type", "p_size")
+    joined = table(spark, base, "lineitem").join(parts, "l_partkey")
+    price = F.col("l_extendedprice")
+    return joined.select(
+        F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_discount").alias("id"), F.col("l_shipdate").alias("ts"),
+        F.col("l_quantity").alias("quantity"), F.when(F.col("l_discount") < 0.1, F.col("l_discount")).alias("discount"),
+        F.col("l_tax").alias("tax"), F.col("l_returnflag").alias("flag"), F.col("p_type").alias("kind"),
+        price.alias("label"), F.when(price > 40_000, 1.0).otherwise(0.0).alias("large"))
+
+
+def _regression(spark, base, kind: str) -> DataFrame:
+    """Metrics of a model and of the mean on held-out rows."""
+    train, test = training.split(lines(spark, base), "id")
+    fitted = training.fit([*training.preparation(NUMBERS, CATEGORIES), training.model(kind)], train)
+    return _named({kind: metrics.regression_metrics(fitted.transform(test)), "mean": metrics.regression_metrics(metrics.constant_mean(train, test))})
+
+
+def _classification(spark, base, kind: str) -> DataFrame:
+    """Metrics of a model and of the majority class on held-out rows."""
+    data = lines(spark, base).withColumn("label", F.col("large"))
+    train, test = training.split(training.signed(data), "id")
+    fitted = training.fit([*training.preparation(NUMBERS, CATEGORIES), training.model(kind)], train)
+    scored = fitted.transform(test)
+    if kind == "ridge_class":
+        scored = scored.withColumn("prediction", F.when(F.col("prediction") > 0, 1.0).otherwise(0.0))
+    return _named({kind: metrics.confusion(scored), "majority": metrics.confusion(metrics.majority(train, test))})
+
+
+def _named(results: dict[str, DataFrame]) -> DataFrame:
+    frames = [frame.select(F.lit(name).alias("model"), *[F.round(F.col(c).cast("double"), 6).alias(c) for c in frame.columns]) for name, frame in results.items()]
+    return reduce(DataFrame.unionByName, frames)
+
+
+@query("l15_prepare_features", """
+WITH f AS (SELECT c_custkey, coalesce(b, avg(b) OVER ()) AS b, c_mktsegment FROM (SELECT c_custkey, CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS b, c_mktsegment FROM customer)),
+ s AS (SELECT c_mktsegment, row_number() OVER (ORDER BY count(*) DESC, c_mktsegment) - 1 AS place FROM customer GROUP BY c_mktsegment)
+SELECT c_custkey, round((b - avg(b) OVER ()) / stddev_samp(b) OVER (), 6) AS scaled_balance, place AS segment_place FROM f JOIN s USING (c_mktsegment)""")
+def l15(spark, base):
+    """Gaps filled by the mean, numbers scaled, segments encoded by frequency."""
+    customers = table(spark, base, "customer").select("c_custkey", F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")).alias("balance"), "c_mktsegment")
+    ready = training.fit(training.preparation(["balance"], ["c_mktsegment"]), customers).transform(customers)
+    values = vector_to_array("features")
+    return ready.select("c_custkey", F.round(values[0], 6).alias("scaled_balance"),
+                        big(F.array_position(F.slice(values, 2, 100), 1.0) - 1).alias("segment_place"))
+
+
+@query("l16_linear_regression", """
+SELECT round(regr_slope(l_extendedprice, l_quantity), 4) AS slope, round(regr_intercept(l_extendedprice, l_quantity), 2) AS intercept, round(regr_r2(l_extendedprice, l_quantity), 6) AS r2 FROM lineitem""")
+def l16(spark, base):
+    from pyspark.ml.feature import VectorAssembler
+    fitted = training.fit([VectorAssembler(inputCols=["l_quantity"], outputCol="features"), training.model("linear", labelCol="l_extendedprice", solver="normal")],
+                          table(spark, base, "lineitem")).stages[-1]
+    return spark.range(1).select(*[F.round(F.lit(float(v)), d).alias(n) for n, v, d in (
+        ("slope", fitted.coefficients[0], 4), ("intercept", fitted.intercept, 2), ("r2", fitted.summary.r2, 6))])
+
+
+@query("l17_ridge_regression", """
+SELECT round(corr(l_extendedprice, l_quantity) * sy / sx / (1 + 5000.0 / sy), 3) AS slope FROM lineitem, (SELECT stddev_samp(l_extendedprice) AS sy, stddev_samp(l_quantity) AS sx FROM lineitem) GROUP BY sx, sy""")
+def l17(spark, base):
+    """Ridge with one feature, whose solution is known in closed form."""
+    from pyspark.ml.feature import VectorAssembler
+    fitted = training.fit([VectorAssembler(inputCols=["l_quantity"], outputCol="features"), training.model("ridge", labelCol="l_extendedprice", solver="normal", regParam=5000.0)],
+                          table(spark, base, "lineitem")).stages[-1]
+    return spark.range(1).select(F.round(F.lit(float(fitted.coefficients[0])), 3).alias("slope"))
+
+
+@query("l17_ridge_classifier")
+def l17_classifier(spark, base):
+    return _classification(spark, base, "ridge_class")
+
+
+@query("l16_linear_full")
+def l16_full(spark, base):
+    return _regression(spark, base, "linear")
+
+
+@query("l18_tree_regression")
+def l18(spark, base):
+    return _regression(spark, base, "tree")
+
+
+@query("l18_tree_classification")
+def l18_classes(spark, base):
+    return _classification(spark, base, "tree_class")
+
+
+@query("l19_boosting")
+def l19(spark, base):
+    return _regression(spark, base, "boosting")
+
+
+@query("l20_logistic_l1")
+def l20(spark, base):
+    return _classification(spark, base, "logistic")
+
+
+@query("l21_linear_svm")
+def l21(spark, base):
+    return _classification(spark, base, "svm")
+
+
+@query("l23_random_forest")
+def l23(spark, base):
+    return _classification(spark, base, "forest")
+
+
+@query("l24_parameter_search")
+def l24(spark, base):
+    """Random search over the settings of an L1 logistic regression, by cross-validated ROC-AUC."""
+    data = lines(spark, base).withColumn("label", F.col("large"))
+    grid = training.grid_of(regParam=[0.0, 0.001, 0.01], elasticNetParam=[0.0, 1.0])
+    _, tried = training.search([*training.preparation(NUMBERS, CATEGORIES), training.model("logistic", maxIter=10)], grid, BinaryClassificationEvaluator(), data, folds=3, sample=3)
+    return spark.createDataFrame([(float(s["regParam"]), float(s["elasticNetParam"]), round(float(m), 6)) for s, m in tried], "reg_param double, elastic_net double, roc_auc double")
+
+
+@query("l25_time_series_validation")
+def l25(spark, base):
+    """Taxi-style series: hourly purchases, each fold predicted from the hours before it."""
+    events = table(spark, base, "events").filter(F.col("event_type") == "purchase")
+    hours = series.features(series.hourly(events, "ts"), [1, 2, 24]).na.drop().withColumn("label", F.col("n").cast("double"))
+    folded = series.time_folds(hours.withColumn("id", F.unix_seconds("hour")), 3, "hour", "id").persist()
+    results = {}
+    for fold in (1, 2, 3):
+        train, test = series.train_and_test(folded, fold)
+        fitted = training.fit([*training.preparation(["day", "hour_of_day", "lag_1", "lag_2", "lag_24"], []), training.model("linear")], train)
+        results[f"fold {fold}"] = metrics.regression_metrics(fitted.transform(test))
+        results[f"fold {fold} mean"] = metrics.regression_metrics(metrics.constant_mean(train, test))
+    return _named(results)
+
+
+@query("l30_feature_importance")
+def l30(spark, base):
+    """Importance in the tree and loss of quality when a column is dealt out anew."""
+    train, test = training.split(lines(spark, base).drop("ts"), "id")
+    fitted = training.fit([*training.preparation(NUMBERS, []), training.model("tree")], train)
+    own = training.importances(fitted, NUMBERS)
+    evaluator = RegressionEvaluator(metricName="rmse")
+    whole = evaluator.evaluate(fitted.transform(test))
+    rows = [(name, own[name], evaluator.evaluate(fitted.transform(training.permuted(test, "id", name))) - whole) for name in NUMBERS]
+    return spark.createDataFrame([(n, round(a, 6), round(b, 4)) for n, a, b in rows], "feature string, importance double, rmse_gain double")
+
+
+@query("l32_cascade")
+def l32(spark, base):
+    """The predicted price as a feature of the model that predicts large lines."""
+    train, test = training.split(lines(spark, base), "id")
+    first = [*training.preparation(NUMBERS, CATEGORIES), training.model("tree")]
+    second = [*training.preparation(["quantity", "predicted_price"], ["flag"], "features2"), training.model("logistic", labelCol="large", featuresCol="features2")]
+    scored = training.cascade(first, second, train, test, "predicted_price")
+    return _named({"cascade": metrics.confusion(scored, "large"), "majority": metrics.confusion(metrics.majority(train, test, "large"), "large")})
+
+
+@query("l36_toxicity_classifier")
+def l36(spark, base):
+    """Toxic documents out of whole texts, against the majority class."""
+    labels = table(spark, base, "labels").select("doc_id", F.col("toxic").cast("double").alias("label"))
+    data = table(spark, base, "documents").select("doc_id", "text").join(labels, "doc_id")
+    train, test = training.split(data, "doc_id")
+    scored = corpus.text_classifier().fit(corpus.balanced(train)).transform(test)
+    auc = metrics.roc_auc(scored.withColumn("score", vector_to_array("probability")[1])).select("roc_auc")
+    model = metrics.confusion(scored).withColumn("roc_auc", auc.scalar())
+    return _named({"logistic": model, "majority": metrics.confusion(metrics.majority(train, test)).withColumn("roc_auc", F.lit(0.5))})
