@@ -9,8 +9,9 @@ from martloom.catalog.registry import big, day_text, query, time_text
 from martloom.functions.time import calendar, in_day
 from martloom.operators.increments import dimension_rows
 from martloom.operators.ordering import global_row_number
-from martloom.operators.vault import order_lines
+from martloom.operators.vault import message_lines
 from martloom.plans import couriers, counters, customers, geography, groups, money, shipping
+from martloom.session import cut_lineage
 from martloom.streaming import jobs
 from martloom.tables import table
 
@@ -70,7 +71,7 @@ SHIPMENT_SQL = f"""(SELECT DISTINCT shippingid, vendorid, payment_amount, shippi
 SELECT shippingid AS shipping_id, vendorid AS vendor_id, payment_amount::DOUBLE AS payment_amount, shipping_plan_datetime, agreement_id,
  dense_rank() OVER (ORDER BY transfer_type, transfer_model, shipping_transfer_rate) AS shipping_transfer_id, dense_rank() OVER (ORDER BY shipping_country, shipping_country_base_rate) AS id FROM {SHIPMENT_SQL}""")
 def m04(spark, base):
-    log = data.shipping_log(spark, base)
+    log = cut_lineage(data.shipping_log(spark, base))
     info = shipping.shipping_info(log, shipping.country_rates(log), shipping.agreements(log), shipping.transfers(log))
     return info.withColumn("payment_amount", F.col("payment_amount").cast("double"))
 
@@ -94,23 +95,28 @@ SELECT i.shippingid AS shipping_id, vendorid AS vendor_id, transfer_type,
 FROM {SHIPMENT_SQL} i JOIN (SELECT shipping_id, status, shipping_start_fact_datetime AS s, shipping_end_fact_datetime AS e FROM {STATUS_SQL}) x ON i.shippingid = x.shipping_id"""
 
 
-def _datamart(spark, base, plan_based):
-    log = data.shipping_log(spark, base)
-    rates, agreed, kinds = shipping.country_rates(log), shipping.agreements(log), shipping.transfers(log)
-    info = shipping.shipping_info(log, rates, agreed, kinds)
-    mart = shipping.shipping_datamart(info, shipping.shipping_status(log), rates, agreed, kinds, plan_based)
+def _plain(mart):
     return mart.select(*[F.col(c).cast("double").alias(c) if c in ("payment_amount", "vat", "profit") else c for c in mart.columns])
 
 
 @query("m06_shipping_datamart", _datamart_sql("s"))
 def m06(spark, base):
-    return _datamart(spark, base, False)
+    return _plain(shipping.shipping_datamart(data.shipping_log(spark, base)))
 
 
 @query("m06_shipping_datamart_planned", _datamart_sql("shipping_plan_datetime"))
 def m06_planned(spark, base):
     """Delay measured against the planned time."""
-    return _datamart(spark, base, True)
+    return _plain(shipping.shipping_datamart(data.shipping_log(spark, base), plan_based=True))
+
+
+@query("m06_datamart_from_tables", _datamart_sql("s"))
+def m06_tables(spark, base):
+    """The mart joined from dimension, info and status tables."""
+    log = cut_lineage(data.shipping_log(spark, base))
+    rates, agreed, kinds = shipping.country_rates(log), shipping.agreements(log), shipping.transfers(log)
+    info = shipping.shipping_info(log, rates, agreed, kinds)
+    return _plain(shipping.datamart_from_tables(info, shipping.shipping_status(log), rates, agreed, kinds))
 
 
 @query("m07_new_dimension_rows", """
@@ -282,14 +288,12 @@ COUNTED_SQL = f"(SELECT * FROM {data.MESSAGE_LINES_SQL} WHERE status = 'CLOSED')
 
 @query("m19_product_counters", f"SELECT {data.uuid_sql('user_id')} AS user_id, {data.uuid_sql('product_id')} AS product_id, product_name, order_cnt FROM (SELECT user_id, product_id, min(productname) AS product_name, count(*) AS order_cnt FROM {COUNTED_SQL} GROUP BY user_id, product_id)")
 def m19_products(spark, base):
-    from martloom.catalog.vault import vault
-    return counters.product_counters(order_lines(vault(spark, base)))
+    return counters.product_counters(message_lines(data.order_messages(spark, base)))
 
 
 @query("m19_category_counters", f"SELECT {data.uuid_sql('user_id')} AS user_id, {data.uuid_sql('category_name')} AS category_id, category_name, order_cnt FROM (SELECT user_id, category_name, count(*) AS order_cnt FROM {COUNTED_SQL} GROUP BY user_id, category_name)")
 def m19_categories(spark, base):
-    from martloom.catalog.vault import vault
-    return counters.category_counters(order_lines(vault(spark, base)))
+    return counters.category_counters(message_lines(data.order_messages(spark, base)))
 
 
 def _metrics_sql(first: str, last: str, accounts: str) -> str:

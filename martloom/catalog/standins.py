@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from martloom.operators.aggregates import nested_pages
 from martloom.schemas import EVENT_PROPS
+from martloom.sizing import spread_if_small
 from martloom.tables import table
 
 
@@ -29,7 +30,7 @@ def geo_events(spark: SparkSession, base: str) -> DataFrame:
     Five users share a neighbourhood; neighbourhoods are spread over ten degrees, and
     every user moves between three regions.
     """
-    events = events_with_k(spark, base)
+    events = spread_if_small(table(spark, base, "events")).withColumn("k", F.from_json("props", EVENT_PROPS)["k"])
     user, event, k = F.col("user_id"), F.col("event_id"), F.col("k")
     block = F.floor(user / 5).cast("bigint")
     south = (block * 7919) % 10007 + (user % 5) * 4 + event % 4 + (k % 3) * 1700
@@ -94,7 +95,8 @@ def shipping_log(spark: SparkSession, base: str) -> DataFrame:
 
     Country comes from the customer's nation, agreement and transfer from order columns.
     """
-    orders = table(spark, base, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority", "o_orderstatus")
+    orders = spread_if_small(table(spark, base, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority", "o_orderstatus"))
     customers = table(spark, base, "customer").select("c_custkey", "c_nationkey")
     nations = table(spark, base, "nation").select("n_nationkey", "n_name")
     wide = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).join(
@@ -146,7 +148,7 @@ SHIPPING_SQL = """(WITH described AS (
 
 def sales(spark: SparkSession, base: str) -> DataFrame:
     """Order lines as sales rows; ``R`` lines are refunds, the week starts on Monday."""
-    lines = table(spark, base, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag")
+    lines = spread_if_small(table(spark, base, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag"))
     orders = table(spark, base, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     parts = table(spark, base, "part").select("p_partkey", "p_brand")
     joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(parts, F.col("l_partkey") == F.col("p_partkey"))
@@ -164,7 +166,7 @@ SALES_SQL = """(SELECT CAST(date_trunc('week', o_orderdate) AS DATE) AS week, p_
 
 def deliveries(spark: SparkSession, base: str) -> DataFrame:
     """Order lines as deliveries: the supplier is the courier, the discount gives the rating."""
-    lines = table(spark, base, "lineitem")
+    lines = spread_if_small(table(spark, base, "lineitem").select("l_suppkey", "l_shipdate", "l_discount", "l_quantity", "l_extendedprice"))
     couriers = table(spark, base, "supplier").select("s_suppkey", "s_name")
     return lines.join(couriers, F.col("l_suppkey") == F.col("s_suppkey")).select(
         F.col("l_suppkey").alias("courier_id"), F.col("s_name").alias("courier_name"), F.col("l_shipdate").alias("order_ts"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from martloom.catalog.registry import big, query, time_text
 from martloom.functions.numeric import money, money_total
 from martloom.models import bootstrap, corpus, describe, hypothesis, metrics, neighbours, series
+from martloom.sizing import spread_if_small
 from martloom.tables import table
 
 GAPS_SQL = """(SELECT c_custkey, CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS balance, CASE WHEN c_acctbal < 9000 THEN c_mktsegment END AS segment, CASE WHEN c_acctbal > 500 THEN c_name END AS name FROM customer)"""
@@ -344,7 +345,8 @@ STOP_SQL = "(" + ", ".join(f"'{w}'" for w in corpus.STOP_WORDS) + ")"
 WITH t AS (SELECT doc_id, term, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS term FROM documents) WHERE term NOT IN {STOP_SQL} GROUP BY ALL)
 SELECT doc_id, term, n, round(n * ln(((SELECT count(*) FROM documents) + 1)::DOUBLE / (df + 1)), 6) AS weight FROM t JOIN (SELECT term, count(*) AS df FROM t GROUP BY term) USING (term)""")
 def l35(spark, base):
-    return corpus.tf_idf(table(spark, base, "documents"), "doc_id", "text").withColumn("weight", F.round("weight", 6))
+    documents = spread_if_small(table(spark, base, "documents").select("doc_id", "text"))
+    return corpus.tf_idf(documents, "doc_id", "text").withColumn("weight", F.round("weight", 6))
 
 
 @query("l37_batch_log_features", f"""

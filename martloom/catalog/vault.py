@@ -9,7 +9,7 @@ from martloom.catalog.registry import query, time_text
 from martloom.functions.keys import link_hash
 from martloom.operators.increments import unseen
 from martloom.operators.vault import append_unseen, hub, order_lines, order_vault
-from martloom.session import scratch_path
+from martloom.session import cut_lineage, scratch_path
 from martloom.sources import files
 from martloom.tables import table
 
@@ -18,8 +18,11 @@ LINES = data.MESSAGE_LINES_SQL
 
 
 def vault(spark, base):
-    """All vault tables of the order messages, loaded at a fixed time."""
-    return order_vault(data.order_messages(spark, base), F.lit(LOADED).cast("timestamp"))
+    """All vault tables of the order messages, loaded at a fixed time.
+
+    The nested messages are written once, as a topic would hold them.
+    """
+    return order_vault(cut_lineage(data.order_messages(spark, base)), F.lit(LOADED).cast("timestamp"))
 
 
 def _stamped(df, *columns):

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -12,8 +11,6 @@ from martloom.functions.geo import cells_around, distance_km, home_cell
 from martloom.session import cut_lineage
 from martloom.sizing import LITERAL_ROWS, rows_if_bounded
 
-_PLACES = "array<struct<id: bigint, lat: double, lng: double>>"
-
 _HALF_CIRCUMFERENCE_KM = 20_040.0  # fixed value: no two points are farther apart
 
 
@@ -21,21 +18,25 @@ def nearest_place(points: DataFrame, places: DataFrame, key: str, lat: str = "la
                   half_angle: bool = True, bound: int = LITERAL_ROWS) -> DataFrame:
     """Add ``zone_id``, the id of the nearest place (``id, lat, lng``); ties go to the lowest id.
 
-    Up to ``bound`` places become one constant array of the plan and every point is settled
-    where it lies, with no join and no shuffle.  More places than that are searched over a grid.
+    Up to ``bound`` places become one constant array of the plan and every point is settled where it
+    lies, with no join and no shuffle.  More places than that are searched over a grid.
     A point without coordinates gets no place.
     """
-    rows = rows_if_bounded(places.select(F.col("id").cast("bigint"), "lat", "lng"), bound)
+    rows = rows_if_bounded(places.select(F.col("id").cast("bigint"), F.col("lat").cast("double"), F.col("lng").cast("double")), bound)
     if rows is None:
         if not half_angle:
             raise ValueError("the grid search needs the true distance")
         return nearest_by_grid(points, places, key, lat, lng)
-    # a foldable expression: the optimizer turns it into a literal once
-    listed = F.from_json(F.lit(json.dumps([row.asDict() for row in rows])), _PLACES)
-    known = F.col(lat).isNotNull() & F.col(lng).isNotNull()
-    ranked = F.transform(listed, lambda p: F.struct(
-        distance_km(p["lat"], p["lng"], F.col(lat), F.col(lng), half_angle).alias("distance"), p["id"].alias("id")))
-    return points.withColumn("zone_id", F.when(known, F.array_min(ranked)["id"]))
+    if not rows:
+        return points.withColumn("zone_id", F.lit(None).cast("bigint"))
+    # made of constants only, so the optimizer folds it into one literal
+    listed = F.expr("array(" + ", ".join(
+        f"named_struct('id', {row.id}L, 'lat', {row.lat!r}D, 'lng', {row.lng!r}D)" for row in rows) + ")")
+    # the point is bound once per row, not worked out again for every place
+    here = F.array(F.struct(F.col(lat).alias("lat"), F.col(lng).alias("lng")))
+    zone = F.transform(here, lambda at: F.array_min(F.transform(listed, lambda p: F.struct(
+        distance_km(p["lat"], p["lng"], at["lat"], at["lng"], half_angle).alias("distance"), p["id"].alias("id"))))["id"])[0]
+    return points.withColumn("zone_id", F.when(F.col(lat).isNotNull() & F.col(lng).isNotNull(), zone))
 
 
 def nearest_by_grid(points: DataFrame, places: DataFrame, key: str, lat: str = "lat", lng: str = "lon",

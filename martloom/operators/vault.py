@@ -111,3 +111,20 @@ def order_lines(vault: dict[str, DataFrame]) -> DataFrame:
             .join(vault["l_product_category"].select("h_product_pk", "h_category_pk"), "h_product_pk")
             .join(vault["h_category"].select("h_category_pk", "category_name"), "h_category_pk")
             .select("h_order_pk", "h_user_pk", "h_product_pk", "productname", "h_category_pk", "category_name", "status"))
+
+
+def message_lines(messages: DataFrame) -> DataFrame:
+    """Order lines straight from nested messages: the columns of ``order_lines`` without the joins.
+
+    A line sent several times counts once and carries the status of the last message it
+    came with; statuses sent at the same time go by name.
+    """
+    lines = messages.select(
+        F.col("payload.id").alias("order_id"), F.col("payload.date").alias("order_dt"), F.col("payload.status").alias("status"),
+        F.col("payload.user.id").alias("user_id"), F.explode("payload.products").alias("p"))
+    once = lines.groupBy("order_id", "user_id", F.col("p.id").alias("product_id"), F.col("p.category").alias("category_name")).agg(
+        F.max(F.col("p.name")).alias("productname"), F.max(F.struct("order_dt", "status"))["status"].alias("status"))
+    return once.select(
+        joined_key(F.col("order_id")).alias("h_order_pk"), joined_key(F.col("user_id")).alias("h_user_pk"),
+        joined_key(F.col("product_id")).alias("h_product_pk"), "productname",
+        joined_key(F.col("category_name")).alias("h_category_pk"), "category_name", "status")

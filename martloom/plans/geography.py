@@ -22,10 +22,10 @@ def zone_activity(events: DataFrame, places: DataFrame) -> DataFrame:
     month, so events are counted once.
     """
     zoned = nearest_place(events, places, "event_id").select(
-        "event_id", "event_type", "user_id", "ts", "zone_id",
+        "event_id", "event_type", "user_id", "ts", "zone_id", (F.col("lat").isNotNull() & F.col("lon").isNotNull()).alias("located"),
         F.date_trunc("month", "ts").alias("month"), F.date_trunc("week", "ts").alias("week"))
     first = first_per_key(
-        zoned.filter((F.col("event_type") == "message") & F.col("zone_id").isNotNull())
+        zoned.filter((F.col("event_type") == "message") & F.col("located"))
         .select("user_id", "ts", "event_id", "month", "week", "zone_id"), ["user_id"], ["ts", "event_id"])
     registrations = first.groupBy("month", "week", "zone_id").agg(F.count("*").alias("week_user"))
     kinds = ("message", "reaction", "subscription")
@@ -77,9 +77,9 @@ def friend_suggestions(messages: DataFrame, subscriptions: DataFrame, places: Da
     same zone among subscribers of the same channel; each pair is formed once, with the
     smaller id on the left, tested for distance and talks, and mirrored at the end.
     """
-    last = nearest_place(
-        latest_per_key(messages.select("user_id", "ts", "event_id", "lat", "lon"), ["user_id"], ["ts", "event_id"]),
-        places, "event_id").filter(F.col("zone_id").isNotNull()).select("user_id", "zone_id", "lat", "lon")
+    last = latest_per_key(messages.select("user_id", "ts", "event_id", "lat", "lon"), ["user_id"], ["ts", "event_id"])
+    last = nearest_place(last.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull()), places, "event_id").select(
+        "user_id", "zone_id", "lat", "lon")
     members = last.join(subscriptions.select("user_id", "channel").distinct(), "user_id")
     left = members.select(
         F.col("user_id").alias("user_left"), "zone_id", "channel", F.col("lat").alias("left_lat"), F.col("lon").alias("left_lon"),

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-# Row bounds below which a side is small enough to copy to every task.
+# Rows small enough to copy to every task or to write into the plan, and
+# bytes below which an input is dealt out.
 BROADCAST_ROWS = 200_000
 LITERAL_ROWS = 2_000
+SPREAD_BYTES = 64 * 1024 * 1024
 
 
 def rows_if_bounded(df: DataFrame, bound: int = LITERAL_ROWS) -> list[Row] | None:
@@ -27,3 +29,13 @@ def broadcast_if_bounded(df: DataFrame, bound: int = BROADCAST_ROWS) -> DataFram
     """
     counted = df.limit(bound + 1).count()
     return F.broadcast(df) if counted <= bound else df
+
+
+def spread_if_small(df: DataFrame, bound_bytes: int = SPREAD_BYTES) -> DataFrame:
+    """Deal a small input over all cores before work that is heavy per row.
+
+    A small file is mostly a single row group, which one task reads alone.  The size is
+    the planner's own estimate; a larger input already has many tasks and stays as it is.
+    """
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if estimate <= bound_bytes else df
