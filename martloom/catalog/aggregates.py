@@ -9,7 +9,7 @@ from martloom.catalog.registry import big, query
 from martloom.functions.numeric import money, money_total, safe_ratio
 from martloom.functions.time import in_days
 from martloom.operators import aggregates, sets
-from martloom.operators.windows import day_islands
+from martloom.operators.windows import day_islands, time_slices
 from martloom.plans.groups import oldest_groups
 from martloom.tables import table
 
@@ -77,7 +77,8 @@ def a07(spark, base):
 SELECT user_id, CAST(0 AS BIGINT) AS page, string_agg(event_type, ',' ORDER BY ts, event_id) AS journey, count(*) AS steps FROM events GROUP BY user_id""")
 def a08(spark, base):
     events = table(spark, base, "events").select("user_id", "ts", "event_id", "event_type")
-    lists = aggregates.ordered_lists(events, ["user_id"], ["ts", "event_id"], "event_type", F.to_date("ts"), "list")
+    sliced = time_slices(events, ["user_id"], "ts")
+    lists = aggregates.ordered_lists(sliced, ["user_id"], ["ts", "event_id"], "event_type", F.col("_slice"), "list")
     return lists.select("user_id", "page", F.array_join("list", ",").alias("journey"), F.size("list").cast("bigint").alias("steps"))
 
 
@@ -87,7 +88,8 @@ SELECT user_id, (rn - 1) // 7 AS page, string_agg(CAST(event_id AS VARCHAR), ','
 def a08_pages(spark, base):
     """Very long lists continue on further pages; a page size of seven shows it."""
     events = table(spark, base, "events").select("user_id", "ts", "event_id")
-    lists = aggregates.ordered_lists(events, ["user_id"], ["ts", "event_id"], "event_id", F.to_date("ts"), "list", page_elements=7)
+    sliced = time_slices(events, ["user_id"], "ts", most_rows=2)
+    lists = aggregates.ordered_lists(sliced, ["user_id"], ["ts", "event_id"], "event_id", F.col("_slice"), "list", page_elements=7)
     return lists.select("user_id", "page", F.array_join(F.col("list").cast("array<string>"), ",").alias("ids"))
 
 

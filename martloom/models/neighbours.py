@@ -26,8 +26,10 @@ def nearest(queries: DataFrame, train: DataFrame, k: int, block_rows: int = BLOC
     def own(n):
         return F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
     asked = queries.select("id", "vector", own(query_blocks).alias("qb"), blocks(train_blocks).alias("tb"))
-    known = train.select("id", "vector", "label", own(train_blocks).alias("tb"), blocks(query_blocks).alias("qb"))
-    found = asked.groupBy("qb", "tb").cogroup(known.groupBy("qb", "tb")).applyInPandas(
+    # renamed, so that both sides may come from the same frame
+    known = train.select(F.col("id").alias("neighbour_id"), F.col("vector").alias("point"), F.col("label").cast("int").alias("label"),
+                         own(train_blocks).alias("train_block"), blocks(query_blocks).alias("query_block"))
+    found = asked.groupBy("qb", "tb").cogroup(known.groupBy("query_block", "train_block")).applyInPandas(
         lambda q, t: best_in_block(q, t, k), "query_id long, neighbour_id long, distance double, label int")
     # at most k rows per training block reach one query
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "neighbour_id"))
@@ -39,8 +41,8 @@ def best_in_block(queries: pd.DataFrame, train: pd.DataFrame, k: int) -> pd.Data
     columns = ["query_id", "neighbour_id", "distance", "label"]
     if queries.empty or train.empty:
         return pd.DataFrame(columns=columns)
-    a, b = np.stack(queries["vector"]).astype(float), np.stack(train["vector"]).astype(float)
-    train_ids, labels = train["id"].to_numpy(), train["label"].to_numpy()
+    a, b = np.stack(queries["vector"]).astype(float), np.stack(train["point"]).astype(float)
+    train_ids, labels = train["neighbour_id"].to_numpy(), train["label"].to_numpy()
     b_square = (b * b).sum(axis=1)
     rows = []
     for query_id, point in zip(queries["id"], a):

@@ -10,7 +10,7 @@ from martloom.functions.time import local_time
 from martloom.operators.aggregates import PAGE_ELEMENTS, ordered_lists
 from martloom.operators.geo import nearest_place
 from martloom.operators.joins import lookup_join, mirrored
-from martloom.operators.windows import best_island, changes, day_islands, first_per_key, latest_per_key
+from martloom.operators.windows import best_island, changes, day_islands, first_per_key, latest_per_key, time_slices
 from martloom.session import cut_lineage
 
 
@@ -42,9 +42,9 @@ def zone_activity(events: DataFrame, places: DataFrame) -> DataFrame:
 
 
 def city_events(messages: DataFrame, places: DataFrame) -> DataFrame:
-    """Messages with the name of the nearest city: ``user_id, ts, event_id, city``."""
-    zoned = nearest_place(messages, places, "event_id").select("user_id", "ts", "event_id", F.col("zone_id").alias("id"))
-    return lookup_join(zoned, places.select("id", "city"), ["id"], "left").select("user_id", "ts", "event_id", "city")
+    """Messages with the name of the nearest city in place of their coordinates."""
+    zoned = nearest_place(messages, places, "event_id").drop("lat", "lon").withColumnRenamed("zone_id", "id")
+    return lookup_join(zoned, places.select("id", "city"), ["id"], "left").drop("id")
 
 
 def user_travel(messages: DataFrame, places: DataFrame, consecutive_days: int, zone: str = "Australia/Sydney",
@@ -55,14 +55,15 @@ def user_travel(messages: DataFrame, places: DataFrame, consecutive_days: int, z
     a user with up to ``page_elements`` visits has one row, a longer journey continues on
     further rows, while ``travel_count`` is always the whole number.
     """
-    visits = cut_lineage(city_events(messages, places))
-    day = F.to_date("ts")
-    current = latest_per_key(visits, ["user_id"], ["ts", "event_id"]).select(
+    sliced = time_slices(messages.select("user_id", "ts", "event_id", "lat", "lon"), ["user_id"], "ts")
+    visits = cut_lineage(city_events(sliced, places))
+    piece = F.col("_slice")
+    current = latest_per_key(visits.drop("_slice"), ["user_id"], ["ts", "event_id"]).select(
         "user_id", F.col("city").alias("act_city"), local_time(F.col("ts"), zone).alias("local_time"))
-    legs = cut_lineage(changes(visits, ["user_id"], ["ts", "event_id"], "city", day))
+    legs = cut_lineage(changes(visits, ["user_id"], ["ts", "event_id"], "city", piece))
     counts = legs.groupBy("user_id").agg(F.count("city").alias("travel_count"))
-    lists = ordered_lists(legs, ["user_id"], ["ts", "event_id"], "city", day, "travel_array", page_elements)
-    islands = day_islands(visits.select("user_id", "city", day.alias("day")), ["user_id", "city"], "day")
+    lists = ordered_lists(legs, ["user_id"], ["ts", "event_id"], "city", piece, "travel_array", page_elements)
+    islands = day_islands(visits.select("user_id", "city", F.to_date("ts").alias("day")), ["user_id", "city"], "day")
     home = best_island(islands, ["user_id"], "city", consecutive_days).withColumnRenamed("city", "home_city")
     users = current.join(counts, "user_id", "left").join(home, "user_id", "left")
     return users.join(lists, "user_id", "left").select(
