@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from martloom.functions.text import place_name
 from martloom.operators.joins import lookup_join
 from martloom.operators.ordering import exact_quantiles
+from martloom.session import cut_lineage
 
 
 def missing_profile(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -68,7 +69,7 @@ def quartile_bounds(df: DataFrame, column: str, reach: float = 1.5) -> DataFrame
 
 def within_quartiles(df: DataFrame, column: str, reach: float = 1.5) -> DataFrame:
     """Rows inside the whiskers."""
-    bounds = quartile_bounds(df, column, reach)
+    bounds = cut_lineage(quartile_bounds(df, column, reach))  # one row
     low, high = bounds.select("low").scalar(), bounds.select("high").scalar()
     return df.filter((F.col(column) >= low) & (F.col(column) <= high))
 

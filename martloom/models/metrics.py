@@ -48,8 +48,8 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFr
 def thresholds(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """Precision, recall and false-positive share of all rows when accepting ``score`` and above."""
     steps = _by_score(df, label, score, descending=True)
-    totals = df.agg(F.count("*").alias("n")).scalar()
-    positives = df.agg(F.count(F.when(F.col(label) == 1, 1)).alias("p")).scalar()
+    positives = F.col("positives_upto_total")
+    totals = positives + F.col("negatives_upto_total")
     tp, fp = F.col("positives_upto"), F.col("negatives_upto")
     return steps.select(F.col(score).alias("threshold"), safe_ratio(tp, tp + fp).alias("precision"),
                         safe_ratio(tp, positives).alias("recall"), safe_ratio(fp, totals).alias("false_positive_share"))

@@ -53,8 +53,12 @@ def model(kind: str, **params) -> Estimator:
 
 
 def fit(stages: list, train: DataFrame) -> PipelineModel:
-    """Fit a chain of stages."""
-    return Pipeline(stages=stages).fit(train)
+    """Fit a chain of stages; every stage passes over the rows, so they are kept meanwhile."""
+    kept = train.persist()
+    try:
+        return Pipeline(stages=stages).fit(kept)
+    finally:
+        kept.unpersist()
 
 
 def split(df: DataFrame, key: str, test_share: float = 0.25, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
@@ -77,8 +81,12 @@ def search(stages: list, grid: list[dict], evaluator: Evaluator, train: DataFram
     chosen = grid if sample is None or sample >= len(grid) else random.Random(seed).sample(grid, sample)
     last = stages[-1]
     maps = [{last.getParam(name): value for name, value in setting.items()} for setting in chosen]
-    tuned = CrossValidator(estimator=Pipeline(stages=stages), estimatorParamMaps=maps, evaluator=evaluator, numFolds=folds,
-                           parallelism=parallelism, seed=seed).fit(train)
+    kept = train.persist()
+    try:
+        tuned = CrossValidator(estimator=Pipeline(stages=stages), estimatorParamMaps=maps, evaluator=evaluator, numFolds=folds,
+                               parallelism=parallelism, seed=seed).fit(kept)
+    finally:
+        kept.unpersist()
     return tuned.bestModel, list(zip(chosen, tuned.avgMetrics))
 
 

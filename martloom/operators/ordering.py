@@ -33,11 +33,14 @@ def in_order(df: DataFrame, *order: Column) -> DataFrame:
 
 
 def _before(ordered: DataFrame, totals: dict[str, Column]) -> DataFrame:
-    """Per partition, the totals of all earlier partitions (one row per partition)."""
+    """Per partition, the totals of all earlier partitions and of the table (one row per partition)."""
     per_part = ordered.groupBy("_part").agg(*[total.alias(name) for name, total in totals.items()])
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    in_turn = Window.orderBy("_part")
+    earlier = in_turn.rowsBetween(Window.unboundedPreceding, -1)
+    every = in_turn.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return per_part.select(
-        "_part", *[F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(f"{name}_before") for name in totals])
+        "_part", *[F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(f"{name}_before") for name in totals],
+        *[F.sum(name).over(every).alias(f"{name}_total") for name in totals])
 
 
 def _with_before(ordered: DataFrame, totals: dict[str, Column]) -> DataFrame:
@@ -50,13 +53,13 @@ def global_row_number(df: DataFrame, order: list[Column], name: str = "row_numbe
     ordered = in_order(df, *order)
     return (_with_before(ordered, {"_rows": F.max("_pos")})
             .withColumn(name, (F.col("_rows_before") + F.col("_pos")).cast("bigint"))
-            .drop("_part", "_pos", "_rows_before"))
+            .drop("_part", "_pos", "_rows_before", "_rows_total"))
 
 
 def global_ntile(df: DataFrame, tiles: int, order: list[Column], name: str = "tile") -> DataFrame:
     """``ntile(tiles)`` over the whole table: the first ``rows % tiles`` tiles get one row more."""
     ordered = in_order(df, *order)
-    total = ordered.agg(F.count("*").alias("n")).scalar()
+    total = F.col("_rows_total")
     number = F.col("_rows_before") + F.col("_pos") - 1
     size = F.floor(total / tiles)
     extra = total % tiles
@@ -65,11 +68,11 @@ def global_ntile(df: DataFrame, tiles: int, order: list[Column], name: str = "ti
         extra + F.floor((number - in_large) / F.greatest(size, F.lit(1))))
     return (_with_before(ordered, {"_rows": F.max("_pos")})
             .withColumn(name, (tile + 1).cast("bigint"))
-            .drop("_part", "_pos", "_rows_before"))
+            .drop("_part", "_pos", "_rows_before", "_rows_total"))
 
 
 def running_totals(df: DataFrame, order: list[Column], totals: dict[str, Column]) -> DataFrame:
-    """Add, for each entry of ``totals``, its sum up to and including the row.
+    """Add, for each entry of ``totals``, its sum up to and including the row and ``<name>_total``.
 
     Inside a partition the sum is an ordinary window; the offset of earlier partitions
     is added to it.
@@ -90,12 +93,11 @@ def exact_quantiles(df: DataFrame, value: str, shares: list[float]) -> DataFrame
     """
     counted = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("n"))
     spans = running_totals(counted, [F.col(value)], {"upto": F.col("n")})
-    total = spans.agg(F.sum("n").alias("n")).scalar()
     wanted = F.explode(F.array(*[F.lit(float(s)) for s in shares])).alias("share")
     # every span tests the few shares; only the one or two spans of a share pass
     tested = spans.select(F.col(value).cast("double").alias("v"), (F.col("upto") - F.col("n")).alias("first"),
-                          (F.col("upto") - 1).alias("last"), wanted)
-    place = F.col("share") * (total - 1)
+                          (F.col("upto") - 1).alias("last"), "upto_total", wanted)
+    place = F.col("share") * (F.col("upto_total") - 1)
     low, high = F.floor(place), F.ceil(place)
     weight = place - low
     picked = tested.select(
