@@ -32,7 +32,9 @@ def tf_idf(documents: DataFrame, key: str, text: str, stop_words: list[str] = ST
     """
     counts = cut_lineage(term_counts(documents, key, text, stop_words))
     total = documents.agg(F.count("*").alias("n")).scalar()
-    weights = counts.groupBy("term").agg(F.count("*").alias("df")).select("term", F.log((total + 1) / (F.col("df") + 1)).alias("idf"))
+    # one row per word of the vocabulary, counted for the size check and then joined
+    weights = cut_lineage(counts.groupBy("term").agg(F.count("*").alias("df"))
+                          .select("term", F.log((total + 1) / (F.col("df") + 1)).alias("idf")))
     return lookup_join(counts, weights, ["term"]).select(key, "term", "n", (F.col("n") * F.col("idf")).alias("weight"))
 
 
