@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from martloom.catalog import standins as data
 from martloom.catalog.registry import big, day_text, query, time_text
@@ -133,8 +134,8 @@ def f16(spark, base):
     events = data.events_with_k(spark, base)
     body = F.when(F.col("k") % 10 == 0, F.concat(F.lit("{"), F.col("event_id").cast("string"))).otherwise(
         F.concat(F.lit('{"id":'), F.col("event_id").cast("string"), F.lit(',"k":'), F.col("k").cast("string"), F.lit("}")))
-    from pyspark.sql.types import LongType
-    good, bad = messages.split_malformed(events.select(body.alias("value")), EVENT_PROPS.__class__(EVENT_PROPS.fields[:]).add("id", LongType()))
+    schema = StructType([*EVENT_PROPS.fields, StructField("id", LongType())])
+    good, bad = messages.split_malformed(events.select(body.alias("value")), schema)
     return good.select(F.col("event.id").alias("event_id"), "event.k", F.lit(False).alias("broken")).unionByName(
         bad.select(F.regexp_extract("value", r"(\d+)", 1).cast("bigint").alias("event_id"), F.lit(None).cast("bigint").alias("k"), F.lit(True).alias("broken")))
 
