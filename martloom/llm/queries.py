@@ -6,11 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.llm.decontaminate import find_leaks
+from martloom.llm.language import held_out as language_held_out
+from martloom.llm.language import learn as learn_languages
+from martloom.llm.language import predict as predict_language
 from martloom.llm.lines import drop_shared_lines
 from martloom.llm.mixing import mix_sources, mix_sql
 from martloom.llm.neardup import duplicate_groups
 from martloom.llm.quality import judge
 from martloom.llm.texts import table
+from martloom.llm.toxicity import held_out as toxicity_held_out
+from martloom.llm.toxicity import learn as learn_toxicity
+from martloom.llm.toxicity import score_toxicity
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -62,3 +68,17 @@ ORACLES["op6_mixing"] = mix_sql()
 @query
 def op9_decontamination(spark: SparkSession, base: str) -> DataFrame:
     return find_leaks(table(spark, base, "documents"), table(spark, base, "benchmark"))
+
+
+@query
+def op10_language_id(spark: SparkSession, base: str) -> DataFrame:
+    docs = table(spark, base, "documents")
+    trees = learn_languages(docs.filter(~language_held_out(F.col("doc_id"))))
+    return predict_language(docs, trees).withColumn("held_out", language_held_out(F.col("doc_id")))
+
+
+@query
+def op8_toxicity(spark: SparkSession, base: str) -> DataFrame:
+    docs = table(spark, base, "documents")
+    model = learn_toxicity(docs.filter(~toxicity_held_out(F.col("doc_id"))), table(spark, base, "labels"))
+    return score_toxicity(docs, model).withColumn("held_out", toxicity_held_out(F.col("doc_id")))
