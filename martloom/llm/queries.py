@@ -17,6 +17,8 @@ from martloom.llm.texts import table
 from martloom.llm.toxicity import held_out as toxicity_held_out
 from martloom.llm.toxicity import learn as learn_toxicity
 from martloom.llm.toxicity import score_toxicity
+from martloom.llm.warc import read_archives, write_archives
+from martloom.session import scratch_path
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -82,3 +84,10 @@ def op8_toxicity(spark: SparkSession, base: str) -> DataFrame:
     docs = table(spark, base, "documents")
     model = learn_toxicity(docs.filter(~toxicity_held_out(F.col("doc_id"))), table(spark, base, "labels"))
     return score_toxicity(docs, model).withColumn("held_out", toxicity_held_out(F.col("doc_id")))
+
+
+@query
+def op4_warc(spark: SparkSession, base: str) -> DataFrame:
+    folder = scratch_path(spark, "warc")
+    write_archives(table(spark, base, "pages"), folder)
+    return read_archives(spark, folder, payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
