@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.llm.decontaminate import find_leaks
+from martloom.llm.html import extract_text
 from martloom.llm.language import held_out as language_held_out
 from martloom.llm.language import learn as learn_languages
 from martloom.llm.language import predict as predict_language
@@ -17,6 +18,7 @@ from martloom.llm.texts import table
 from martloom.llm.toxicity import held_out as toxicity_held_out
 from martloom.llm.toxicity import learn as learn_toxicity
 from martloom.llm.toxicity import score_toxicity
+from martloom.llm.urls import judge_urls
 from martloom.llm.warc import read_archives, write_archives
 from martloom.session import scratch_path
 
@@ -91,3 +93,13 @@ def op4_warc(spark: SparkSession, base: str) -> DataFrame:
     folder = scratch_path(spark, "warc")
     write_archives(table(spark, base, "pages"), folder)
     return read_archives(spark, folder, payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op7_url_filter(spark: SparkSession, base: str) -> DataFrame:
+    return judge_urls(table(spark, base, "pages"))
+
+
+@query
+def op5_html_text(spark: SparkSession, base: str) -> DataFrame:
+    return extract_text(table(spark, base, "pages"))
