@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from martloom.catalog import standins as data
 from martloom.catalog.registry import big, query
 from martloom.functions.numeric import money, money_total, safe_ratio
-from martloom.functions.time import in_days
+from martloom.functions.time import since_day
 from martloom.operators import aggregates, sets
-from martloom.operators.windows import day_islands, time_slices
+from martloom.operators.windows import day_islands, order_slices
 from martloom.plans.groups import oldest_groups
 from martloom.tables import table
 
@@ -56,7 +56,7 @@ def a04(spark, base):
 SELECT 'once' AS kind, count(*) AS customers FROM (SELECT o_custkey FROM orders WHERE o_orderdate >= TIMESTAMP '2001-06-01' GROUP BY 1 HAVING count(*) = 1)
 UNION ALL SELECT 'more', count(*) FROM (SELECT o_custkey FROM orders WHERE o_orderdate >= TIMESTAMP '2001-06-01' GROUP BY 1 HAVING count(*) > 1)""")
 def a05(spark, base):
-    counts = table(spark, base, "orders").filter(in_days(F.col("o_orderdate"), "2001-06-01", "2100-01-01")).groupBy("o_custkey").count()
+    counts = table(spark, base, "orders").filter(since_day(F.col("o_orderdate"), "2001-06-01")).groupBy("o_custkey").count()
     once = counts.filter("count = 1").agg(F.lit("once").alias("kind"), F.count("*").alias("customers"))
     return once.unionByName(counts.filter("count > 1").agg(F.lit("more").alias("kind"), F.count("*").alias("customers")))
 
@@ -77,7 +77,7 @@ def a07(spark, base):
 SELECT user_id, CAST(0 AS BIGINT) AS page, string_agg(event_type, ',' ORDER BY ts, event_id) AS journey, count(*) AS steps FROM events GROUP BY user_id""")
 def a08(spark, base):
     events = table(spark, base, "events").select("user_id", "ts", "event_id", "event_type")
-    sliced = time_slices(events, ["user_id"], "ts")
+    sliced = order_slices(events, ["user_id"], ["ts", "event_id"])
     lists = aggregates.ordered_lists(sliced, ["user_id"], ["ts", "event_id"], "event_type", F.col("_slice"), "list")
     return lists.select("user_id", "page", F.array_join("list", ",").alias("journey"), F.size("list").cast("bigint").alias("steps"))
 
@@ -88,17 +88,17 @@ SELECT user_id, (rn - 1) // 7 AS page, string_agg(CAST(event_id AS VARCHAR), ','
 def a08_pages(spark, base):
     """Very long lists continue on further pages; a page size of seven shows it."""
     events = table(spark, base, "events").select("user_id", "ts", "event_id")
-    sliced = time_slices(events, ["user_id"], "ts", most_rows=2)
+    sliced = order_slices(events, ["user_id"], ["ts", "event_id"], parts=50)
     lists = aggregates.ordered_lists(sliced, ["user_id"], ["ts", "event_id"], "event_id", F.col("_slice"), "list", page_elements=7)
     return lists.select("user_id", "page", F.array_join(F.col("list").cast("array<string>"), ",").alias("ids"))
 
 
 @query("a09_collect_set", f"""
-SELECT user_id, string_agg(CAST(channel AS VARCHAR), ',' ORDER BY channel) AS channels FROM (SELECT DISTINCT user_id, channel FROM {data.GEO_SQL} WHERE event_type = 'subscription') GROUP BY user_id""")
+SELECT user_id, CAST(0 AS BIGINT) AS page, string_agg(CAST(channel AS VARCHAR), ',' ORDER BY channel) AS channels FROM (SELECT DISTINCT user_id, channel FROM {data.GEO_SQL} WHERE event_type = 'subscription') GROUP BY user_id""")
 def a09(spark, base):
     subscribed = data.geo_events(spark, base).filter(F.col("event_type") == "subscription")
     pages = aggregates.nested_pages(subscribed, ["user_id"], F.col("channel"), "channels")
-    return pages.select("user_id", F.array_join(F.array_sort("channels").cast("array<string>"), ",").alias("channels"))
+    return pages.select("user_id", "page", F.array_join(F.array_sort("channels").cast("array<string>"), ",").alias("channels"))
 
 
 @query("a10_pivot", """

@@ -122,7 +122,7 @@ def f14(spark, base):
 
 
 @query("f15_arrays_overlap", """
-SELECT doc_id, list_has_any(regexp_extract_all(lower(substr(text, 1)), '[a-z]+'), ['data', 'model', 'the']) AS overlaps FROM documents""")
+SELECT doc_id, list_has_any(regexp_extract_all(lower(text), '\\p{L}+'), ['data', 'model', 'the']) AS overlaps FROM documents""")
 def f15(spark, base):
     return table(spark, base, "documents").select(
         "doc_id", F.arrays_overlap(text.words(F.col("text")), F.array(F.lit("data"), F.lit("model"), F.lit("the"))).alias("overlaps"))

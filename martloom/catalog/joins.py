@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from martloom.catalog import standins as data
 from martloom.catalog.registry import big, day_text, query
 from martloom.functions.numeric import money_total
-from martloom.functions.time import calendar, in_days
+from martloom.functions.time import calendar, in_days, since_year
 from martloom.operators import geo, joins
 from martloom.operators.windows import latest_per_key
 from martloom.session import scratch_path
@@ -49,7 +49,7 @@ def j02(spark, base):
 SELECT c_custkey, coalesce(n, 0) AS orders FROM customer LEFT JOIN
  (SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01' GROUP BY o_custkey) ON c_custkey = o_custkey""")
 def j03(spark, base):
-    recent = in_days(F.col("o_orderdate"), "2001-01-01", "2100-01-01")
+    recent = since_year(F.col("o_orderdate"), 2001)
     counts = table(spark, base, "orders").filter(recent).groupBy("o_custkey").agg(F.count("*").alias("n"))
     return table(spark, base, "customer").join(counts, F.col("c_custkey") == F.col("o_custkey"), "left").select(
         "c_custkey", F.coalesce("n", F.lit(0)).alias("orders"))
@@ -77,7 +77,7 @@ SELECT 'plain' AS list, c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o
 UNION ALL SELECT 'with null', c_custkey FROM customer WHERE c_custkey NOT IN (SELECT CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_custkey END FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01')""")
 def j06(spark, base):
     customers = table(spark, base, "customer").select("c_custkey")
-    recent = table(spark, base, "orders").filter(in_days(F.col("o_orderdate"), "2001-01-01", "2100-01-01"))
+    recent = table(spark, base, "orders").filter(since_year(F.col("o_orderdate"), 2001))
     holed = recent.select(F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_custkey")).alias("o_custkey"))
     plain = joins.not_in(customers, "c_custkey", recent, "o_custkey").select(F.lit("plain").alias("list"), "c_custkey")
     return plain.unionByName(joins.not_in(customers, "c_custkey", holed, "o_custkey").select(F.lit("with null").alias("list"), "c_custkey"))
@@ -106,7 +106,7 @@ def j09(spark, base):
 @query("j09_nearest_by_grid", f"SELECT event_id, zone_id FROM {data.ZONED_SQL}")
 def j09_grid(spark, base):
     """The search for very many places, forced here to show that it gives the same result."""
-    return geo.nearest_by_grid(data.geo_events(spark, base), data.places(spark, base), "event_id", first_radius_km=60.0).select("event_id", "zone_id")
+    return geo.nearest_by_grid(data.geo_events(spark, base), data.places(spark, base), first_radius_km=60.0).select("event_id", "zone_id")
 
 
 J10_SQL = f"""(SELECT DISTINCT user_id, user_id // 5 AS block, k FROM {data.EVENTS_K_SQL})"""
@@ -156,7 +156,8 @@ SELECT CAST(strftime(o_orderdate, '%Y%m%d') AS BIGINT) AS date_id, CAST(week(o_o
 FROM orders GROUP BY ALL""")
 def j13(spark, base):
     daily = table(spark, base, "orders").groupBy(F.to_date("o_orderdate").alias("date_actual")).agg(F.count("*").alias("n"))
-    return daily.join(calendar(spark, "1995-01-01", "2001-12-31"), "date_actual").select("date_id", "week_of_year", "n")
+    first, last = daily.agg(F.min("date_actual"), F.max("date_actual")).first()
+    return daily.join(calendar(spark, first, last), "date_actual").select("date_id", "week_of_year", "n")
 
 
 @query("j14_latest_join_back", """
@@ -191,7 +192,7 @@ def j16_salted(spark, base):
     """The lookup for a side too large to copy, forced here to show that it gives the same result."""
     facts = table(spark, base, "lineitem").select(F.col("l_partkey").alias("p_partkey"), "l_orderkey")
     lookup = table(spark, base, "part").select("p_partkey", "p_brand")
-    return joins.salted_join(facts, lookup, ["p_partkey"]).groupBy("p_brand").agg(F.count("*").alias("facts"))
+    return joins.salted_join(facts, lookup, ["p_partkey"], piece_rows=40).groupBy("p_brand").agg(F.count("*").alias("facts"))
 
 
 @query("j17_merge_by_key", """

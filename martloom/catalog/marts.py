@@ -246,17 +246,32 @@ def m15(spark, base):
     return activity.withColumns({"month": day_text("month"), "week": day_text("week")})
 
 
-@query("m16_user_travel", f"""
+TRAVEL_SQL = f"""
 WITH c AS MATERIALIZED (SELECT user_id, ts, event_id, city FROM {data.ZONED_SQL} z JOIN {data.PLACES_SQL} p ON z.zone_id = p.id WHERE event_type = 'message'),
- t AS (SELECT user_id, string_agg(city, ',' ORDER BY ts, event_id) AS travel_array, count(*) AS travel_count FROM (SELECT *, lag(city) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM c) WHERE prev IS NULL OR prev <> city GROUP BY user_id),
+ t AS (SELECT user_id, string_agg(city, ',' ORDER BY ts, event_id) AS travel_array, count(*) AS travel_count FROM (SELECT *, lag(city) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM c) WHERE prev IS NULL OR prev <> city GROUP BY user_id)"""
+
+
+def _travel(spark, base):
+    messages = data.geo_events(spark, base).filter(F.col("event_type") == "message")
+    return geography.user_travel(messages, data.places(spark, base), 27)
+
+
+@query("m16_user_travel", f"""
+{TRAVEL_SQL},
  i AS (SELECT user_id, city, min(day) AS a, max(day) AS b FROM (SELECT user_id, city, day, day - CAST(dense_rank() OVER (PARTITION BY user_id, city ORDER BY day) AS INT) AS grp FROM (SELECT DISTINCT user_id, city, CAST(ts AS DATE) AS day FROM c)) GROUP BY user_id, city, grp),
  h AS (SELECT user_id, city AS home_city FROM i QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY least(b - a, 27) DESC, b DESC, city) = 1),
  l AS (SELECT user_id, arg_max(city, (ts, event_id)) AS act_city, max(ts) AS ts FROM c GROUP BY user_id)
-SELECT user_id, CAST(0 AS BIGINT) AS page, act_city, strftime(timezone('Australia/Sydney', timezone('UTC', ts)), '%Y-%m-%d %H:%M:%S') AS local_time, travel_array, travel_count, home_city FROM l LEFT JOIN t USING (user_id) LEFT JOIN h USING (user_id)""")
+SELECT user_id, act_city, strftime(timezone('Australia/Sydney', timezone('UTC', ts)), '%Y-%m-%d %H:%M:%S') AS local_time, travel_count, home_city FROM l LEFT JOIN t USING (user_id) LEFT JOIN h USING (user_id)""")
 def m16(spark, base):
-    messages = data.geo_events(spark, base).filter(F.col("event_type") == "message")
-    travel = geography.user_travel(messages, data.places(spark, base), 27)
-    return travel.withColumns({"travel_array": F.array_join("travel_array", ","), "local_time": time_text("local_time")})
+    users, _ = _travel(spark, base)
+    return users.withColumn("local_time", time_text("local_time"))
+
+
+@query("m16_travel_array", f"{TRAVEL_SQL} SELECT user_id, CAST(0 AS BIGINT) AS page, travel_array FROM t")
+def m16_array(spark, base):
+    """The visited cities of each user, the child table of ``m16_user_travel``."""
+    _, lists = _travel(spark, base)
+    return lists.withColumn("travel_array", F.array_join("travel_array", ","))
 
 
 @query("m17_friend_suggestions", f"""
@@ -264,13 +279,15 @@ WITH g AS MATERIALIZED (SELECT * FROM {data.ZONED_SQL}),
  l AS (SELECT user_id, arg_max(zone_id, (ts, event_id)) AS zone_id, arg_max(lat, (ts, event_id)) AS lat, arg_max(lon, (ts, event_id)) AS lon FROM g WHERE event_type = 'message' GROUP BY user_id),
  s AS (SELECT DISTINCT user_id, channel FROM g WHERE event_type = 'subscription'),
  d AS (SELECT user_id AS a, message_to AS b FROM g WHERE event_type = 'message' UNION SELECT message_to, user_id FROM g WHERE event_type = 'message')
-SELECT DISTINCT x.user_id AS user_left, y.user_id AS user_right, x.zone_id FROM l x JOIN l y ON x.zone_id = y.zone_id AND x.user_id <> y.user_id JOIN s sx ON sx.user_id = x.user_id JOIN s sy ON sy.user_id = y.user_id AND sx.channel = sy.channel
+SELECT DISTINCT x.user_id AS user_left, y.user_id AS user_right, x.zone_id, '2024-02-01 12:00:00' AS processed_dttm, '2024-02-01 23:00:00' AS local_time FROM l x JOIN l y ON x.zone_id = y.zone_id AND x.user_id <> y.user_id JOIN s sx ON sx.user_id = x.user_id JOIN s sy ON sy.user_id = y.user_id AND sx.channel = sy.channel
 WHERE {data.distance_sql('x.lat', 'x.lon', 'y.lat', 'y.lon')} <= 1.0 AND NOT EXISTS (SELECT 1 FROM d WHERE d.a = x.user_id AND d.b = y.user_id)""")
 def m17(spark, base):
     events = data.geo_events(spark, base)
     messages = events.filter(F.col("event_type") == "message")
     subscriptions = events.filter(F.col("event_type") == "subscription").select("user_id", "channel")
-    return geography.friend_suggestions(messages, subscriptions, data.places(spark, base))
+    pairs = geography.friend_suggestions(messages, subscriptions, data.places(spark, base))
+    report = geography.suggestions_report(pairs, F.lit("2024-02-01 12:00:00").cast("timestamp"))
+    return report.withColumns({"processed_dttm": time_text("processed_dttm"), "local_time": time_text("local_time")})
 
 
 @query("m18_campaign_notifications", f"""
@@ -296,11 +313,12 @@ def m19_categories(spark, base):
     return counters.category_counters(message_lines(data.order_messages(spark, base)))
 
 
-def _metrics_sql(first: str, last: str, accounts: str) -> str:
+def _metrics_sql(first: str | None, last: str | None, accounts: str) -> str:
+    days = f"CAST(transaction_dt AS DATE) BETWEEN DATE '{first}' AND DATE '{last}'" if first else "TRUE"
     return f"""
 SELECT strftime(t.day, '%Y-%m-%d') AS date_update, t.currency_code AS currency_from, amount::DOUBLE * rate AS amount_total, cnt_transactions, cnt_transactions / cnt_accounts AS avg_transactions_per_account, cnt_accounts AS cnt_accounts_make_transactions
 FROM (SELECT CAST(transaction_dt AS DATE) AS day, currency_code, sum(abs(CAST(amount AS DECIMAL(18,2)))) AS amount, count(*) AS cnt_transactions, count(DISTINCT account_number_from) AS cnt_accounts
- FROM {data.TRANSACTIONS_SQL} WHERE status = 'done' AND transaction_type <> 'authorisation' AND {accounts} AND CAST(transaction_dt AS DATE) BETWEEN DATE '{first}' AND DATE '{last}' GROUP BY ALL) t
+ FROM {data.TRANSACTIONS_SQL} WHERE status = 'done' AND transaction_type <> 'authorisation' AND {accounts} AND {days} GROUP BY ALL) t
 JOIN (SELECT day, currency_code, rate FROM {data.RATES_SQL} WHERE currency_code <> 420 UNION ALL SELECT DISTINCT CAST(transaction_dt AS DATE), 420, 1.0::DOUBLE FROM {data.TRANSACTIONS_SQL}) r ON t.day = r.day AND t.currency_code = r.currency_code"""
 
 
@@ -319,8 +337,8 @@ def m20_one_side(spark, base):
     return mart.withColumn("date_update", day_text("date_update"))
 
 
-@query("m21_metrics_backfill", _metrics_sql("1995-01-01", "2001-12-31", BOTH))
+@query("m21_metrics_backfill", _metrics_sql(None, None, BOTH))
 def m21(spark, base):
     """All days in one grouped job."""
-    mart = money.currency_metrics(data.transactions(spark, base), data.rates(spark, base), "1995-01-01", "2001-12-31")
+    mart = money.currency_metrics(data.transactions(spark, base), data.rates(spark, base))
     return mart.withColumn("date_update", day_text("date_update"))

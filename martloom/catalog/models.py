@@ -62,7 +62,7 @@ def l15(spark, base):
     ready = training.fit(training.preparation(["balance"], ["c_mktsegment"]), customers).transform(customers)
     values = vector_to_array("features")
     return ready.select("c_custkey", F.round(values[0], 6).alias("scaled_balance"),
-                        big(F.array_position(F.slice(values, 2, 100), 1.0) - 1).alias("segment_place"))
+                        big(F.array_position(F.slice(values, 2, F.size(values)), 1.0) - 1).alias("segment_place"))
 
 
 @query("l16_linear_regression", """

@@ -342,7 +342,7 @@ STOP_SQL = "(" + ", ".join(f"'{w}'" for w in corpus.STOP_WORDS) + ")"
 
 
 @query("l35_tf_idf", f"""
-WITH t AS (SELECT doc_id, term, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS term FROM documents) WHERE term NOT IN {STOP_SQL} GROUP BY ALL)
+WITH t AS (SELECT doc_id, term, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '\\p{{L}}+')) AS term FROM documents) WHERE term NOT IN {STOP_SQL} GROUP BY ALL)
 SELECT doc_id, term, n, round(n * ln(((SELECT count(*) FROM documents) + 1)::DOUBLE / (df + 1)), 6) AS weight FROM t JOIN (SELECT term, count(*) AS df FROM t GROUP BY term) USING (term)""")
 def l35(spark, base):
     documents = spread_if_small(table(spark, base, "documents").select("doc_id", "text"))

@@ -38,7 +38,7 @@ SELECT event_id, user_id, event_type, previous FROM (SELECT *, lag(event_type) O
 WHERE previous IS NULL OR previous <> event_type""")
 def w04(spark, base):
     events = table(spark, base, "events").select("event_id", "user_id", "event_type", "ts")
-    sliced = windows.time_slices(events, ["user_id"], "ts")
+    sliced = windows.order_slices(events, ["user_id"], ["ts", "event_id"])
     marked = windows.lag_in_slices(sliced, ["user_id"], ["ts", "event_id"], "event_type", F.col("_slice"))
     return marked.filter(F.col("previous").isNull() | (F.col("previous") != F.col("event_type"))).drop("ts", "_slice")
 

@@ -23,5 +23,5 @@ def place_name(text: Column) -> Column:
 
 
 def words(text: Column) -> Column:
-    """Lower-case Latin words of a whole text, in order."""
-    return F.regexp_extract_all(F.lower(text), F.lit(r"([a-z]+)"), F.lit(1))
+    """Lower-case words of a whole text, in order: runs of letters of any script."""
+    return F.regexp_extract_all(F.lower(text), F.lit(r"(\p{L}+)"), F.lit(1))

@@ -21,6 +21,11 @@ def in_days(ts: Column, first: dt.date | str, last: dt.date | str) -> Column:
     return (ts >= F.lit(f"{start}").cast("timestamp_ntz")) & (ts < F.lit(f"{stop}").cast("timestamp_ntz"))
 
 
+def since_day(ts: Column, day: dt.date | str) -> Column:
+    """Rows of ``day`` or later, as a range without an end on the raw column."""
+    return ts >= F.lit(f"{dt.date.fromisoformat(str(day))}").cast("timestamp_ntz")
+
+
 def since_year(ts: Column, year: int) -> Column:
     """Rows of ``year`` or later, again as a range on the raw column."""
     return ts >= F.lit(f"{year}-01-01").cast("timestamp_ntz")

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from martloom.functions.geo import cells_around, distance_km, home_cell
 from martloom.session import cut_lineage
 from martloom.sizing import LITERAL_ROWS, rows_if_bounded
 
-_HALF_CIRCUMFERENCE_KM = 20_040.0  # fixed value: no two points are farther apart
+FAR_KM = 1_600.0  # fixed value: widest grid of the nearest-place search
 
 
 def nearest_place(points: DataFrame, places: DataFrame, key: str, lat: str = "lat", lng: str = "lon",
@@ -19,47 +19,67 @@ def nearest_place(points: DataFrame, places: DataFrame, key: str, lat: str = "la
     """Add ``zone_id``, the id of the nearest place (``id, lat, lng``); ties go to the lowest id.
 
     Up to ``bound`` places become one constant array of the plan and every point is settled where it
-    lies, with no join and no shuffle.  More places than that are searched over a grid.
-    A point without coordinates gets no place.
+    lies, with no join and no shuffle.  More places than that are searched over a grid, or, for the
+    distance with the whole angle, which is not small for near points only, block by block.
+    Every path gives the same ids, row by row, whatever ``key`` holds.  A point without
+    coordinates gets no place.
     """
-    rows = rows_if_bounded(places.select(F.col("id").cast("bigint"), F.col("lat").cast("double"), F.col("lng").cast("double")), bound)
+    sites = places.select(F.col("id").cast("bigint"), F.col("lat").cast("double"), F.col("lng").cast("double"))
+    rows = rows_if_bounded(sites, bound)
     if rows is None:
-        if not half_angle:
-            raise ValueError("the grid search needs the true distance")
-        return nearest_by_grid(points, places, key, lat, lng)
-    if not rows:
-        return points.withColumn("zone_id", F.lit(None).cast("bigint"))
+        return nearest_by_grid(points, sites, lat, lng, bound) if half_angle else _nearest_by_blocks(points, sites, lat, lng, False, bound)
+    nearest = _nearest_of(rows, lat, lng, half_angle)["id"] if rows else F.lit(None).cast("bigint")
+    return points.withColumn("zone_id", nearest)
+
+
+def _nearest_of(rows: list[Row], lat: str, lng: str, half_angle: bool) -> Column:
+    """Struct ``distance, id`` of the nearest of the listed places; null without coordinates."""
     # made of constants only, so the optimizer folds it into one literal
     listed = F.expr("array(" + ", ".join(
         f"named_struct('id', {row.id}L, 'lat', {row.lat!r}D, 'lng', {row.lng!r}D)" for row in rows) + ")")
     # the point is bound once per row, not worked out again for every place
     here = F.array(F.struct(F.col(lat).alias("lat"), F.col(lng).alias("lng")))
-    zone = F.transform(here, lambda at: F.array_min(F.transform(listed, lambda p: F.struct(
-        distance_km(p["lat"], p["lng"], at["lat"], at["lng"], half_angle).alias("distance"), p["id"].alias("id"))))["id"])[0]
-    return points.withColumn("zone_id", F.when(F.col(lat).isNotNull() & F.col(lng).isNotNull(), zone))
+    best = F.transform(here, lambda at: F.array_min(F.transform(listed, lambda p: F.struct(
+        distance_km(p["lat"], p["lng"], at["lat"], at["lng"], half_angle).alias("distance"), p["id"].alias("id")))))[0]
+    return F.when(F.col(lat).isNotNull() & F.col(lng).isNotNull(), best)
+
 
+def _nearest_by_blocks(points: DataFrame, places: DataFrame, lat: str, lng: str, half_angle: bool, bound: int) -> DataFrame:
+    """Nearest place with the places as constants, ``bound`` of them (by hash of the id) at a time."""
+    blocks = max(1, -(-places.count() // max(1, bound // 2)))
+    best = points.withColumn("_best", F.lit(None).cast("struct<distance:double,id:bigint>"))
+    for block in range(blocks):
+        rows = places.filter(F.pmod(F.xxhash64("id", "lat", "lng"), F.lit(blocks)) == block).collect()
+        if rows:
+            best = best.withColumn("_best", F.least("_best", _nearest_of(rows, lat, lng, half_angle)))
+    return best.withColumn("zone_id", F.col("_best.id")).drop("_best")
 
-def nearest_by_grid(points: DataFrame, places: DataFrame, key: str, lat: str = "lat", lng: str = "lon",
+
+def nearest_by_grid(points: DataFrame, places: DataFrame, lat: str = "lat", lng: str = "lon", bound: int = LITERAL_ROWS,
                     first_radius_km: float = 25.0) -> DataFrame:
     """Exact nearest place for any number of places.
 
-    Points look for places within a radius over a grid of that size; whoever finds none
-    goes on with four times the radius, up to half the globe.
+    Points look for places within a radius over a grid of that size; whoever finds none goes on
+    with four times the radius.  The few that lie farther than ``FAR_KM`` from every place are
+    compared with the places block by block, because a grid that coarse has only a few cells.
+    Rows are told apart by a number of their own, so keys may repeat or be null.
     """
-    open_points = points.filter(F.col(lat).isNotNull() & F.col(lng).isNotNull()).select(key, lat, lng)
+    numbered = cut_lineage(points.withColumn("_row", F.monotonically_increasing_id()))
+    sites = places.select("id", F.col("lat").alias("_plat"), F.col("lng").alias("_plng"))
+    open_points = numbered.filter(F.col(lat).isNotNull() & F.col(lng).isNotNull()).select("_row", lat, lng)
     found, radius = [], first_radius_km
-    while True:
-        last = radius >= _HALF_CIRCUMFERENCE_KM
-        near = within_distance(open_points, places.select("id", F.col("lat").alias("_plat"), F.col("lng").alias("_plng")),
-                               radius, (lat, lng), ("_plat", "_plng"))
-        settled = cut_lineage(near.groupBy(key).agg(F.min(F.struct("distance", "id"))["id"].alias("zone_id")))
+    while radius <= FAR_KM:
+        near = within_distance(open_points, sites, radius, (lat, lng), ("_plat", "_plng"))
+        settled = cut_lineage(near.groupBy("_row").agg(F.min(F.struct("distance", "id"))["id"].alias("zone_id")))
         found.append(settled)
-        open_points = cut_lineage(open_points.join(settled, key, "left_anti"))
-        if last or open_points.isEmpty():
-            break
+        open_points = cut_lineage(open_points.join(settled, "_row", "left_anti"))
         radius *= 4
+        if open_points.isEmpty():
+            break
+    else:
+        found.append(_nearest_by_blocks(open_points, places, lat, lng, True, bound).select("_row", "zone_id"))
     zones = reduce(DataFrame.unionByName, found)
-    return points.join(zones, key, "left")
+    return numbered.join(zones, "_row", "left").drop("_row")
 
 
 def within_distance(left: DataFrame, right: DataFrame, radius_km: float,

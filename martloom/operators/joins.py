@@ -5,33 +5,60 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martloom.sizing import BROADCAST_ROWS, broadcast_if_bounded
+from martloom.sizing import BROADCAST_ROWS, broadcast_if_bounded, is_bounded
 
-# Fixed value: pieces a hot key is dealt over when the lookup side is too large to copy.
-SALTS = 16
+# Facts of one key that one task takes, most keys that are dealt over several tasks, and
+# pieces of the facts without a key.
+PIECE_ROWS = 1_000_000
+HEAVY_KEYS = 10_000
+NULL_PIECES = 64
 
 
 def lookup_join(facts: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner",
-                bound: int = BROADCAST_ROWS, salts: int = SALTS) -> DataFrame:
+                bound: int = BROADCAST_ROWS, piece_rows: int = PIECE_ROWS) -> DataFrame:
     """Join facts to a lookup that has one row per key, whatever the skew of the facts.
 
-    Within ``bound`` rows the lookup is broadcast and the facts do not move.  Beyond it
-    the facts get a random-looking salt from their own columns and each lookup row is
-    repeated once per salt, so a hot key is dealt over ``salts`` tasks.
+    A lookup within its bounds of rows and bytes is broadcast and the facts do not move.
+    Otherwise both are shuffled, and only keys with many facts are dealt over several tasks.
     """
     if how not in ("inner", "left"):
         raise ValueError("a lookup keeps the fact side: use inner or left")
-    if lookup.limit(bound + 1).count() <= bound:
+    if is_bounded(lookup, bound):
         return facts.join(F.broadcast(lookup), on, how)
-    return salted_join(facts, lookup, on, how, salts)
+    return salted_join(facts, lookup, on, how, piece_rows)
 
 
 def salted_join(facts: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner",
-                salts: int = SALTS) -> DataFrame:
-    """Shuffled join that deals every fact key over ``salts`` tasks."""
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(salts))
-    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
-    return facts.withColumn("_salt", salt).join(repeated, [*on, "_salt"], how).drop("_salt")
+                piece_rows: int = PIECE_ROWS, most_heavy: int = HEAVY_KEYS) -> DataFrame:
+    """Shuffled join that deals the facts of heavy keys over tasks of about ``piece_rows`` rows.
+
+    Facts are counted per key first, with map-side combine.  A key is heavy with more than
+    ``piece_rows`` facts, or more than one in ``most_heavy`` of all, so there are at most
+    ``most_heavy`` of them to broadcast, each with its number of pieces.  Only their lookup rows
+    are repeated.  The piece of a fact follows from its columns and its input partition, so equal
+    facts spread too and a repeated task deals them the same way.  Facts with a null key match
+    nothing; in a left join they are dealt at random.
+    """
+    counts = facts.dropna(subset=on).groupBy(*on).agg(F.count("*").alias("_n"))
+    total, most = counts.agg(F.sum("_n"), F.max("_n")).first()
+    if how == "inner" and (most or 0) <= piece_rows:
+        return facts.join(lookup, on, how)
+    least = max(piece_rows, (total or 0) // most_heavy)
+    heavy = F.broadcast(counts.filter(F.col("_n") > least).select(*on, F.ceil(F.col("_n") / least).cast("int").alias("_pieces")))
+    scattered = F.xxhash64(*[F.col(c) for c in facts.columns], F.spark_partition_id())
+    known = F.coalesce("_pieces", F.when(_any_null(on), F.lit(NULL_PIECES)).otherwise(1))
+    dealt = facts.withColumn("_scattered", scattered).join(heavy, on, "left").withColumn(
+        "_piece", F.pmod(F.col("_scattered"), known).cast("int")).drop("_scattered", "_pieces")
+    repeated = lookup.join(heavy, on, "left").withColumn(
+        "_piece", F.explode(F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1))).drop("_pieces")
+    return dealt.join(repeated, [*on, "_piece"], how).drop("_piece")
+
+
+def _any_null(names: list[str]) -> Column:
+    found = F.lit(False)
+    for name in names:
+        found |= F.col(name).isNull()
+    return found
 
 
 def not_in(df: DataFrame, key: str, excluded: DataFrame, excluded_key: str) -> DataFrame:

@@ -16,13 +16,14 @@ from martloom.session import cut_lineage
 _SHIFT = 33  # fixed value: monotonically_increasing_id keeps the partition above bit 33
 
 
-def in_order(df: DataFrame, *order: Column) -> DataFrame:
+def in_order(df: DataFrame, *order: Column, parts: int | None = None) -> DataFrame:
     """``df`` with ``_part`` and ``_pos`` (from 1): its place in the whole order.
 
     The last order column should be a unique key: it makes the order total and lets
-    range partitioning cut through a value that many rows share.
+    range partitioning cut through a value that many rows share.  The number of partitions
+    follows the session and the size of the data unless ``parts`` says otherwise.
     """
-    placed = (df.repartitionByRange(*order)
+    placed = (df.repartitionByRange(*([parts] if parts else []), *order)
               .sortWithinPartitions(*order)
               .withColumn("_place", F.monotonically_increasing_id()))
     kept = cut_lineage(placed)

@@ -5,16 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martloom.sizing import broadcast_if_bounded
-
-SLICE_ROWS = 1_000_000  # fixed value: rows of one key that one task may put in order
+from martloom.operators.ordering import in_order
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The row with the greatest ``order`` per key.
 
-    An aggregate with map-side combine instead of a ranked window: a hot key is reduced
-    in every task before the shuffle.  ``order`` should end in a unique column.
+    One shuffle of reduced rows: an aggregate with map-side combine instead of a ranked window,
+    at the price of a local sort of each task's rows (the buffer holds whole rows).  ``order`` should end in a unique column.
     """
     return _extreme(df, keys, order, F.max_by)
 
@@ -30,22 +28,15 @@ def _extreme(df, keys, order, choose):
     return df.groupBy(*keys).agg(picked).select(*keys, *[F.col("_row")[c].alias(c) for c in rest]).select(*df.columns)
 
 
-def time_slices(df: DataFrame, keys: list[str], ts: str, most_rows: int = SLICE_ROWS, name: str = "_slice") -> DataFrame:
-    """Add the start of the time slice of each row, for the operators that work slice by slice.
+def order_slices(df: DataFrame, keys: list[str], order: list[str], name: str = "_slice", parts: int | None = None) -> DataFrame:
+    """Add the slice of each row, for the operators that work slice by slice.
 
-    A slice is a day.  A day on which one key holds more than ``most_rows`` rows is cut
-    into hours, minutes or seconds, whichever its count asks for, so that even a key with a
-    third of all rows is spread over many tasks.
+    The rows are range-partitioned by key and order, and a slice is a key's share of one
+    partition: it never falls when ``order`` rises.  As ``order`` ends in a unique column, a
+    key with a third of all rows is cut into many slices, even where all its times are equal.
     """
-    stamp = F.col(ts).cast("timestamp")
-    dated = df.withColumn("_day", F.date_trunc("day", stamp))
-    busy = dated.groupBy(*keys, "_day").agg(F.count("*").alias("_n")).filter(F.col("_n") > most_rows)
-    marked = dated.join(broadcast_if_bounded(busy), [*keys, "_day"], "left")
-    cut = (F.when(F.col("_n").isNull(), F.col("_day"))
-           .when(F.col("_n") <= most_rows * 24, F.date_trunc("hour", stamp))
-           .when(F.col("_n") <= most_rows * 1440, F.date_trunc("minute", stamp))
-           .otherwise(F.date_trunc("second", stamp)))
-    return marked.withColumn(name, cut).select(*df.columns, name)
+    placed = in_order(df, *[F.col(c) for c in (*keys, *order)], parts=parts)
+    return placed.withColumn(name, F.col("_part")).select(*df.columns, name)
 
 
 def lag_in_slices(df: DataFrame, keys: list[str], order: list[str], value: str, slice_by: Column,

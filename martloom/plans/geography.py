@@ -10,7 +10,7 @@ from martloom.functions.time import local_time
 from martloom.operators.aggregates import PAGE_ELEMENTS, ordered_lists
 from martloom.operators.geo import nearest_place
 from martloom.operators.joins import lookup_join, mirrored
-from martloom.operators.windows import best_island, changes, day_islands, first_per_key, latest_per_key, time_slices
+from martloom.operators.windows import best_island, changes, day_islands, first_per_key, latest_per_key, order_slices
 from martloom.session import cut_lineage
 
 
@@ -48,14 +48,14 @@ def city_events(messages: DataFrame, places: DataFrame) -> DataFrame:
 
 
 def user_travel(messages: DataFrame, places: DataFrame, consecutive_days: int, zone: str = "Australia/Sydney",
-                page_elements: int = PAGE_ELEMENTS) -> DataFrame:
-    """Current city, local time, visited cities and home city per user.
+                page_elements: int = PAGE_ELEMENTS) -> tuple[DataFrame, DataFrame]:
+    """Current city, local time, number of visited cities and home city, and the cities themselves.
 
-    ``messages`` has ``user_id, ts, event_id, lat, lon``.  ``travel_array`` comes in pages:
-    a user with up to ``page_elements`` visits has one row, a longer journey continues on
-    further rows, while ``travel_count`` is always the whole number.
+    ``messages`` has ``user_id, ts, event_id, lat, lon``.  The first frame has one row per user.
+    The second one is its child table ``user_id, page, travel_array``: a journey of more than
+    ``page_elements`` cities continues on further pages.
     """
-    sliced = time_slices(messages.select("user_id", "ts", "event_id", "lat", "lon"), ["user_id"], "ts")
+    sliced = order_slices(messages.select("user_id", "ts", "event_id", "lat", "lon"), ["user_id"], ["ts", "event_id"])
     visits = cut_lineage(city_events(sliced, places))
     piece = F.col("_slice")
     current = latest_per_key(visits.drop("_slice"), ["user_id"], ["ts", "event_id"]).select(
@@ -65,9 +65,9 @@ def user_travel(messages: DataFrame, places: DataFrame, consecutive_days: int, z
     lists = ordered_lists(legs, ["user_id"], ["ts", "event_id"], "city", piece, "travel_array", page_elements)
     islands = day_islands(visits.select("user_id", "city", F.to_date("ts").alias("day")), ["user_id", "city"], "day")
     home = best_island(islands, ["user_id"], "city", consecutive_days).withColumnRenamed("city", "home_city")
-    users = current.join(counts, "user_id", "left").join(home, "user_id", "left")
-    return users.join(lists, "user_id", "left").select(
-        "user_id", "page", "act_city", "local_time", "travel_array", "travel_count", "home_city")
+    users = current.join(counts, "user_id", "left").join(home, "user_id", "left").select(
+        "user_id", "act_city", "local_time", "travel_count", "home_city")
+    return users, lists
 
 
 def friend_suggestions(messages: DataFrame, subscriptions: DataFrame, places: DataFrame, radius_km: float = 1.0) -> DataFrame:
@@ -97,7 +97,7 @@ def friend_suggestions(messages: DataFrame, subscriptions: DataFrame, places: Da
     return mirrored(fresh, "user_left", "user_right")
 
 
-def suggestions_report(suggestions: DataFrame, moment: Column | None = None, zone: str = "Australia/Sydney") -> DataFrame:
-    """Suggestions with the time of the run in UTC and in local time."""
-    now = F.current_timestamp() if moment is None else moment
+def suggestions_report(suggestions: DataFrame, as_of: Column | None = None, zone: str = "Australia/Sydney") -> DataFrame:
+    """Suggestions with the time of the run (``as_of``, by default now) in UTC and in local time."""
+    now = F.current_timestamp() if as_of is None else as_of
     return suggestions.withColumn("processed_dttm", now).withColumn("local_time", local_time(now, zone))

@@ -15,21 +15,32 @@ COUNTED_TYPES = ["c2a_incoming", "c2b_partner_incoming", "sbp_incoming", "sbp_ou
                  "transfer_outgoing"]
 
 
-def currency_metrics(transactions: DataFrame, rates: DataFrame, first_day: str, last_day: str,
+def rates_towards(currencies: DataFrame, base: int = BASE_CURRENCY) -> DataFrame:
+    """``day, currency_code, rate`` towards the base currency out of raw rates between all currencies."""
+    return currencies.filter(F.col("currency_code_with") == base).select(
+        F.to_date("date_update").alias("day"), F.col("currency_code").cast("bigint").alias("currency_code"),
+        F.col("currency_with_div").cast("double").alias("rate"))
+
+
+def currency_metrics(transactions: DataFrame, rates: DataFrame, first_day: str | None = None, last_day: str | None = None,
                      both_sides: bool = True, base: int = BASE_CURRENCY) -> DataFrame:
     """Amount in base currency, transactions and accounts per day and currency.
 
     ``transactions`` has ``account_number_from, account_number_to, currency_code, status,
-    transaction_type, amount, transaction_dt``; ``rates`` has ``day, currency_code, rate``.
-    A whole range of days is one grouped job.  Transactions are reduced per (day, currency,
+    transaction_type, amount, transaction_dt``; ``rates`` has ``day, currency_code, rate``, or is
+    the raw table with a counter-currency, of which the rows towards ``base`` are taken.
+    A whole range of days, or all of them, is one grouped job.  Transactions are reduced per (day, currency,
     account) and then per (day, currency) before the rate is joined, so the join sees one
     row per day and currency.  Days or currencies without a rate are left out; the base
     currency always has rate 1.
     """
     own = F.col("account_number_from") >= 0
     other = F.col("account_number_to") >= 0
+    if "currency_code_with" in rates.columns:
+        rates = rates_towards(rates, base)
+    wanted = in_days(F.col("transaction_dt"), first_day, last_day) if first_day and last_day else F.lit(True)
     counted = transactions.filter(
-        in_days(F.col("transaction_dt"), first_day, last_day) & (F.col("status") == "done")
+        wanted & (F.col("status") == "done")
         & F.col("transaction_type").isin(COUNTED_TYPES) & (own & other if both_sides else own))
     day = F.to_date("transaction_dt").alias("day")
     per_account = counted.groupBy(day, "currency_code", "account_number_from").agg(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 # Rows small enough to copy to every task or to write into the plan, and
 # bytes below which an input is dealt out.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 LITERAL_ROWS = 2_000
 SPREAD_BYTES = 64 * 1024 * 1024
 
@@ -21,14 +22,19 @@ def rows_if_bounded(df: DataFrame, bound: int = LITERAL_ROWS) -> list[Row] | Non
     return rows if len(rows) <= bound else None
 
 
+def is_bounded(df: DataFrame, bound: int = BROADCAST_ROWS, bound_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` has at most ``bound`` rows and ``bound_bytes`` of content, both measured."""
+    rows, size = df.limit(bound + 1).select(F.length(F.to_json(F.struct("*"))).alias("n")).agg(F.count("*"), F.sum("n")).first()
+    return rows <= bound and (size or 0) <= bound_bytes
+
+
 def broadcast_if_bounded(df: DataFrame, bound: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting that ``df`` stays within ``bound`` rows.
+    """Hint a broadcast only after measuring that ``df`` stays within its bounds of rows and bytes.
 
-    Beyond the bound the frame is returned as it is and the join is shuffled, with
-    adaptive execution splitting skewed partitions.
+    Beyond them the frame is returned as it is and the join is shuffled, with adaptive
+    execution splitting skewed partitions.
     """
-    counted = df.limit(bound + 1).count()
-    return F.broadcast(df) if counted <= bound else df
+    return F.broadcast(df) if is_bounded(df, bound) else df
 
 
 def spread_if_small(df: DataFrame, bound_bytes: int = SPREAD_BYTES) -> DataFrame:

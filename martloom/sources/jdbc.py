@@ -33,4 +33,4 @@ def append_rows(df: DataFrame, url: str, table: str, columns: list[str], propert
                 writers: int = 8) -> None:
     """Append the listed columns with a bounded number of connections."""
     batch = {"batchsize": "10000", **properties}
-    df.select(*columns).coalesce(writers).write.mode("append").jdbc(url, table, properties=batch)
+    df.select(*columns).repartition(writers).write.mode("append").jdbc(url, table, properties=batch)

@@ -58,15 +58,32 @@ def test_lag_and_numbers_by_slices_equal_the_window(spark):
     assert rows(numbered, "id", "number") == rows(df.select("id", F.row_number().over(order).cast("bigint")))
 
 
-@pytest.mark.parametrize("most_rows", [1, 2, 5, 1_000_000])
-def test_busy_days_are_cut_finer_without_changing_the_result(spark, most_rows):
+@pytest.mark.parametrize("parts", [1, 3, 20, None])
+def test_slices_do_not_change_the_result(spark, parts):
     df = hot_frame(spark)
-    sliced = windows.time_slices(df, ["key"], "ts", most_rows)
+    sliced = windows.order_slices(df, ["key"], ["ts", "id"], parts=parts)
     order = Window.partitionBy("key").orderBy("ts", "id")
     lagged = windows.lag_in_slices(sliced, ["key"], ["ts", "id"], "value", F.col("_slice"))
     assert rows(lagged, "id", "previous") == rows(df.select("id", F.lag("value").over(order)))
-    if most_rows == 1:
-        assert sliced.select("key", "_slice").distinct().count() > df.select("key", F.to_date("ts")).distinct().count()
+
+
+def test_equal_times_of_one_key_are_spread(spark):
+    df = spark.range(1000).select(F.lit(1).alias("key"), F.lit(0).alias("ts"), "id")
+    sizes = [r[1] for r in windows.order_slices(df, ["key"], ["ts", "id"], parts=8).groupBy("_slice").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 300
+
+
+def test_equal_facts_of_a_hot_key_are_spread(spark):
+    """A key with a third of identical one-column rows; its rows come from several input partitions."""
+    facts = spark.range(0, 3000, 1, 30).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("key"))
+    lookup = spark.range(3000).select(F.col("id").alias("key"), (F.col("id") * 2).alias("value"))
+    joined = joins.salted_join(facts, lookup, ["key"], piece_rows=100).cache()
+    assert rows(joined) == rows(facts.join(lookup, "key"))
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    pieces = facts.withColumn("p", F.pmod(F.xxhash64("key", F.spark_partition_id()), F.lit(10))).filter("key = 0").groupBy("p").count()
+    assert pieces.count() >= 8 and pieces.agg(F.max("count")).first()[0] < 400
+    nulls = facts.select(F.when(F.col("key") > 5, F.col("key")).alias("key"))
+    assert rows(joins.salted_join(nulls, lookup, ["key"], "left", 100)) == rows(nulls.join(lookup, "key", "left"))
 
 
 def test_latest_row_breaks_ties_by_the_last_key(frame):
@@ -165,11 +182,22 @@ def test_nearest_place_rules(spark, frame):
     assert rows(geo.nearest_place(points, places, "event_id", bound=2), "event_id", "zone_id") == expected
 
 
+@pytest.mark.parametrize("half_angle", [True, False])
+def test_nearest_place_is_the_same_on_every_path(frame, half_angle):
+    """Repeated and null keys, and more places than the bound."""
+    places = frame([(2, 0.0, 10.0), (1, 0.0, -10.0), (3, 50.0, 50.0), (4, -60.0, 170.0)], "id long, lat double, lng double")
+    points = frame([(1, 0.0, 9.0), (1, 49.0, 50.0), (None, 0.0, -9.0), (None, None, 1.0), (5, -80.0, -175.0), (6, 60.0, -120.0)],
+                   "event_id long, lat double, lon double")
+    literal = geo.nearest_place(points, places, "event_id", half_angle=half_angle)
+    for bound in (1, 2, 3):
+        assert rows(geo.nearest_place(points, places, "event_id", half_angle=half_angle, bound=bound)) == rows(literal)
+
+
 def test_nearest_by_grid_equals_brute_force(spark):
     draw = random.Random(3)
     places = [(i, draw.uniform(-80, 80), draw.uniform(-180, 180)) for i in range(40)]
     points = [(i, draw.uniform(-89, 89), draw.uniform(-180, 180)) for i in range(60)]
-    found = geo.nearest_by_grid(spark.createDataFrame(points, "k long, lat double, lon double"), spark.createDataFrame(places, "id long, lat double, lng double"), "k", first_radius_km=400.0)
+    found = geo.nearest_by_grid(spark.createDataFrame(points, "k long, lat double, lon double"), spark.createDataFrame(places, "id long, lat double, lng double"), first_radius_km=400.0)
     expected = {p[0]: min((brute_distance(q[1:], p[1:]), q[0]) for q in places)[1] for p in points}
     assert {r.k: r.zone_id for r in found.collect()} == expected
 
