@@ -32,6 +32,9 @@ def _stamped(df, *columns):
 STAMP_SQL = f"'{LOADED}' AS load_dt, 'kafka_stg_msg' AS load_src"
 
 
+COST_TEXT = "regexp_replace(CAST(cost AS VARCHAR), '[.]0$', '')"
+
+
 def joined(*parts: str) -> str:
     """Key of several columns in SQL."""
     return data.uuid_sql(" || '#$#' || ".join(parts))
@@ -95,9 +98,9 @@ def sat_order_status(spark, base):
     return _stamped(vault(spark, base)["s_order_status"], "h_order_pk", "status", "hk_order_status_hashdiff")
 
 
-@query("v02_sat_order_cost", f"SELECT {data.uuid_sql('order_id')} AS h_order_pk, cost AS ordercost, cost AS payment, {STAMP_SQL} FROM (SELECT DISTINCT order_id, cost FROM {LINES})")
+@query("v02_sat_order_cost", f"SELECT {data.uuid_sql('order_id')} AS h_order_pk, cost AS ordercost, cost AS payment, {STAMP_SQL}, {joined('order_id', COST_TEXT, COST_TEXT)} AS hk_order_cost_hashdiff FROM (SELECT DISTINCT order_id, cost FROM {LINES})")
 def sat_order_cost(spark, base):
-    return _stamped(vault(spark, base)["s_order_cost"], "h_order_pk", "ordercost", "payment")
+    return _stamped(vault(spark, base)["s_order_cost"], "h_order_pk", "ordercost", "payment", "hk_order_cost_hashdiff")
 
 
 @query("v03_link_order_product", f"SELECT {joined('order_id', 'product_id')} AS hk_order_product_pk, {data.uuid_sql('order_id')} AS h_order_pk, {data.uuid_sql('product_id')} AS h_product_pk, {STAMP_SQL} FROM (SELECT DISTINCT order_id, product_id FROM {LINES})")

@@ -34,3 +34,8 @@ def tiered_pay(amount: Column, score: Column, tiers: list[tuple[float | None, fl
             return chosen.otherwise(pay) if chosen is not None else pay
         chosen = F.when(score < bound, pay) if chosen is None else chosen.when(score < bound, pay)
     return chosen
+
+
+def plain_number(value: Column) -> Column:
+    """A number as decimal text without exponent and idle zeros: 300.5, 10000000."""
+    return F.when(value == 0, "0").otherwise(F.regexp_replace(value.cast("decimal(38,10)").cast("string"), r"\.?0+$", ""))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions.keys import joined_key
+from martloom.functions.numeric import plain_number
 
 # Fixed value: source label written into every vault row.
 LOAD_SOURCE = "kafka_stg_msg"
@@ -39,14 +40,18 @@ def link(df: DataFrame, pk: str, ends: dict[str, str], load_dt: Column, load_src
 
 def satellite(df: DataFrame, pk: str, business_key: str, attributes: dict[str, str], hashdiff: str,
               load_dt: Column, load_src: str) -> DataFrame:
-    """One row per distinct attribute set of a key; ``attributes`` maps output to input names."""
+    """One row per distinct attribute set of a key; ``attributes`` maps output to input names.
+
+    Fractional numbers are hashed as plain decimal text, without exponent or idle zeros.
+    """
+    text = {c: plain_number(F.col(c)) if kind in ("double", "float") else F.col(c) for c, kind in df.dtypes}
     inputs = list(attributes.values())
     rows = df.groupBy(business_key, *inputs).agg(F.min(load_dt).alias("load_dt"))
     return rows.select(
         joined_key(F.col(business_key)).alias(pk),
         *[F.col(source).alias(name) for name, source in attributes.items()],
         "load_dt", F.lit(load_src).alias("load_src"),
-        joined_key(F.col(business_key), *[F.col(c) for c in inputs]).alias(hashdiff))
+        joined_key(F.col(business_key), *[text[c] for c in inputs]).alias(hashdiff))
 
 
 def append_unseen(built: DataFrame, loaded: DataFrame | None, key: str) -> DataFrame:

@@ -3,13 +3,15 @@ import json
 import uuid
 from decimal import Decimal
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from martloom.functions.numeric import plain_number
 from martloom.operators.vault import append_unseen, message_lines, order_lines, order_vault
 from martloom.plans import couriers, customers, geography, groups, money, shipping
-from martloom.schemas import ORDER_MESSAGE
-from martloom.streaming import jobs
+from martloom.schemas import ORDER_LINE_MESSAGE, ORDER_MESSAGE
+from martloom.streaming import jobs, runs
 
 T = dt.datetime
 
@@ -177,3 +179,33 @@ def test_campaigns_running_at_a_moment(frame):
     assert rows(running, "restaurant_id") == [(2,), (4,)]
     sent = jobs.notifications(running, frame([(2, "a"), (2, "b"), (9, "c")], "restaurant_id long, client_id string"), moment)
     assert rows(sent, "restaurant_id", "client_id", "feedback") == [(2, "a", None), (2, "b", None)]
+
+
+@pytest.mark.parametrize("turned", [False, True])
+def test_vault_stream_over_several_batches(spark, frame, tmp_path, turned):
+    """An order sent twice, with products of its own each time, equals the batch form in either order of arrival."""
+    first = [order_message("o1", "2024-01-01 10:00:00", "CLOSED", [("p1", "Чай", "напитки"), ("p2", "Суп", "супы")]),
+             order_message("o2", "2024-01-01 11:00:00", "OPEN", [("p1", "Чай", "напитки")])]
+    second = [order_message("o1", "2024-01-01 10:00:00", "CLOSED", [("p1", "Чай", "напитки"), ("p3", "Сок", "напитки")]),
+              order_message("o2", "2024-01-01 11:00:00", "CLOSED", [("p1", "Чай", "напитки")])]
+    source, tables, topic, counted = (str(tmp_path / name) for name in ("source", "vault", "topic", "counted"))
+    for turn, bodies in enumerate([second, first] if turned else [first, second]):
+        frame([(b,) for b in bodies], "value string").coalesce(1).write.mode("append").parquet(source)
+        runs.start(spark.readStream.schema("value string").parquet(source), jobs.vault_batch(tables, topic), str(tmp_path / "c1"), None).awaitTermination()
+        sent = spark.readStream.schema("value string").parquet(f"{topic}/batch_id=*").select(F.from_json("value", ORDER_LINE_MESSAGE).alias("l")).select("l.*")
+        runs.start(sent, jobs.counted_lines(spark, counted), str(tmp_path / "c2"), None).awaitTermination()
+    whole = order_vault(messages_frame(frame, *first, *second))
+    for name, rows_ in whole.items():
+        loaded = spark.read.parquet(f"{tables}/{name}")
+        key = rows_.columns[-1 if name.startswith("s_") else 0]
+        assert rows(loaded, key) == rows(rows_, key), name
+    counts = jobs.running_counts(spark.read.parquet(counted), ["category_name"])
+    # o1: two drinks and a soup; o2: one drink, once it is closed
+    assert rows(counts) == [("напитки", 3), ("супы", 1)]
+    lines = spark.read.json(spark.read.parquet(topic).filter("batch_id = 1").rdd.map(lambda r: r.value))
+    assert lines.select("h_order_pk", "h_product_pk").distinct().count() == 4
+
+
+def test_numbers_in_hashes_are_plain_text(frame):
+    values = frame([(1.0e7,), (300.5,), (300.0,), (0.0,), (0.25,), (None,)], "v double")
+    assert [r[0] for r in values.select(plain_number(F.col("v"))).collect()] == ["10000000", "300.5", "300", "0", "0.25", None]
