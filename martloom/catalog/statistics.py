@@ -157,7 +157,18 @@ def l09_paired(spark, base):
     return hypothesis.paired(pairs, F.col("before"), F.col("after")).withColumn("t", F.round("t", 6))
 
 
-@query("l09_p_values")
+def _simpson_sql(high: str) -> str:
+    steps = hypothesis.SIMPSON_STEPS
+    return (f"(({high} - a) / {steps} / 3 * list_sum(list_transform(range({steps + 1}), lambda i: "
+            f"(CASE WHEN i = 0 OR i = {steps} THEN 1.0 WHEN i % 2 = 1 THEN 4.0 ELSE 2.0 END)::DOUBLE * pow(sin(a + i * ({high} - a) / {steps}), dof - 1))))")
+
+
+@query("l09_p_values", f"""
+WITH s AS (SELECT count(*) AS n, (avg(l_quantity) - 25.5) / sqrt(var_samp(l_quantity) / count(*)) AS t, CAST(count(*) - 1 AS DOUBLE) AS dof FROM lineitem),
+ b AS (SELECT *, greatest(0.0::DOUBLE, pi() / 2 - 40 / sqrt(dof)) AS a FROM s),
+ g AS (SELECT *, greatest(a, asin(sqrt(dof / (dof + t * t)))) AS top FROM b),
+ p AS (SELECT n, t, {_simpson_sql('top')} / {_simpson_sql('pi() / 2')} AS tails FROM g)
+SELECT n, round(t, 6) AS t, round(CASE WHEN t > 0 THEN 1 - tails / 2 ELSE tails / 2 END, 6) AS p_value FROM p""")
 def l09_p(spark, base):
     """The same tests with their one-sided p-values."""
     tested = hypothesis.one_sample(table(spark, base, "lineitem"), F.col("l_quantity"), 25.5)

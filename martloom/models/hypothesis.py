@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import math
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+SIMPSON_STEPS = 4_000  # fixed value: an even number of steps of the rule
+
 
 def two_samples(df: DataFrame, value: Column, first: Column, equal_variances: bool = True) -> DataFrame:
     """``n1, n2, t, dof`` for rows with ``first`` true against the others."""
@@ -37,43 +38,32 @@ def paired(df: DataFrame, before: Column, after: Column) -> DataFrame:
 
 
 def with_p_value(tested: DataFrame, alternative: str = "two-sided") -> DataFrame:
-    """Add the p-value to a one-row test result."""
-    @F.pandas_udf("double")
-    def p(t: pd.Series, dof: pd.Series) -> pd.Series:
-        return pd.Series([p_value(a, b, alternative) for a, b in zip(t, dof)])
-    return tested.withColumn("p_value", p("t", "dof"))
+    """Add the p-value of ``t`` under Student's distribution with ``dof`` degrees of freedom."""
+    return tested.withColumn("p_value", p_value(F.col("t"), F.col("dof"), alternative))
+
 
+def p_value(t: Column, dof: Column, alternative: str = "two-sided") -> Column:
+    """Tail probability of Student's distribution.
 
-def p_value(t: float, dof: float, alternative: str = "two-sided") -> float:
-    """Tail probability of Student's distribution."""
-    two_tails = _beta_share(dof / 2.0, 0.5, dof / (dof + t * t))
+    Both tails together are the share of the integral of ``sin(u) ** (dof - 1)`` over
+    [0, pi/2] that lies below ``asin(sqrt(dof / (dof + t * t)))``.  Both integrals are taken by
+    Simpson's rule from where the integrand is more than nothing.
+    """
+    full = F.lit(math.pi / 2)
+    start = F.greatest(F.lit(0.0), full - F.lit(40.0) / F.sqrt(dof))
+    top = F.greatest(start, F.asin(F.sqrt(dof / (dof + t * t))))
+    both = _power_integral(start, top, dof - 1) / _power_integral(start, full, dof - 1)
     if alternative == "two-sided":
-        return two_tails
-    upper = two_tails / 2.0 if t > 0 else 1.0 - two_tails / 2.0
-    return upper if alternative == "greater" else 1.0 - upper
+        return both
+    upper = F.when(t > 0, both / 2).otherwise(1 - both / 2)
+    return upper if alternative == "greater" else 1 - upper
 
 
-def _beta_share(a: float, b: float, x: float) -> float:
-    """Regularised incomplete beta function, integrated numerically.
+def _power_integral(low: Column, high: Column, power: Column) -> Column:
+    """Integral of ``sin(u) ** power`` by Simpson's rule."""
+    width = (high - low) / SIMPSON_STEPS
 
-    The substitution ``x = sin(u) ** 2`` removes the end point singularities for the
-    parameters used here; Simpson's rule on a fine grid is then accurate to about 1e-10.
-    """
-    if x >= 1.0:
-        return 1.0
-    steps = 20_000
-    top = math.asin(math.sqrt(x))
-    width = top / steps
-    log_scale = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + math.log(2.0)
-    total = 0.0
-    for i in range(steps + 1):
-        u = i * width
-        if u == 0.0 and 2 * a - 1 != 0:
-            density = 0.0
-        else:
-            log_density = log_scale + (2 * b - 1) * math.log(math.cos(u))
-            if 2 * a - 1 != 0:
-                log_density += (2 * a - 1) * math.log(math.sin(u))
-            density = math.exp(log_density)
-        total += density * (1 if i in (0, steps) else 4 if i % 2 else 2)
-    return min(1.0, total * width / 3.0)
+    def term(total: Column, i: Column) -> Column:
+        weight = F.when((i == 0) | (i == SIMPSON_STEPS), 1.0).when(i % 2 == 1, 4.0).otherwise(2.0)
+        return total + weight * F.pow(F.sin(low + i * width), power)
+    return F.aggregate(F.sequence(F.lit(0), F.lit(SIMPSON_STEPS)), F.lit(0.0), term) * width / 3

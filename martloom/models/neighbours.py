@@ -7,8 +7,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Fixed value: rows per block; two blocks and their distances fit easily into one task.
+# Rows per block and queries per matrix product; two blocks and their distances fit easily into one task.
 BLOCK_ROWS = 4_096
+PIECE_ROWS = 256
 
 
 def nearest(queries: DataFrame, train: DataFrame, k: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -27,35 +28,41 @@ def nearest(queries: DataFrame, train: DataFrame, k: int, block_rows: int = BLOC
         return F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
     asked = queries.select("id", "vector", own(query_blocks).alias("qb"), blocks(train_blocks).alias("tb"))
     # renamed, so that both sides may come from the same frame
-    known = train.select(F.col("id").alias("neighbour_id"), F.col("vector").alias("point"), F.col("label").cast("int").alias("label"),
+    known = train.select(F.col("id").alias("neighbour_id"), F.col("vector").alias("point"), F.col("label").cast("bigint").alias("label"),
                          own(train_blocks).alias("train_block"), blocks(query_blocks).alias("query_block"))
     found = asked.groupBy("qb", "tb").cogroup(known.groupBy("query_block", "train_block")).applyInPandas(
-        lambda q, t: best_in_block(q, t, k), "query_id long, neighbour_id long, distance double, label int")
+        lambda q, t: best_in_block(q, t, k), "query_id long, neighbour_id long, distance double, label long")
     # at most k rows per training block reach one query
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "neighbour_id"))
     return found.withColumn("_rank", rank).filter(F.col("_rank") <= k).drop("_rank")
 
 
 def best_in_block(queries: pd.DataFrame, train: pd.DataFrame, k: int) -> pd.DataFrame:
-    """Best ``k`` of one training block for each query of one block."""
+    """Best ``k`` of one training block for each query of one block, from matrix products of ``PIECE_ROWS`` queries."""
     columns = ["query_id", "neighbour_id", "distance", "label"]
     if queries.empty or train.empty:
         return pd.DataFrame(columns=columns)
-    a, b = np.stack(queries["vector"]).astype(float), np.stack(train["point"]).astype(float)
-    train_ids, labels = train["neighbour_id"].to_numpy(), train["label"].to_numpy()
-    b_square = (b * b).sum(axis=1)
-    rows = []
-    for query_id, point in zip(queries["id"], a):
-        rough = b_square - 2.0 * (b @ point)
-        rough[train_ids == query_id] = np.inf
-        take = min(k, len(rough))
-        limit = np.partition(rough, take - 1)[take - 1]
+    points, known = np.stack(queries["vector"]).astype(float), np.stack(train["point"]).astype(float)
+    query_ids, train_ids, labels = queries["id"].to_numpy(), train["neighbour_id"].to_numpy(), train["label"].to_numpy()
+    squares = (known * known).sum(axis=1)
+    found = []
+    for at in range(0, len(points), PIECE_ROWS):
+        piece, ids = points[at:at + PIECE_ROWS], query_ids[at:at + PIECE_ROWS]
+        rough = squares - 2.0 * (piece @ known.T)
+        rough[ids[:, None] == train_ids] = np.inf
+        take = min(k, len(known))
+        limit = np.partition(rough, take - 1, axis=1)[:, take - 1]
         # the product form is rough in the last digits: measure everything near the limit again
-        near = np.flatnonzero(rough <= limit + 1e-6 * (1.0 + abs(limit))) if np.isfinite(limit) else np.flatnonzero(np.isfinite(rough))
-        exact = np.sqrt(((b[near] - point) ** 2).sum(axis=1))
-        order = np.lexsort((train_ids[near], exact))[:k]
-        rows.extend((query_id, train_ids[near[i]], exact[i], labels[near[i]]) for i in order)
-    return pd.DataFrame(rows, columns=columns)
+        near = np.isfinite(rough) & (rough <= np.where(np.isfinite(limit), limit + 1e-6 * (1.0 + np.abs(limit)), np.inf)[:, None])
+        asked, place = np.nonzero(near)
+        exact = np.sqrt(((known[place] - piece[asked]) ** 2).sum(axis=1))
+        order = np.lexsort((train_ids[place], exact, asked))
+        asked, place, exact = asked[order], place[order], exact[order]
+        turn = np.arange(len(asked)) - np.searchsorted(asked, asked)
+        best = turn < k
+        found.append(pd.DataFrame({"query_id": ids[asked[best]], "neighbour_id": train_ids[place[best]],
+                                   "distance": exact[best], "label": labels[place[best]]}))
+    return pd.concat(found)
 
 
 def classify(queries: DataFrame, train: DataFrame, k: int, block_rows: int = BLOCK_ROWS) -> DataFrame:

@@ -55,8 +55,9 @@ def test_two_files_make_two_batches_and_absolute_counts(spark, frame, tmp_path):
 
 
 @pytest.mark.parametrize("t, dof, alternative, p", [(2.228139, 10, "two-sided", 0.05), (1.812461, 10, "greater", 0.05), (1.644854, 10_000_000, "greater", 0.05), (-12.7062, 1, "two-sided", 0.05), (0.0, 5, "less", 0.5)])
-def test_p_values_of_the_tables(t, dof, alternative, p):
-    assert hypothesis.p_value(t, dof, alternative) == pytest.approx(p, abs=2e-6)
+def test_p_values_of_the_tables(frame, t, dof, alternative, p):
+    tested = hypothesis.with_p_value(frame([(t, float(dof))], "t double, dof double"), alternative)
+    assert tested.first().p_value == pytest.approx(p, abs=2e-6)
 
 
 def test_t_tests(frame):
