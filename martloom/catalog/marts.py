@@ -11,7 +11,9 @@ from martloom.operators.increments import dimension_rows
 from martloom.operators.ordering import global_row_number
 from martloom.operators.vault import message_lines
 from martloom.plans import couriers, counters, customers, geography, groups, money, shipping
-from martloom.session import cut_lineage
+from martloom.session import cut_lineage, scratch_path
+from martloom.sources.files import write_delimited
+from martloom.sources.geo_events import city_file, flat_events
 from martloom.streaming import jobs
 from martloom.tables import table
 
@@ -256,17 +258,31 @@ def _travel(spark, base):
     return geography.user_travel(messages, data.places(spark, base), 27)
 
 
-@query("m16_user_travel", f"""
+USER_TRAVEL_SQL = f"""
 {TRAVEL_SQL},
  i AS (SELECT user_id, city, min(day) AS a, max(day) AS b FROM (SELECT user_id, city, day, day - CAST(dense_rank() OVER (PARTITION BY user_id, city ORDER BY day) AS INT) AS grp FROM (SELECT DISTINCT user_id, city, CAST(ts AS DATE) AS day FROM c)) GROUP BY user_id, city, grp),
  h AS (SELECT user_id, city AS home_city FROM i QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY least(b - a, 27) DESC, b DESC, city) = 1),
  l AS (SELECT user_id, arg_max(city, (ts, event_id)) AS act_city, max(ts) AS ts FROM c GROUP BY user_id)
-SELECT user_id, act_city, strftime(timezone('Australia/Sydney', timezone('UTC', ts)), '%Y-%m-%d %H:%M:%S') AS local_time, travel_count, home_city FROM l LEFT JOIN t USING (user_id) LEFT JOIN h USING (user_id)""")
+SELECT user_id, act_city, strftime(timezone('Australia/Sydney', timezone('UTC', ts)), '%Y-%m-%d %H:%M:%S') AS local_time, travel_count, home_city FROM l LEFT JOIN t USING (user_id) LEFT JOIN h USING (user_id)"""
+
+
+@query("m16_user_travel", USER_TRAVEL_SQL)
 def m16(spark, base):
     users, _ = _travel(spark, base)
     return users.withColumn("local_time", time_text("local_time"))
 
 
+@query("m16_from_delivered_files", USER_TRAVEL_SQL)
+def m16_delivered(spark, base):
+    """The same mart out of nested events and the city file with decimal commas."""
+    path = scratch_path(spark, "cities")
+    cities = data.places(spark, base)
+    write_delimited(cities.select("id", "city", *[F.regexp_replace(F.col(c).cast("string"), "[.]", ",").alias(c) for c in ("lat", "lng")]), path, ";")
+    messages = flat_events(data.delivered_events(spark, base)).filter(F.col("event_type") == "message")
+    users, _ = geography.user_travel(messages, city_file(spark, path), 27)
+    return users.withColumn("local_time", time_text("local_time"))
+
+
 @query("m16_travel_array", f"{TRAVEL_SQL} SELECT user_id, CAST(0 AS BIGINT) AS page, travel_array FROM t")
 def m16_array(spark, base):
     """The visited cities of each user, the child table of ``m16_user_travel``."""

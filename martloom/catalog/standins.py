@@ -56,6 +56,18 @@ GEO_SQL = f"""(SELECT event_id, ts, user_id,
  FROM {EVENTS_K_SQL})"""
 
 
+def delivered_events(spark: SparkSession, base: str) -> DataFrame:
+    """The same events as they are delivered: nested, half of them with the time in the other field."""
+    kind, even = F.col("event_type"), F.col("event_id") % 2 == 0
+    text = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    return geo_events(spark, base).select("event_id", "event_type", "lat", "lon", F.struct(
+        F.when(kind == "message", F.col("user_id")).alias("message_from"), F.when(kind == "message", F.col("message_to")).alias("message_to"),
+        F.when(kind == "reaction", F.col("user_id")).cast("string").alias("reaction_from"),
+        F.when(kind.isin("subscription", "other"), F.col("user_id")).cast("string").alias("user"),
+        F.when(kind == "subscription", F.col("channel")).alias("subscription_channel"),
+        F.when(even, text).alias("datetime"), F.when(~even, text).alias("message_ts")).alias("event"))
+
+
 def places(spark: SparkSession, base: str) -> DataFrame:
     """Nations as city centres: ``id, city, lat, lng``."""
     key = F.col("n_nationkey")

@@ -68,14 +68,3 @@ ORDER_LINE_MESSAGE = _struct(
 )
 
 CITY_FILE = _struct(id=IntegerType(), city=StringType(), lat=StringType(), lng=StringType())
-
-GROUP_LOG = _struct(group_id=LongType(), user_id=LongType(), user_id_from=LongType(),
-                    event=StringType(), datetime=TimestampType())
-
-TRANSACTIONS = _struct(
-    operation_id=StringType(), account_number_from=LongType(), account_number_to=LongType(),
-    currency_code=DecimalType(3), country=StringType(), status=StringType(),
-    transaction_type=StringType(), amount=LongType(), transaction_dt=TimestampType(),
-)
-CURRENCIES = _struct(date_update=TimestampType(), currency_code=DecimalType(3),
-                     currency_code_with=DecimalType(3), currency_with_div=DecimalType(5, 3))

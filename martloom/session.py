@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +22,9 @@ BASE_CONF = {
 }
 
 
+_SCRATCH: list[str] = []  # folders of scratch tables made by this process
+
+
 def build_session(app_name: str, master: str | None = None, conf: dict[str, str] | None = None) -> SparkSession:
     """Create (or fetch) a session with UTC time, adaptive execution and skew handling."""
     builder = SparkSession.builder.appName(app_name)
@@ -44,7 +50,7 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if context.getCheckpointDir():
         return context.getCheckpointDir().rstrip("/")
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^]]*])?", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="martloom-")
     context.setCheckpointDir(folder)
@@ -52,8 +58,42 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """Fresh path below the shared folder for a table written within one run."""
-    return f"{shared_dir(spark)}/scratch-{uuid.uuid4().hex}/{label}"
+    """Fresh path below the shared folder for a table written within one run; ``release`` removes it."""
+    folder = f"{shared_dir(spark)}/scratch-{uuid.uuid4().hex}"
+    _SCRATCH.append(folder)
+    return f"{folder}/{label}"
+
+
+def release(spark: SparkSession, since: int = 0) -> None:
+    """Delete the scratch tables this process has made, from the ``since``-th on.
+
+    For when the results that read them have been written or collected.
+    """
+    while len(_SCRATCH) > since:
+        target = spark._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """``with scratch(spark): ...`` deletes at its end what was written to scratch tables within it."""
+    since = len(_SCRATCH)
+    try:
+        yield
+    finally:
+        release(spark, since)
+
+
+def fit_shuffles(spark: SparkSession, *inputs: DataFrame, target_bytes: int = 128 * 1024 * 1024) -> int:
+    """Set the number of shuffle partitions for the size of the inputs, so that none exceeds ``target_bytes``.
+
+    The size is the planner's estimate of the files.  Adaptive execution merges small
+    partitions but never adds any, so a large job needs this before its first shuffle.
+    """
+    size = sum(int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in inputs)
+    wanted = max(spark.sparkContext.defaultParallelism, -(-size // target_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return wanted
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -1,12 +1,14 @@
 import datetime as dt
+import os
 
 import numpy as np
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from martloom import session
 from martloom.models import corpus, describe, hypothesis, metrics, neighbours, training
-from martloom.sources import files, jdbc, queue
+from martloom.sources import files, geo_events, jdbc, queue
 from martloom.streaming import jobs, runs
 
 
@@ -114,3 +116,31 @@ def test_term_weights(frame):
     weights = {(r.d, r.term): (r.n, r.weight) for r in corpus.tf_idf(docs, "d", "text").collect()}
     assert set(weights) == {(1, "red"), (1, "fox"), (1, "dog"), (2, "red"), (2, "house")}
     assert weights[1, "red"] == (2, 0.0) and weights[1, "fox"][1] == pytest.approx(np.log(1.5))
+
+
+def test_scratch_tables_are_deleted(spark, frame):
+    df = frame([(1,)], "k long")
+    with session.scratch(spark):
+        kept = session.cut_lineage(df)
+        folder = kept.inputFiles()[0].removeprefix("file://").rsplit("/", 2)[0]
+        assert kept.count() == 1 and os.path.isdir(folder)
+    assert not os.path.exists(folder)
+
+
+def test_shuffles_follow_the_input(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        df = spark.range(1_000_000)
+        assert session.fit_shuffles(spark, df, target_bytes=100_000) >= 80
+        assert session.fit_shuffles(spark, df) == spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_city_file_and_nested_events(spark, frame, tmp_path):
+    (tmp_path / "geo.csv").write_text("id;city;lat;lng\n1;Sydney;-33,865;151,2094\n")
+    assert rows(geo_events.city_file(spark, str(tmp_path / "geo.csv"))) == [(1, "Sydney", -33.865, 151.2094)]
+    raw = frame([("message", (5, 6, None, None, None, None, "2022-01-02 03:04:05"), 1.0, 2.0), ("subscription", (None, None, None, "7", 9, "2022-01-01 00:00:00", None), None, None)],
+                "event_type string, event struct<message_from:long,message_to:long,reaction_from:string,user:string,subscription_channel:long,datetime:string,message_ts:string>, lat double, lon double")
+    assert rows(geo_events.flat_events(raw), "event_type", "user_id", "message_to", "channel", "ts", "lat") == [
+        ("message", 5, 6, None, dt.datetime(2022, 1, 2, 3, 4, 5), 1.0), ("subscription", 7, None, 9, dt.datetime(2022, 1, 1), None)]
