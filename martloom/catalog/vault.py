@@ -17,12 +17,14 @@ LOADED = "2024-02-01 00:00:00"
 LINES = data.MESSAGE_LINES_SQL
 
 
-def vault(spark, base):
+def vault(spark, base, written=False):
     """All vault tables of the order messages, loaded at a fixed time.
 
-    The nested messages are written once, as a topic would hold them.
+    With ``written`` the nested messages are written once, as a topic would hold them, for
+    readers of several tables; a single table is built straight from the columns it needs.
     """
-    return order_vault(cut_lineage(data.order_messages(spark, base)), F.lit(LOADED).cast("timestamp"))
+    messages = data.order_messages(spark, base)
+    return order_vault(cut_lineage(messages) if written else messages, F.lit(LOADED).cast("timestamp"))
 
 
 def _stamped(df, *columns):
@@ -127,7 +129,7 @@ def link_product_restaurant(spark, base):
 SELECT {data.uuid_sql('order_id')} AS h_order_pk, {data.uuid_sql('user_id')} AS h_user_pk, {data.uuid_sql('product_id')} AS h_product_pk, productname,
  {data.uuid_sql('category_name')} AS h_category_pk, category_name, status FROM {LINES}""")
 def order_line_read(spark, base):
-    return order_lines(vault(spark, base))
+    return order_lines(vault(spark, base, written=True))
 
 
 @query("v05_social_link", "SELECT user_id, group_id FROM (SELECT DISTINCT user_id, CAST(json_extract(props, '$.k') AS BIGINT) AS group_id FROM events) WHERE (user_id, group_id) NOT IN (SELECT (user_id, CAST(json_extract(props, '$.k') AS BIGINT)) FROM events WHERE ts < TIMESTAMP '2024-01-10')")
