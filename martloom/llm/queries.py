@@ -41,6 +41,55 @@ def op2_quality_rules(spark: SparkSession, base: str) -> DataFrame:
     return judge(table(spark, base, "documents"))
 
 
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_WORD = r"'[^\x20\x09-\x0D]+'"
+
+ORACLES["op1_near_duplicates"] = rf"""
+WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), {_WORD}) AS w FROM documents),
+shingles AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))
+  WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingle FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id < y.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached(doc, place) AS (SELECT doc_id, doc_id FROM documents UNION SELECT doc, b FROM reached JOIN edges ON place = a),
+groups AS (SELECT doc, min(place) AS component FROM reached GROUP BY doc)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component AS component_id, doc_id = component AS kept
+FROM documents JOIN groups ON doc = doc_id LEFT JOIN sizes USING (doc_id)
+"""
+
+ORACLES["op2_quality_rules"] = rf"""
+WITH words AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), {_WORD}) AS w FROM documents),
+lines AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM words) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+windows AS (SELECT doc_id, pos, array_to_string(w[pos:pos+4], ' ') AS seen FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS pos FROM words)),
+twice AS (SELECT doc_id, pos FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, seen) > 1),
+repeats AS (SELECT doc_id, count(DISTINCT pos + k) AS n_repeat_words FROM twice, range(5) r(k) GROUP BY doc_id),
+facts AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+  len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_lines, 0) AS n_lines,
+  coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, len(regexp_extract_all(text, '\p{{Lu}}')) AS capitals,
+  len(list_filter(w, lambda x: regexp_matches(x, '\p{{L}}'))) AS lettered,
+  len(list_filter(range(1, len(w)), lambda i: w[i] = w[i+1])) AS doubled
+  FROM words LEFT JOIN lines USING (doc_id) LEFT JOIN repeats USING (doc_id)),
+judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM facts)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND 10 * n_symbols <= n_words AND (n_dup_lines < 3 OR 10 * n_dup_lines <= 3 * n_lines) AND 10 * doubled <= 3 * n_words
+  AND 2 * n_words <= word_chars AND word_chars <= 15 * n_words AND 10 * capitals <= 3 * word_chars AND 10 * lettered >= 5 * n_words AS kept
+FROM judged
+"""
+
+ORACLES["op4_warc"] = """
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages),
+first AS (SELECT *, max(page_id) OVER (PARTITION BY payload) AS largest FROM payloads)
+SELECT page_id, strlen(payload)::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    (1 + ((('0x' || substr(h, ((i // 8) * 10 + 1)::BIGINT, 10))::BIGINT >> (35 - 5 * (i % 8))::BIGINT) & 31))::BIGINT, 1)), '') AS payload_digest,
+  CASE WHEN largest = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN largest <> page_id THEN largest END AS refers_to
+FROM first
+"""
+
+
 @query
 def op3_line_dedup(spark: SparkSession, base: str) -> DataFrame:
     return (drop_shared_lines(table(spark, base, "documents"))
