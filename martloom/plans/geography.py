@@ -21,13 +21,14 @@ def zone_activity(events: DataFrame, places: DataFrame) -> DataFrame:
     first message of a user.  Month figures are added up from the weekly table of the same
     month, so events are counted once.
     """
-    zoned = nearest_place(events, places, "event_id").select(
-        "event_id", "event_type", "user_id", "ts", "zone_id", (F.col("lat").isNotNull() & F.col("lon").isNotNull()).alias("located"),
-        F.date_trunc("month", "ts").alias("month"), F.date_trunc("week", "ts").alias("week"))
-    first = first_per_key(
-        zoned.filter((F.col("event_type") == "message") & F.col("located"))
-        .select("user_id", "ts", "event_id", "month", "week", "zone_id"), ["user_id"], ["ts", "event_id"])
-    registrations = first.groupBy("month", "week", "zone_id").agg(F.count("*").alias("week_user"))
+    def dated(df: DataFrame) -> DataFrame:
+        return df.withColumns({"month": F.date_trunc("month", "ts"), "week": F.date_trunc("week", "ts")})
+
+    zoned = dated(nearest_place(events.select("event_id", "event_type", "ts", "lat", "lon"), places, "event_id"))
+    # the first message is chosen on the raw coordinates, so its place is looked up once per user
+    located = events.filter((F.col("event_type") == "message") & F.col("lat").isNotNull() & F.col("lon").isNotNull())
+    first = first_per_key(located.select("user_id", "ts", "event_id", "lat", "lon"), ["user_id"], ["ts", "event_id"])
+    registrations = dated(nearest_place(first, places, "event_id")).groupBy("month", "week", "zone_id").agg(F.count("*").alias("week_user"))
     kinds = ("message", "reaction", "subscription")
     weekly = zoned.groupBy("month", "week", "zone_id").agg(
         *[F.count(F.when(F.col("event_type") == kind, 1)).alias(f"week_{kind}") for kind in kinds])
