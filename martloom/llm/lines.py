@@ -40,8 +40,9 @@ def shared_lines(docs: DataFrame, min_chars: int = 10, min_documents: int = 2) -
         return pa.array([list(dict.fromkeys(h for h in row if h)) for row in found], pa.list_(pa.binary()))
 
     lines = cut_lineage(docs.filter("doc_id IS NOT NULL").select("doc_id", F.explode(hashes("text")).alias("hash")))
-    shared = (lines.groupBy("hash").agg(F.count_distinct("doc_id").alias("documents"), F.min("doc_id").alias("keeper"))
-              .filter(F.col("documents") >= min_documents).select("hash", "keeper"))
+    # written, so that the join shuffles both sides and adaptive execution can split a hot hash
+    shared = cut_lineage(lines.groupBy("hash").agg(F.count_distinct("doc_id").alias("documents"), F.min("doc_id").alias("keeper"))
+                         .filter(F.col("documents") >= min_documents).select("hash", "keeper"))
     return (lines.join(shared, "hash").filter(F.col("doc_id") != F.col("keeper"))
             .groupBy("doc_id").agg(F.collect_set("hash").alias("hashes")))
 
