@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -21,6 +23,12 @@ def utf8(texts: pa.Array) -> list[bytes | None]:
     return texts.cast(pa.large_binary() if pa.types.is_large_string(texts.type) else pa.binary()).to_pylist()
 
 
+def in_slices(values: pa.Array, size: int = 256) -> Iterator:
+    """The Python values of an Arrow array, of which only ``size`` exist at a time."""
+    for at in range(0, len(values), size):
+        yield from values.slice(at, size).to_pylist()
+
+
 def code_points(raw: bytes) -> int:
     return len(raw.translate(None, CONTINUATION))
 
