@@ -30,6 +30,8 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martloom.llm.texts import in_slices
+
 TRAIN_ROWS = 20_000
 MOST_TERMS = 5_000
 QUOTED = 0.4
@@ -109,7 +111,7 @@ class FuzzyTrie:
         """``(term, errors)`` of the nearest term; none if no term is near enough."""
         if word in self.found:
             return self.found[word]
-        if len(self.found) > 500_000 or len(self.states) > 100_000:
+        if len(self.found) > 400_000 or len(self.states) > 100_000:
             self._reset()  # both are caches only
         state = self.start
         for letter in word:
@@ -184,7 +186,7 @@ def learn_lexicon(rows: DataFrame, least_texts: int = 3, least_odds: float = 1.5
     """Terms whose log-odds stay above ``least_odds`` after taking off 1.64 standard errors."""
     @F.arrow_udf("array<string>")
     def words(texts: pa.Array) -> pa.Array:
-        return pa.array([sorted(set(_WORD.findall((t or "").lower()))) for t in texts.to_pylist()], pa.list_(pa.string()))
+        return pa.array([sorted(set(_WORD.findall((t or "").lower()))) for t in in_slices(texts)], pa.list_(pa.string()))
 
     toxic, clean = (float(x or 0) for x in rows.agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first())
     counts = (rows.select(F.explode(words("text")).alias("word"), "toxic")
@@ -234,7 +236,7 @@ def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> T
 
     @F.arrow_udf("array<double>")
     def features(texts: pa.Array) -> pa.Array:
-        return pa.array([lexicon.features(t) for t in texts.to_pylist()], pa.list_(pa.float64()))
+        return pa.array([lexicon.features(t) for t in in_slices(texts)], pa.list_(pa.float64()))
     labelled = rows.select(array_to_vector(features("text")).alias("features"), F.col("toxic").cast("double").alias("label")).persist()
     try:
         classes = labelled.select("label").distinct().count()
@@ -250,5 +252,5 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """``doc_id, score, predicted`` of every row."""
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
-        return pa.array([model.score(t) for t in texts.to_pylist()], pa.float64())
+        return pa.array([model.score(t) for t in in_slices(texts)], pa.float64())
     return docs.select("doc_id", score("text").alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
