@@ -451,6 +451,27 @@ def test_fuzzy_trie_brute_force():
         assert trie.match(word) == (best and (best[1], best[0]))
 
 
+def test_common_misspellings_are_found():
+    """Each term with one letter left out, two neighbours swapped, or one letter masked, alone and next to other words."""
+    terms = "trash pathetic idiot worthless disgusting stupid clown scum loser moron".split()
+    lexicon = toxicity.Lexicon(terms, [(5.0, 4.0, 3.0)] * len(terms))
+    forms = {t: (t, 0) for t in terms}
+    for t in terms:
+        forms |= {t[:i] + t[i + 1:]: (t, 1) for i in range(len(t))}
+        forms |= {t[:i] + t[i + 1] + t[i] + t[i + 2:]: (t, 1) for i in range(len(t) - 1) if t[i] != t[i + 1]}
+        forms |= {t[:i] + sign + t[i + 1:]: (t, 1) for i in range(1, len(t) - 1) for sign in "!*@$"}
+    for form, (term, errors) in forms.items():
+        text = f"you {form}, said they"
+        assert lexicon._hits(form) == [(0, len(form), terms.index(term), errors)]
+        assert lexicon.features(text)[0] == (4.0 if errors else 5.0)
+    # signs between whole words: the words themselves count, at their own place
+    assert lexicon._hits("stop!idiot") == [(5, 10, terms.index("idiot"), 0)]
+    assert [h[2] for h in lexicon._hits("scum*loser@x")] == [terms.index("scum"), terms.index("loser")]
+    assert lexicon.features("sum of cows, a lose end")[2] > 0 and lexicon.features("user@host and 3*4")[2] == 0
+    assert toxicity.Lexicon(terms, lexicon.weights, frozenset(["crown"])).features("crown, crow")[2] == 0
+    assert toxicity.words_of("St*pid a!b x") == ["a", "a!b", "b", "pid", "st", "st*pid", "x"]
+
+
 def test_quotation_is_told_from_abuse():
     text = 'he said "you idiot" and left, idiot\n> idiot\nan "odd" idiot "case"'
     spans = [i for i in range(len(text)) if text.startswith("idiot", i)]
