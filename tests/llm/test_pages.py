@@ -159,6 +159,23 @@ def test_lines_shared_with_the_nearest_addresses_go(spark):
     assert (found[101], found[102], found[103], found[104], found[105]) == ("b", "c", "same", "q", "r")
 
 
+def test_copies_at_neighbouring_addresses_keep_their_text(spark):
+    """No main element: copies count as one page, and are aligned with the pages of other content around them."""
+    def page(own):
+        return f"<div>Welcome to the site</div><p>{own}</p><div>All rights reserved</div>"
+    rows = [(1, "http://h.com/a", page("one")), (2, "http://h.com/b", page("two")), (3, "http://h.com/b?ref=x", page("two")),
+            (4, "http://h.com/b?page=2", page("two")), (5, "http://h.com/c", page("two")), (6, "http://h.com/d", page("three"))]
+    rows += [(20 + i, f"http://copies.com/?page={i}", page("only")) for i in range(9)]
+    rows += [(40, "http://part.com/1", "<p>x</p><p>y</p>"), (41, "http://part.com/2", "<p>x</p>")]
+    pages = spark.createDataFrame(rows, PAGES)
+    for run in (3, 64):
+        assert {r.page_id for r in html.shared_lines(pages, run).collect()} == {1, 2, 3, 4, 5, 6, 40, 41}
+    found = {r.page_id: r.text for r in html.extract_text(pages).collect()}
+    assert [found[i] for i in range(1, 7)] == ["one", "two", "two", "two", "two", "three"]
+    assert {found[20 + i] for i in range(9)} == {"Welcome to the site\n\nonly\n\nAll rights reserved"}
+    assert (found[40], found[41]) == ("y", "x")
+
+
 def test_common_subsequence_brute_force():
     made = random.Random(6)
     for _ in range(200):
