@@ -13,6 +13,7 @@ from martloom.llm.language import predict as predict_language
 from martloom.llm.lines import drop_shared_lines
 from martloom.llm.mixing import mix_sources, mix_sql
 from martloom.llm.neardup import duplicate_groups
+from martloom.llm.negatives import hard_negatives
 from martloom.llm.quality import judge
 from martloom.llm.texts import table
 from martloom.llm.toxicity import held_out as toxicity_held_out
@@ -152,3 +153,28 @@ def op7_url_filter(spark: SparkSession, base: str) -> DataFrame:
 @query
 def op5_html_text(spark: SparkSession, base: str) -> DataFrame:
     return extract_text(table(spark, base, "pages"))
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, base: str) -> DataFrame:
+    label = F.col("label").cast("bigint")
+    vectors = table(spark, base, "embeddings").withColumn("label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label))
+    return hard_negatives(vectors, F.col("vec_id") % 100 == 0).drop("positive_rank")
+
+
+ORACLES["op11_hard_negatives"] = """
+WITH whole AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label::BIGINT END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.vec_id AS anchor_id, c.vec_id AS other_id, a.label = c.label AS same, list_dot_product(a.v, c.v)::BIGINT AS score
+  FROM whole a JOIN whole c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id),
+positives AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+windows AS (SELECT anchor_id, positive_id, positive_score, other_id AS negative_id, score AS negative_score
+  FROM positives JOIN scored USING (anchor_id)
+  WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY negative_score DESC, negative_id))::INTEGER AS rank,
+  negative_id, positive_score, negative_score
+FROM windows QUALIFY rank <= 10
+"""
