@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +17,7 @@ from martloom.llm.neardup import duplicate_groups
 from martloom.llm.negatives import hard_negatives
 from martloom.llm.quality import judge
 from martloom.llm.texts import table
+from martloom.llm.tokens import Tokenizer, count_tokens
 from martloom.llm.toxicity import held_out as toxicity_held_out
 from martloom.llm.toxicity import learn as learn_toxicity
 from martloom.llm.toxicity import score_toxicity
@@ -178,3 +180,10 @@ SELECT anchor_id, positive_id, (row_number() OVER (PARTITION BY anchor_id, posit
   negative_id, positive_score, negative_score
 FROM windows QUALIFY rank <= 10
 """
+
+
+@query
+def op13_token_counts(spark: SparkSession, base: str) -> DataFrame:
+    tokenizer = Tokenizer(public_tokenizers.path("piece_bpe_32k.model"))
+    counted = count_tokens(table(spark, base, "documents"), tokenizer, scratch_path(spark, "token-counts"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
