@@ -21,9 +21,10 @@ from martloom.llm.tokens import Tokenizer, count_tokens
 from martloom.llm.toxicity import held_out as toxicity_held_out
 from martloom.llm.toxicity import learn as learn_toxicity
 from martloom.llm.toxicity import score_toxicity
+from martloom.llm.trie import prefix_trie, spliced, turns_of
 from martloom.llm.urls import judge_urls
 from martloom.llm.warc import read_archives, write_archives
-from martloom.session import scratch_path
+from martloom.session import cut_lineage, scratch_path
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -182,6 +183,33 @@ FROM windows QUALIFY rank <= 10
 """
 
 
+@query
+def op12_prefix_trie(spark: SparkSession, base: str) -> DataFrame:
+    turns = cut_lineage(turns_of(table(spark, base, "conversations")))
+    return prefix_trie(spliced(turns), turns.filter("number = 1").select("conv"))
+
+
+ORACLES["op12_prefix_trie"] = """
+WITH said AS (SELECT conv_id AS c, turn, strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '') AS whole,
+    strlen(coalesce(text, ''))::BIGINT AS bytes FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT c, list({'h': sha256(whole), 'b': bytes} ORDER BY turn NULLS FIRST, substr(sha256(whole), 1, 32)) AS turns FROM said GROUP BY c),
+heads AS (SELECT c, turns, ((4294967295 - list_reduce(flatten(list_transform(range(1, len(c::VARCHAR) + 1),
+    lambda i: [ascii(substr(c::VARCHAR, i, 1))::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda crc, x: CASE WHEN x >= 0 THEN xor(crc, x) ELSE xor(crc >> 1, 3988292384 * (crc & 1)) END, 4294967295)) % 9)::BIGINT AS h FROM own),
+rebuilt AS (SELECT x.c, list_concat(coalesce(b.turns, [])[1:x.h], x.turns[x.h + 1:]) AS turns FROM heads x LEFT JOIN own b ON b.c = x.c - x.c % 5),
+places AS (SELECT c, len(turns) AS n, d, list_transform(turns[1:d], lambda t: t.h) AS prefix, CASE WHEN d > 0 THEN turns[d].b ELSE 0 END AS bytes
+  FROM (SELECT c, turns, unnest(range(0, len(turns) + 1)) AS d FROM rebuilt)),
+nodes AS (SELECT prefix, d, min(c) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes,
+  sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE n = d), '')) AS ends_sha256 FROM places GROUP BY prefix, d),
+children AS (SELECT prefix[1:d - 1] AS prefix, d - 1 AS d, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+filled AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (prefix, d)),
+under AS (SELECT prefix[1:up] AS prefix, up AS d, sum((n_convs - 1) * bytes) AS saved, count(*) FILTER (WHERE n_children = 0) AS n_leaves
+  FROM (SELECT *, unnest(range(0, d + 1)) AS up FROM filled) GROUP BY ALL)
+SELECT f.conv_id, f.d::BIGINT AS depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, u.n_leaves, u.saved::BIGINT AS saved_tokens, f.ends_sha256
+FROM filled f JOIN under u USING (prefix, d) LEFT JOIN nodes p ON p.prefix = f.prefix[1:f.d - 1] AND p.d = f.d - 1
+"""
+
+
 @query
 def op13_token_counts(spark: SparkSession, base: str) -> DataFrame:
     tokenizer = Tokenizer(public_tokenizers.path("piece_bpe_32k.model"))
