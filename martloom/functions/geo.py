@@ -67,3 +67,36 @@ def cells_around(lat: Column, lng: Column, radius_km: float) -> Column:
         for column_step in (-1, 0, 1):
             cells.append(F.struct(near_row.alias("row"), F.pmod(column + column_step, columns).alias("column")))
     return F.array_distinct(F.array(*cells))
+
+
+def fine_cell(lat: Column, lng: Column, radius_km: float, levels: int) -> Column:
+    """The part of its cell a point lies in, after halving the cell's sides ``levels`` times.
+
+    Shifting row and column right by one gives the part one level up, and by ``levels`` the cell itself.
+    """
+    parts = 2 ** levels
+    row = grid_row(lat, radius_km)
+    fine_row = F.floor((lat + 90.0) * (KM_PER_DEGREE / radius_km) * parts).cast("bigint")
+    columns = grid_columns(row, radius_km)
+    fine_column = F.pmod(F.floor((lng + 180.0) * columns / 360.0 * parts).cast("bigint"), columns * parts)
+    return F.struct(fine_row.alias("row"), fine_column.alias("column"))
+
+
+def may_reach(lat: Column, lng: Column, row: Column, column: Column, parts: Column, home_row: Column, radius_km: float) -> Column:
+    """Whether some point of a part of a cell can lie within the radius: false only where none can.
+
+    ``row`` and ``column`` count parts, of which a cell has ``parts`` by ``parts``; ``home_row`` is the
+    row of the cell.  The bound takes the haversine of both gaps, the second at the latitude nearest to a pole.
+    """
+    height = F.lit(radius_km / KM_PER_DEGREE) / parts
+    south = row * height - 90.0
+    north = south + height
+    lat_gap = F.greatest(F.lit(0.0), south - lat, lat - north)
+    width = F.lit(360.0) / (grid_columns(home_row, radius_km) * parts)
+    middle = (column + 0.5) * width - 180.0
+    turn = F.pmod(lng - middle + 540.0, F.lit(360.0)) - 180.0
+    lng_gap = F.least(F.greatest(F.lit(0.0), F.abs(turn) - width / 2), F.lit(180.0))
+    edge = F.least(F.greatest(F.abs(lat), F.abs(south), F.abs(north)), F.lit(90.0))
+    lat_sin, lng_sin = F.sin(F.radians(lat_gap) / 2), F.sin(F.radians(lng_gap) / 2)
+    chord = lat_sin * lat_sin + F.pow(F.cos(F.radians(edge)), 2) * lng_sin * lng_sin
+    return chord <= F.pow(F.sin(F.lit(radius_km / EARTH_RADIUS_KM / 2)), 2) * (1 + 1e-9) + 1e-18

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.sizing import BROADCAST_ROWS, broadcast_if_bounded, is_bounded
 
-# Facts of one key that one task takes, most keys that are dealt over several tasks, and
-# pieces of the facts without a key.
+# Facts of one key that one task takes, most keys that are dealt over several tasks,
+# pieces of the facts without a key, and rows of either side in one tile of a self-join.
 PIECE_ROWS = 1_000_000
 HEAVY_KEYS = 10_000
 NULL_PIECES = 64
+TILE_ROWS = 4_096
 
 
 def lookup_join(facts: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner",
@@ -92,24 +95,46 @@ def partner_counts(df: DataFrame, keys: list[str], member: str) -> DataFrame:
     return lookup_join(members, sizes, keys)
 
 
-def pairs_sharing(df: DataFrame, keys: list[str], member: str, close: Column | None = None) -> DataFrame:
+def pairs_sharing(df: DataFrame, keys: list[str], member: str, close: Column | None = None, tile_rows: int = TILE_ROWS) -> DataFrame:
     """Pairs ``left, right`` of different members that agree on all ``keys``.
 
     Meant for keys that already narrow the partners (a zone plus a grid cell plus a
-    channel); ``close`` is a further condition over the aliases ``l`` and ``r`` that is
+    channel); ``close`` is a further condition over the aliases ``l`` and ``r``, the same both ways, that is
     checked inside the join.  Each unordered pair is formed once and mirrored at the end.
+    The pairs of a key with more than ``tile_rows`` rows are formed in tiles, see ``pair_tiles``.
     """
-    left, right = df.alias("l"), df.alias("r")
-    condition = F.col(f"l.{member}") < F.col(f"r.{member}")
-    for key in keys:
+    left, right = (side.alias(name) for name, side in zip("lr", pair_tiles(df, keys, member, tile_rows)))
+    one, other = F.col(f"l.{member}"), F.col(f"r.{member}")
+    # within one block the smaller member comes first, between blocks the smaller block does
+    condition = F.when(F.col("l._tile.i") == F.col("l._tile.j"), one < other).otherwise(one != other)
+    for key in [*keys, "_tile"]:
         condition &= F.col(f"l.{key}") == F.col(f"r.{key}")
     if close is not None:
         condition &= close
-    once = left.join(right, condition).select(
-        F.col(f"l.{member}").alias("left"), F.col(f"r.{member}").alias("right")).distinct()
+    once = left.join(right, condition).select(F.least(one, other).alias("left"), F.greatest(one, other).alias("right")).distinct()
     return mirrored(once, "left", "right")
 
 
+def pair_tiles(df: DataFrame, keys: list[str], member: str, tile_rows: int = TILE_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a self-join on ``keys`` with ``_tile``, so that every unordered pair of rows meets in one tile.
+
+    A key with more than ``tile_rows`` rows has its members dealt over blocks; a row of block ``b`` stands
+    left in the tiles ``(b, j)`` from ``b`` on and right in ``(i, b)`` up to ``b``.
+    """
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > tile_rows)
+    heavy = broadcast_if_bounded(counts.select(*keys, F.ceil(F.col("_n") / tile_rows).cast("int").alias("_blocks")))
+    blocks = F.coalesce("_blocks", F.lit(1))
+    dealt = df.join(heavy, keys, "left").withColumn("_block", F.pmod(F.xxhash64(member), blocks).cast("int"))
+
+    def side(first: Column, last: Column, tile: Callable[[Column], Column]) -> DataFrame:
+        return (dealt.withColumn("_other", F.explode(F.sequence(first, last)))
+                .withColumn("_tile", tile(F.col("_other"))).drop("_other", "_block", "_blocks"))
+
+    own = F.col("_block")
+    return (side(own, blocks - 1, lambda j: F.struct(own.alias("i"), j.alias("j"))),
+            side(F.lit(0), own, lambda i: F.struct(i.alias("i"), own.alias("j"))))
+
+
 def mirrored(edges: DataFrame, left: str, right: str) -> DataFrame:
     """Both directions of edges given once each, in one pass."""
     both = F.explode(F.array(
@@ -136,4 +161,4 @@ def with_base_rate(rates: DataFrame, days: DataFrame, base: int, day: str = "day
 
 
 __all__ = ["lookup_join", "salted_join", "not_in", "has_match", "has_no_match", "partner_counts",
-           "pairs_sharing", "mirrored", "merge_by_key", "with_base_rate", "broadcast_if_bounded"]
+           "pairs_sharing", "pair_tiles", "mirrored", "merge_by_key", "with_base_rate", "broadcast_if_bounded"]

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martloom.functions.geo import cells_around, distance_km, home_cell
 from martloom.functions.time import local_time
 from martloom.operators.aggregates import PAGE_ELEMENTS, ordered_lists
-from martloom.operators.geo import nearest_place
+from martloom.operators.geo import nearest_place, within_distance
 from martloom.operators.joins import lookup_join, mirrored
 from martloom.operators.windows import best_island, changes, day_islands, first_per_key, latest_per_key, order_slices
 from martloom.session import cut_lineage
@@ -76,25 +75,23 @@ def friend_suggestions(messages: DataFrame, subscriptions: DataFrame, places: Da
 
     ``messages`` has ``event_id, user_id, message_to, ts, lat, lon``; ``subscriptions`` has
     ``user_id, channel``.  Partners are looked for only in neighbouring grid cells of the
-    same zone among subscribers of the same channel; each pair is formed once, with the
-    smaller id on the left, tested for distance and talks, and mirrored at the end.
+    same zone among subscribers of the same channel, and crowded cells are split.  Each pair is formed once per
+    shared channel, with the smaller id on the left; one exchange by the pair then
+    drops the repeats and the pairs that have talked, and the rest is mirrored.
     """
     last = latest_per_key(messages.select("user_id", "ts", "event_id", "lat", "lon"), ["user_id"], ["ts", "event_id"])
     last = nearest_place(last.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull()), places, "event_id").select(
         "user_id", "zone_id", "lat", "lon")
-    members = last.join(subscriptions.select("user_id", "channel").distinct(), "user_id")
-    left = members.select(
-        F.col("user_id").alias("user_left"), "zone_id", "channel", F.col("lat").alias("left_lat"), F.col("lon").alias("left_lon"),
-        F.explode(cells_around(F.col("lat"), F.col("lon"), radius_km)).alias("cell"))
-    right = members.select(
-        F.col("user_id").alias("user_right"), "zone_id", "channel", F.col("lat").alias("right_lat"),
-        F.col("lon").alias("right_lon"), home_cell(F.col("lat"), F.col("lon"), radius_km).alias("cell"))
-    apart = distance_km(F.col("left_lat"), F.col("left_lon"), F.col("right_lat"), F.col("right_lon"))
-    close = left.join(right, ["zone_id", "cell", "channel"]).filter(
-        (F.col("user_left") < F.col("user_right")) & (apart <= radius_km)).select("user_left", "user_right", "zone_id").distinct()
+    members = cut_lineage(last.join(subscriptions.select("user_id", "channel").distinct(), "user_id"))
+    one, other = (members.select(F.col("user_id").alias(f"{side}_user"), "zone_id", "channel", F.col("lat").alias(f"{side}_lat"),
+                                 F.col("lon").alias(f"{side}_lon")) for side in ("left", "right"))
+    close = within_distance(one, other, radius_km, ("left_lat", "left_lon"), ("right_lat", "right_lon"),
+                            on=["zone_id", "channel"], once=("left_user", "right_user"))
+    met = (close.select(F.least("left_user", "right_user").alias("user_left"), F.greatest("left_user", "right_user").alias("user_right"), "zone_id")
+           .groupBy("user_left", "user_right").agg(F.min("zone_id").alias("zone_id")))
     talked = messages.filter(F.col("message_to").isNotNull() & F.col("user_id").isNotNull()).select(
         F.least("user_id", "message_to").alias("user_left"), F.greatest("user_id", "message_to").alias("user_right")).distinct()
-    fresh = close.join(talked, ["user_left", "user_right"], "left_anti")
+    fresh = met.join(talked, ["user_left", "user_right"], "left_anti")
     return mirrored(fresh, "user_left", "user_right")
 
 

@@ -174,6 +174,55 @@ def test_within_distance_equals_brute_force(spark, centre, spread, radius):
     assert sorted((r.a, r.b) for r in found.collect()) == expected
 
 
+def crowded(seed=3, n=900):
+    """A third of the points at one spot, a third in one cell, the rest around it."""
+    draw = random.Random(seed)
+    at = [(10.0, 20.0)] * (n // 3) + [(10.0 + draw.uniform(0, 0.004), 20.0 + draw.uniform(0, 0.004)) for _ in range(n // 3)]
+    at += [(10.0 + draw.uniform(-0.03, 0.03), 20.0 + draw.uniform(-0.03, 0.03)) for _ in range(n - len(at))]
+    return [(i, lat, lng, i % 2) for i, (lat, lng) in enumerate(at)]
+
+
+@pytest.mark.parametrize("tile_rows", [20, 10_000])
+def test_crowded_cells_are_split_and_lose_nothing(spark, tile_rows):
+    points = crowded()
+    left = spark.createDataFrame(points, "a long, lat1 double, lng1 double, k int")
+    right = spark.createDataFrame(points, "b long, lat2 double, lng2 double, k int")
+    at = ("lat1", "lng1"), ("lat2", "lng2")
+    expected = sorted((p[0], q[0]) for p in points for q in points if p[3] == q[3] and brute_distance(p[1:], q[1:]) <= 1.0)
+    found = geo.within_distance(left, right, 1.0, *at, on=["k"], tile_rows=tile_rows)
+    assert sorted((r.a, r.b) for r in found.collect()) == expected  # each pair once
+    once = geo.within_distance(left, right, 1.0, *at, on=["k"], once=("a", "b"), tile_rows=tile_rows)
+    assert sorted(tuple(sorted((r.a, r.b))) for r in once.collect()) == [p for p in expected if p[0] < p[1]]
+    for side in geo.tiled(left, right, 1.0, *at, ["k"], None, tile_rows):
+        keys = [c for c in ("k", "_cell", "_tile") if c in side.columns]
+        assert side.groupBy(*keys).count().agg(F.max("count")).first()[0] <= 1.6 * tile_rows
+
+
+def test_parts_out_of_reach_are_left_out(spark):
+    """The left copies of a crowded cell go to the parts they may reach, not to all."""
+    points = crowded(n=3_000)
+    left = spark.createDataFrame(points, "a long, lat1 double, lng1 double, k int")
+    right = spark.createDataFrame(points, "b long, lat2 double, lng2 double, k int")
+    near, placed = geo.tiled(left, right, 1.0, ("lat1", "lng1"), ("lat2", "lng2"), [], None, 50)
+    tested = near.groupBy("_cell", "_tile").count().join(placed.groupBy("_cell", "_tile").count().withColumnRenamed("count", "other"), ["_cell", "_tile"])
+    pairs = tested.agg(F.sum(F.col("count") * F.col("other"))).first()[0]
+    whole, cells = geo.tiled(left, right, 1.0, ("lat1", "lng1"), ("lat2", "lng2"), [], None, 10 ** 6)
+    assert pairs < 0.95 * whole.join(cells, "_cell").count()
+
+
+def test_pairs_of_a_hot_key_are_formed_in_tiles(spark):
+    rows_ = [(u, 0) for u in range(300)] + [(u, u % 40) for u in range(300)]
+    df = spark.createDataFrame(rows_, "u long, k long").distinct()
+    held = {}
+    for u, k in {*rows_}:
+        held.setdefault(k, set()).add(u)
+    expected = sorted({(a, b) for us in held.values() for a in us for b in us if a != b})
+    for tile_rows in (16, 100, 4_096):
+        assert [tuple(r) for r in joins.pairs_sharing(df, ["k"], "u", tile_rows=tile_rows).sort("left", "right").collect()] == expected
+        for side in joins.pair_tiles(df, ["k"], "u", tile_rows):
+            assert side.groupBy("k", "_tile").count().agg(F.max("count")).first()[0] <= 2 * tile_rows
+
+
 def test_nearest_place_rules(spark, frame):
     places = frame([(2, 0.0, 10.0), (1, 0.0, -10.0), (3, 50.0, 50.0)], "id long, lat double, lng double")
     points = frame([(1, 0.0, 0.0), (2, None, 5.0), (3, 49.0, 50.0), (4, 0.0, 9.0)], "event_id long, lat double, lon double")
