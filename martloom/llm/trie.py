@@ -33,7 +33,6 @@ import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -135,9 +134,9 @@ def _after(state: State, digest: bytes | None, n_bytes: int) -> State:
     return state[0] + 1, (state[1] * _POINT + int.from_bytes(digest) % _FIELD + 1) % _FIELD, state[2] + n_bytes
 
 
-def _turns(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bytes | None, int]]:
+def _turns(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bytes | None, int, int]]:
     for batch in batches:
-        yield from zip(*(batch[c].to_pylist() for c in ("conv", "digest", "n_bytes")))
+        yield from zip(*(batch[c].to_pylist() for c in ("conv", "digest", "n_bytes", "part")))
 
 
 def _batches(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -159,9 +158,9 @@ _PLACES = pa.schema([("conv", pa.int64()), ("depth", pa.int64()), ("digest", pa.
 
 def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per partition: its first and its last conversation and what it holds of them."""
-    first = last = opening = None
+    first = last = opening = part = None
     state: State = (0, 0, 0)
-    for conv, digest, n_bytes in _turns(batches):
+    for conv, digest, n_bytes, part in _turns(batches):
         if conv != last:
             if last is None:
                 first = conv
@@ -170,7 +169,7 @@ def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             last, state = conv, (0, 0, 0)
         state = _after(state, digest, n_bytes)
     if last is not None:
-        row = TaskContext.get().partitionId(), first, last, pickle.dumps(opening or state), pickle.dumps(state)
+        row = part, first, last, pickle.dumps(opening or state), pickle.dumps(state)
         yield from _batches(iter([row]), _STRETCHES)
 
 
@@ -182,7 +181,8 @@ def _scanned(rows: DataFrame, order: list[Column]) -> DataFrame:
     partition comes to the driver, and goes back where a conversation crosses into a partition.
     """
     shared_dir(rows.sparkSession)
-    placed = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("conv", "digest", "n_bytes").checkpoint()
+    placed = rows.repartitionByRange(*order).sortWithinPartitions(*order).select(
+        "conv", "digest", "n_bytes", F.spark_partition_id().alias("part")).checkpoint()
     parts = sorted(tuple(r) for r in placed.mapInArrow(
         _stretches, "part long, first long, last long, first_state binary, last_state binary").collect())
     carried, goes_on, conv, state = {}, set(), None, (0, 0, 0)
@@ -194,12 +194,12 @@ def _scanned(rows: DataFrame, order: list[Column]) -> DataFrame:
         conv = last
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-
         def found() -> Iterator[tuple]:
-            state, before, waiting = carried.get(part, (0, 0, 0)), None, None
-            for conv, digest, n_bytes in _turns(batches):
-                if before is not None and conv != before:
+            state, before, waiting, part = (0, 0, 0), None, None, None
+            for conv, digest, n_bytes, part in _turns(batches):
+                if before is None:
+                    state = carried.get(part, state)
+                elif conv != before:
                     state = (0, 0, 0)
                 if waiting is not None:
                     yield *waiting, conv != before
