@@ -255,6 +255,23 @@ def order_messages(spark: SparkSession, base: str) -> DataFrame:
                 "products").alias("payload")))
 
 
+def order_rows(spark: SparkSession, base: str) -> DataFrame:
+    """The lines of the order messages as flat columns, for readers that need no messages."""
+    orders = table(spark, base, "orders")
+    customers = table(spark, base, "customer").select("c_custkey", "c_name")
+    lines = spread_if_small(table(spark, base, "lineitem").select("l_orderkey", "l_partkey"))
+    parts = table(spark, base, "part").select("p_partkey", "p_name", "p_type")
+    wide = (lines.join(orders, F.col("o_orderkey") == F.col("l_orderkey")).join(customers, F.col("o_custkey") == F.col("c_custkey"))
+            .join(parts, F.col("l_partkey") == F.col("p_partkey")))
+    return wide.select(
+        F.col("o_orderkey").cast("string").alias("order_id"), F.col("o_orderdate").cast("timestamp").alias("order_dt"),
+        F.when(F.col("o_orderstatus") == "F", "CLOSED").otherwise("OPEN").alias("status"),
+        F.col("o_totalprice").alias("ordercost"), F.col("o_totalprice").alias("payment"), F.col("c_custkey").cast("string").alias("user_id"),
+        F.col("c_name").alias("username"), F.lower("c_name").alias("userlogin"), (F.col("o_custkey") % 50).cast("string").alias("restaurant_id"),
+        F.concat(F.lit("Place "), (F.col("o_custkey") % 50).cast("string")).alias("restaurantname"),
+        F.col("l_partkey").cast("string").alias("product_id"), F.col("p_name").alias("productname"), F.col("p_type").alias("category_name"))
+
+
 MESSAGE_LINES_SQL = """(SELECT DISTINCT CAST(o_orderkey AS VARCHAR) AS order_id, o_orderdate AS order_dt, CASE WHEN o_orderstatus = 'F' THEN 'CLOSED' ELSE 'OPEN' END AS status,
   o_totalprice AS cost, CAST(c_custkey AS VARCHAR) AS user_id, c_name AS username, lower(c_name) AS userlogin,
   CAST(o_custkey % 50 AS VARCHAR) AS restaurant_id, 'Place ' || (o_custkey % 50) AS restaurantname,

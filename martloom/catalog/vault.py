@@ -8,8 +8,8 @@ from martloom.catalog import standins as data
 from martloom.catalog.registry import query, time_text
 from martloom.functions.keys import link_hash
 from martloom.operators.increments import unseen
-from martloom.operators.vault import append_unseen, hub, order_lines, order_vault
-from martloom.session import cut_lineage, scratch_path
+from martloom.operators.vault import VAULT_TABLES, append_unseen, hub, line_vault, order_lines, vault_rows, vault_table
+from martloom.session import scratch_path
 from martloom.sources import files
 from martloom.tables import table
 
@@ -17,14 +17,10 @@ LOADED = "2024-02-01 00:00:00"
 LINES = data.MESSAGE_LINES_SQL
 
 
-def vault(spark, base, written=False):
-    """All vault tables of the order messages, loaded at a fixed time.
-
-    With ``written`` the nested messages are written once, as a topic would hold them, for
-    readers of several tables; a single table is built straight from the columns it needs.
-    """
-    messages = data.order_messages(spark, base)
-    return order_vault(cut_lineage(messages) if written else messages, F.lit(LOADED).cast("timestamp"))
+def vault(spark, base):
+    """All vault tables of the orders, loaded at a fixed time; the one that is read is built from the columns it needs."""
+    rows = data.order_rows(spark, base)
+    return line_vault(rows, rows, F.lit(LOADED).cast("timestamp"))
 
 
 def _stamped(df, *columns):
@@ -129,7 +125,12 @@ def link_product_restaurant(spark, base):
 SELECT {data.uuid_sql('order_id')} AS h_order_pk, {data.uuid_sql('user_id')} AS h_user_pk, {data.uuid_sql('product_id')} AS h_product_pk, productname,
  {data.uuid_sql('category_name')} AS h_category_pk, category_name, status FROM {LINES}""")
 def order_line_read(spark, base):
-    return order_lines(vault(spark, base, written=True))
+    """From nested messages, as a topic holds them: one pass over them, one shuffle for the rows of all tables."""
+    rows = vault_rows(data.order_messages(spark, base), F.lit(LOADED).cast("timestamp")).dropDuplicates(["table", "key"])
+    path = scratch_path(spark, "vault")
+    rows.write.partitionBy("table").parquet(path)
+    stored = spark.read.schema(rows.schema).parquet(path)
+    return order_lines({name: vault_table(stored, name) for name in VAULT_TABLES})
 
 
 @query("v05_social_link", "SELECT user_id, group_id FROM (SELECT DISTINCT user_id, CAST(json_extract(props, '$.k') AS BIGINT) AS group_id FROM events) WHERE (user_id, group_id) NOT IN (SELECT (user_id, CAST(json_extract(props, '$.k') AS BIGINT)) FROM events WHERE ts < TIMESTAMP '2024-01-10')")

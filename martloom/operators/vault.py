@@ -60,45 +60,126 @@ def append_unseen(built: DataFrame, loaded: DataFrame | None, key: str) -> DataF
 
 
 def order_vault(messages: DataFrame, load_dt: Column | None = None, load_src: str = LOAD_SOURCE) -> dict[str, DataFrame]:
-    """All hubs, satellites and links of nested order messages (column ``payload``)."""
-    stamp = F.current_timestamp() if load_dt is None else load_dt
-    order = messages.select(
+    """All hubs, satellites and links of nested order messages (column ``payload``), each built on its own."""
+    flat = flat_orders(messages)
+    return line_vault(flat.filter(_FIRST), flat.filter(_HAS_PRODUCT), load_dt, load_src)
+
+
+def flat_orders(messages: DataFrame) -> DataFrame:
+    """One row per message and product, numbered by ``_pos``; a message without products keeps a row."""
+    return messages.select(
         F.col("payload.id").alias("order_id"), F.col("payload.date").alias("order_dt"),
         F.col("payload.status").alias("status"), F.col("payload.cost").alias("ordercost"),
         F.col("payload.payment").alias("payment"),
         F.col("payload.user.id").alias("user_id"), F.col("payload.user.name").alias("username"),
         F.col("payload.user.login").alias("userlogin"),
-        F.col("payload.restaurant.id").alias("restaurant_id"),
-        F.col("payload.restaurant.name").alias("restaurantname"))
-    line = messages.select(
-        F.col("payload.id").alias("order_id"), F.col("payload.restaurant.id").alias("restaurant_id"),
-        F.explode("payload.products").alias("p")).select(
-        "order_id", "restaurant_id", F.col("p.id").alias("product_id"), F.col("p.name").alias("productname"),
-        F.col("p.category").alias("category_name"))
-    args = (stamp, load_src)
-    return {
-        "h_user": hub(order, "h_user_pk", "user_id", *args),
-        "h_product": hub(line, "h_product_pk", "product_id", *args),
-        "h_restaurant": hub(order, "h_restaurant_pk", "restaurant_id", *args),
-        "h_order": hub(order, "h_order_pk", "order_id", *args, extra=["order_dt"]),
-        "h_category": hub(line, "h_category_pk", "category_name", *args),
-        "s_user_names": satellite(order, "h_user_pk", "user_id", {"username": "username", "userlogin": "userlogin"},
-                                  "hk_user_names_hashdiff", *args),
-        "s_restaurant_names": satellite(order, "h_restaurant_pk", "restaurant_id",
-                                        {"restaurantname": "restaurantname"}, "hk_restaurant_names_hashdiff", *args),
-        "s_product_names": satellite(line, "h_product_pk", "product_id", {"productname": "productname"},
-                                     "hk_product_names_hashdiff", *args),
-        "s_order_status": satellite(order, "h_order_pk", "order_id", {"status": "status"},
-                                    "hk_order_status_hashdiff", *args),
-        "s_order_cost": satellite(order, "h_order_pk", "order_id", {"ordercost": "ordercost", "payment": "payment"},
-                                  "hk_order_cost_hashdiff", *args),
-        "l_order_product": link(line, "hk_order_product_pk", {"h_order_pk": "order_id", "h_product_pk": "product_id"}, *args),
-        "l_order_user": link(order, "hk_order_user_pk", {"h_order_pk": "order_id", "h_user_pk": "user_id"}, *args),
-        "l_product_category": link(line, "hk_product_category_pk",
-                                   {"h_product_pk": "product_id", "h_category_pk": "category_name"}, *args),
-        "l_product_restaurant": link(line, "hk_product_restaurant_pk",
-                                     {"h_product_pk": "product_id", "h_restaurant_pk": "restaurant_id"}, *args),
-    }
+        F.col("payload.restaurant.id").alias("restaurant_id"), F.col("payload.restaurant.name").alias("restaurantname"),
+        F.posexplode_outer("payload.products").alias("_pos", "p")).select(
+        "*", F.col("p.id").alias("product_id"), F.col("p.name").alias("productname"), F.col("p.category").alias("category_name")).drop("p")
+
+
+_FIRST, _HAS_PRODUCT = "coalesce(_pos, 0) = 0", "_pos IS NOT NULL"
+
+
+def line_vault(order: DataFrame, line: DataFrame, load_dt: Column | None = None, load_src: str = LOAD_SOURCE) -> dict[str, DataFrame]:
+    """The tables from flat columns: ``order`` has those of orders, ``line`` those of their lines; rows may repeat."""
+    args = (F.current_timestamp() if load_dt is None else load_dt, load_src)
+    sides = {"order": order, "line": line}
+    built = {}
+    for name, (side, kind, *described) in VAULT_TABLES.items():
+        make = {"hub": hub, "link": link, "satellite": satellite}[kind]
+        if kind == "hub":
+            pk, business_key, extra = described
+            built[name] = make(sides[side], pk, business_key, *args, extra=extra)
+        else:
+            built[name] = make(sides[side], *described, *args)
+    return built
+
+
+# The tables of the vault, from which columns they come, and how their own are called.
+VAULT_TABLES = {
+    "h_user": ("order", "hub", "h_user_pk", "user_id", []),
+    "h_product": ("line", "hub", "h_product_pk", "product_id", []),
+    "h_restaurant": ("order", "hub", "h_restaurant_pk", "restaurant_id", []),
+    "h_order": ("order", "hub", "h_order_pk", "order_id", ["order_dt"]),
+    "h_category": ("line", "hub", "h_category_pk", "category_name", []),
+    "s_user_names": ("order", "satellite", "h_user_pk", "user_id", {"username": "username", "userlogin": "userlogin"},
+                     "hk_user_names_hashdiff"),
+    "s_restaurant_names": ("order", "satellite", "h_restaurant_pk", "restaurant_id", {"restaurantname": "restaurantname"},
+                           "hk_restaurant_names_hashdiff"),
+    "s_product_names": ("line", "satellite", "h_product_pk", "product_id", {"productname": "productname"}, "hk_product_names_hashdiff"),
+    "s_order_status": ("order", "satellite", "h_order_pk", "order_id", {"status": "status"}, "hk_order_status_hashdiff"),
+    "s_order_cost": ("order", "satellite", "h_order_pk", "order_id", {"ordercost": "ordercost", "payment": "payment"},
+                     "hk_order_cost_hashdiff"),
+    "l_order_product": ("line", "link", "hk_order_product_pk", {"h_order_pk": "order_id", "h_product_pk": "product_id"}),
+    "l_order_user": ("order", "link", "hk_order_user_pk", {"h_order_pk": "order_id", "h_user_pk": "user_id"}),
+    "l_product_category": ("line", "link", "hk_product_category_pk", {"h_product_pk": "product_id", "h_category_pk": "category_name"}),
+    "l_product_restaurant": ("line", "link", "hk_product_restaurant_pk",
+                             {"h_product_pk": "product_id", "h_restaurant_pk": "restaurant_id"}),
+}
+
+
+# Columns that are not text.
+_KINDS = {"order_dt": "timestamp", "ordercost": "double", "payment": "double"}
+_PLACES = ("first", "second", "third")
+
+
+def key_of(name: str) -> str:
+    """The column that tells the rows of a table apart: its own key, or the hash of a satellite's attributes."""
+    _, kind, pk, *described = VAULT_TABLES[name]
+    return described[-1] if kind == "satellite" else pk
+
+
+def _held(name: str) -> list[str]:
+    """The columns of a table besides its key and the stamp, in order."""
+    _, kind, pk, *described = VAULT_TABLES[name]
+    if kind == "hub":
+        return [described[0], *described[1]]
+    return list(described[0]) if kind == "link" else [pk, *described[1]]
+
+
+def vault_rows(messages: DataFrame, load_dt: Column | None = None, load_src: str = LOAD_SOURCE) -> DataFrame:
+    """The rows of all tables in one pass over nested messages: ``table, key``, up to three values as text, and the stamp.
+
+    Rows repeat as often as they come; one shuffle by table and key leaves the first of each.
+    ``vault_table`` gives the columns back their names and types.
+    """
+    flat = flat_orders(messages)
+    hubs = {pk: F.col(key) for _, kind, pk, key, *_ in VAULT_TABLES.values() if kind == "hub"}
+    keyed = flat.withColumns({pk: joined_key(key) for pk, key in hubs.items()})  # each worked out once for all tables
+    text = {c: plain_number(F.col(c)) if kind in ("double", "float") else F.col(c) for c, kind in flat.dtypes}
+
+    def as_text(column: str) -> Column:
+        return (F.unix_micros(column) if _KINDS.get(column) == "timestamp" else F.col(column)).cast("string")
+
+    made = []
+    for name, (side, kind, pk, *described) in VAULT_TABLES.items():
+        there = F.expr(_FIRST if side == "order" else _HAS_PRODUCT)
+        values = [as_text(c) for c in _held(name)]
+        if kind == "hub":
+            there, key = there & F.col(described[0]).isNotNull(), F.col(pk)
+        elif kind == "link":
+            key = joined_key(*[F.col(c) for c in described[0].values()])
+        else:
+            business_key, attributes, _ = described
+            values[1:] = [as_text(c) for c in attributes.values()]
+            key = joined_key(F.col(business_key), *[text[c] for c in attributes.values()])
+        values += [F.lit(None).cast("string")] * (len(_PLACES) - len(values))
+        made.append(F.when(there, F.struct(F.lit(name).alias("table"), key.alias("key"), *[v.alias(c) for c, v in zip(_PLACES, values)])))
+    rows = keyed.select(F.explode(F.array_compact(F.array(*made))).alias("row")).select("row.*")
+    return rows.withColumns({"load_dt": F.current_timestamp() if load_dt is None else load_dt, "load_src": F.lit(load_src)})
+
+
+def vault_table(rows: DataFrame, name: str) -> DataFrame:
+    """One table out of the typed rows, with its own columns."""
+    def typed(column: str, place: str) -> Column:
+        kind = _KINDS.get(column, "string")
+        value = F.timestamp_micros(F.col(place).cast("bigint")) if kind == "timestamp" else F.col(place).cast(kind)
+        return value.alias(column)
+
+    held, key, stamp = [typed(c, place) for c, place in zip(_held(name), _PLACES)], F.col("key").alias(key_of(name)), ["load_dt", "load_src"]
+    ordered = [*held, *stamp, key] if VAULT_TABLES[name][1] == "satellite" else [key, *held, *stamp]
+    return rows.filter(F.col("table") == name).select(*ordered)
 
 
 def order_lines(vault: dict[str, DataFrame]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from martloom import session
 from martloom.models import corpus, describe, hypothesis, metrics, neighbours, training
 from martloom.sources import files, geo_events, jdbc, queue
-from martloom.streaming import jobs, runs
+from martloom.streaming import jobs, runs, state
 
 
 def test_quoted_text_round_trip(spark, frame, tmp_path):
@@ -44,6 +44,46 @@ def test_keyed_stream_write_is_idempotent(spark, frame, tmp_path):
     assert rows(spark.read.parquet(str(tmp_path / "hub")), "k") == [(1,), (2,), (3,)]
 
 
+def test_work_per_batch_follows_the_batch(spark, frame, tmp_path):
+    """Twenty batches of ten rows: a batch updates its own new keys, and a row is written once per tier."""
+    source, written = str(tmp_path / "in"), []
+    for n in range(20):
+        frame([((n * 5 + k) % 73,) for k in range(10)], "k long").coalesce(1).write.mode("append").parquet(source)
+    table = state.FoldedTable(spark, str(tmp_path / "hub"), ["k"], "first", fan=4)
+    write = table._write
+    table._write = lambda rows_, tier, run: (write(rows_, tier, run), written.append(spark.read.schema("k long").parquet(table._folder(tier, run)).count()))
+    stream = spark.readStream.schema("k long").option("maxFilesPerTrigger", 1).parquet(source)
+    query = runs.start(state.first_arrivals(stream, ["k"]), table.add, str(tmp_path / "cp"), None)
+    query.awaitTermination()
+    progress = [p for p in query.recentProgress if p.numInputRows]
+    assert len(progress) == 20 and all(p.stateOperators[0].numRowsUpdated <= 10 for p in progress)
+    assert progress[-1].stateOperators[0].numRowsTotal == 73
+    assert sorted(r.k for r in table.read().collect()) == list(range(73))
+    assert table.runs() <= 3 + 3 and sum(written) <= 73 * 3  # tiers 0, 1 and 2
+
+
+@pytest.mark.parametrize("fold, expected", [("sum", {1: 4, 2: 2, 3: 4, 4: 4}), ("latest", {1: 1, 2: 1, 3: 2, 4: 4})])
+def test_folded_table_takes_a_repeated_batch_once(spark, frame, tmp_path, fold, expected):
+    batches = [[(1, 1), (2, 1)], [(1, 2), (2, 1)], [(1, 1), (3, 2)], [(3, 2), (4, 4)]]
+    table = state.FoldedTable(spark, str(tmp_path / "t"), ["k"], fold, fan=2)
+    for batch_id in (0, 0, 1, 0, 1, 2, 2, 1, 3, 3, 0, 2):
+        table.add(frame(batches[batch_id], "k long, n long"), batch_id)
+    assert {r.k: r.n for r in table.read().collect()} == expected
+    assert table.runs() == 1
+    table.add(frame([], "k long, n long"), 4)
+    again = state.FoldedTable(spark, str(tmp_path / "t"), ["k"], fold, fan=2)
+    assert {r.k: r.n for r in again.read().collect()} == expected and again.runs() == 2
+
+
+def test_broken_off_fold_is_hidden(spark, frame, tmp_path):
+    """Runs that a complete higher run covers are not read, even if they were not deleted."""
+    table = state.FoldedTable(spark, str(tmp_path / "t"), ["k"], "sum", fan=2)
+    table.add(frame([(1, 5)], "k long, n long"), 0)
+    table.add(frame([(1, 7)], "k long, n long"), 1)
+    table._write(frame([(1, 5, 0)], "k long, n long, batch_id long"), 0, 0)
+    assert [r.n for r in table.read().collect()] == [12]
+
+
 def test_two_files_make_two_batches_and_absolute_counts(spark, frame, tmp_path):
     source, sink = str(tmp_path / "in"), str(tmp_path / "out")
     for n in (1, 2):
