@@ -1,15 +1,24 @@
-"""Exact k nearest neighbours by blocks."""
+"""Exact k nearest neighbours, by blocks or, where distances can rule rows out, by the cells of pivots."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from functools import reduce
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from martloom.session import cut_lineage
+
 # Rows per block and queries per matrix product; two blocks and their distances fit easily into one task.
+# Training rows per cell, and most pivots: they go to every task.
 BLOCK_ROWS = 4_096
 PIECE_ROWS = 256
+CELL_ROWS = 512
+MOST_PIVOTS = 4_096
 
 
 def nearest(queries: DataFrame, train: DataFrame, k: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -37,6 +46,123 @@ def nearest(queries: DataFrame, train: DataFrame, k: int, block_rows: int = BLOC
     return found.withColumn("_rank", rank).filter(F.col("_rank") <= k).drop("_rank")
 
 
+def nearest_by_cells(queries: DataFrame, train: DataFrame, k: int, block_rows: int = BLOCK_ROWS,
+                     cell_rows: int = CELL_ROWS) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``nearest`` by way of pivots, and the work this took: ``round, pairs, all_pairs``.
+
+    About one training row in ``cell_rows`` is a pivot (``MOST_PIVOTS`` at most), chosen by hash,
+    and every row belongs to the cell of its nearest pivot.  A first round compares each query with its
+    own cell.  The distance of its ``k``-th neighbour so far, or the distance within which the counted
+    radii of the nearest cells promise ``k`` rows, then rules out by the triangle inequality every
+    cell whose ring of distances from its pivot lies farther away; a second round visits the others.
+    Cells with more than ``block_rows`` rows of a side are compared in blocks.
+    """
+    rows = train.count()
+    wanted = max(1, min(MOST_PIVOTS, rows // cell_rows))
+    drawn = train.orderBy(F.xxhash64("id"), "id").limit(4 * wanted).select("vector").collect()
+    pivots = list(dict.fromkeys(tuple(r.vector) for r in drawn))[:wanted]  # equal pivots would leave cells empty
+    if not pivots:
+        return nearest(queries, train, k, block_rows), _work(queries, [], 0, rows)
+    centres = np.array(pivots, float)
+    known = cut_lineage(_in_cells(train.select("id", "vector", F.col("label").cast("bigint").alias("label")), centres))
+    asked = cut_lineage(_in_cells(queries.select("id", "vector"), centres))
+    rings = known.groupBy("cell").agg(F.count("*").alias("n"), F.min("away").alias("inner"), F.max("away").alias("outer"))
+    held = sorted((r.cell, r.n, r.inner, r.outer) for r in rings.collect())  # one row per pivot
+
+    first, first_pairs = _compared(asked.select("id", "vector", "cell"), known, k, block_rows)
+    first = cut_lineage(first)
+    reached = first.groupBy("query_id").agg(F.when(F.count("*") >= k, F.max("distance")).alias("reach"))
+    open_queries = asked.join(reached.withColumnRenamed("query_id", "id"), "id", "left")
+    onward = cut_lineage(open_queries.select("id", "vector", "cell", "reach").mapInArrow(
+        _onward(centres, held, k), _schema(asked, "id", "vector") + ", cell int"))
+    second, second_pairs = _compared(onward, known, k, block_rows)
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "neighbour_id"))
+    found = first.unionByName(second).withColumn("_rank", rank).filter(F.col("_rank") <= k).drop("_rank")
+    return found, _work(queries, [first_pairs, second_pairs], queries.count(), rows)
+
+
+def _schema(df: DataFrame, *columns: str) -> str:
+    kinds = dict(df.dtypes)
+    return ", ".join(f"{c} {kinds[c]}" for c in columns)
+
+
+def _matrix(vectors: pa.Array) -> np.ndarray:
+    return vectors.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(vectors), -1)
+
+
+def _distances(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """All distances between points and centres, by products and therefore rough in the last digits."""
+    squares = (points * points).sum(axis=1)[:, None] - 2.0 * (points @ centres.T) + (centres * centres).sum(axis=1)
+    return np.sqrt(np.maximum(squares, 0.0))
+
+
+def _in_cells(rows: DataFrame, centres: np.ndarray) -> DataFrame:
+    """``rows`` with the number of the nearest pivot and the distance to it."""
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, PIECE_ROWS):
+                piece = batch.slice(at, PIECE_ROWS)
+                points = _matrix(piece["vector"])
+                cell = _distances(points, centres).argmin(axis=1)
+                away = np.sqrt(((points - centres[cell]) ** 2).sum(axis=1))
+                yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(cell, pa.int32()), pa.array(away)], [*piece.schema.names, "cell", "away"])
+
+    return rows.mapInArrow(place, f"{_schema(rows, *rows.columns)}, cell int, away double")
+
+
+def _onward(centres: np.ndarray, rings: list[tuple], k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For each query the further cells that may hold one of its ``k`` nearest."""
+    cells, counts, inner, outer = (np.array(column) for column in zip(*rings))
+
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, PIECE_ROWS):
+                piece = batch.slice(at, PIECE_ROWS)
+                away = _distances(_matrix(piece["vector"]), centres[cells])
+                # a cell lies wholly within this; the query itself may be one of the rows counted
+                within = away + outer
+                order = np.argsort(within, axis=1)
+                enough = np.cumsum(counts[order], axis=1) > k
+                last = np.where(enough.any(axis=1), enough.argmax(axis=1), len(cells) - 1)
+                promised = np.where(enough.any(axis=1), np.take_along_axis(within, order, axis=1)[np.arange(len(last)), last], np.inf)
+                reach = np.minimum(promised, piece["reach"].fill_null(np.inf).to_numpy(zero_copy_only=False))
+                nearest_row = np.maximum(away - outer, inner - away)
+                slack = 1e-6 * (1.0 + away)  # far above the rounding of the distances
+                row, column = np.nonzero((nearest_row <= reach[:, None] + slack) & (cells != piece["cell"].to_numpy()[:, None]))
+                taken = piece.select(["id", "vector"]).take(pa.array(row))
+                yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(cells[column], pa.int32())], ["id", "vector", "cell"])
+
+    return visit
+
+
+def _compared(asked: DataFrame, known: DataFrame, k: int, block_rows: int) -> tuple[DataFrame, DataFrame]:
+    """The best ``k`` rows of its cell for every query row, and ``pairs``: how many distances that takes."""
+    def dealt(df: DataFrame, name: str) -> DataFrame:
+        counted = df.groupBy("cell").agg(F.count("*").alias(f"{name}_rows"))
+        return counted.withColumn(f"{name}_blocks", F.ceil(F.col(f"{name}_rows") / block_rows).cast("int"))
+
+    # at most one row per pivot
+    sizes = F.broadcast(cut_lineage(dealt(asked, "asked").join(dealt(known, "known"), "cell")))
+    def numbers(count: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+    def own(count: str) -> Column:
+        return F.pmod(F.xxhash64("id"), F.col(count)).cast("int")
+    left = asked.join(sizes, "cell").select("id", "vector", F.col("cell").alias("qc"), own("asked_blocks").alias("qb"), numbers("known_blocks").alias("tb"))
+    right = known.join(sizes, "cell").select(
+        F.col("id").alias("neighbour_id"), F.col("vector").alias("point"), "label", F.col("cell").alias("train_cell"),
+        own("known_blocks").alias("train_block"), numbers("asked_blocks").alias("query_block"))
+    found = left.groupBy("qc", "qb", "tb").cogroup(right.groupBy("train_cell", "query_block", "train_block")).applyInPandas(
+        lambda q, t: best_in_block(q, t, k), "query_id long, neighbour_id long, distance double, label long")
+    return found, sizes.agg(F.coalesce(F.sum(F.col("asked_rows") * F.col("known_rows")), F.lit(0)).alias("pairs"))
+
+
+def _work(queries: DataFrame, pairs: list[DataFrame], asked: int, known: int) -> DataFrame:
+    rounds = [p.select(F.lit(n).alias("round"), "pairs", F.lit(asked * known).alias("all_pairs")) for n, p in enumerate(pairs, 1)]
+    if not rounds:
+        return queries.sparkSession.createDataFrame([], "round int, pairs long, all_pairs long")
+    return reduce(DataFrame.unionByName, rounds)
+
+
 def best_in_block(queries: pd.DataFrame, train: pd.DataFrame, k: int) -> pd.DataFrame:
     """Best ``k`` of one training block for each query of one block, from matrix products of ``PIECE_ROWS`` queries."""
     columns = ["query_id", "neighbour_id", "distance", "label"]
@@ -67,5 +193,6 @@ def best_in_block(queries: pd.DataFrame, train: pd.DataFrame, k: int) -> pd.Data
 
 def classify(queries: DataFrame, train: DataFrame, k: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Majority label of the ``k`` nearest rows; ties go to the smallest label."""
-    votes = nearest(queries, train, k, block_rows).groupBy("query_id", "label").agg(F.count("*").alias("votes"))
+    found, _ = nearest_by_cells(queries, train, k, block_rows)
+    votes = found.groupBy("query_id", "label").agg(F.count("*").alias("votes"))
     return votes.groupBy("query_id").agg(F.min(F.struct(-F.col("votes"), F.col("label").alias("label")))["label"].alias("prediction"))

@@ -127,6 +127,32 @@ def test_ranking_metrics(frame):
     assert metrics.threshold_for(df, 0.0).first().threshold == 0.9
 
 
+@pytest.mark.parametrize("block_rows, cell_rows", [(4_096, 30), (20, 60), (4_096, 10_000)])
+def test_cells_give_the_rows_of_the_blocks(spark, block_rows, cell_rows):
+    """Clustered points, a third of them at one spot, and fewer rows than neighbours in some cells."""
+    draw = np.random.default_rng(5)
+    points = np.concatenate([draw.normal(c, 0.3, (40, 3)) for c in range(0, 100, 10)] + [np.full((200, 3), 50.0), draw.normal(500, 1, (2, 3))])
+    df = spark.createDataFrame([(i, p.tolist(), i % 3) for i, p in enumerate(points)], "id long, vector array<double>, label int")
+    columns = ["query_id", "neighbour_id", "distance", "label"]
+    expected = rows(neighbours.nearest(df.select("id", "vector"), df, 5), *columns)
+    found, work = neighbours.nearest_by_cells(df.select("id", "vector"), df, 5, block_rows, cell_rows)
+    assert rows(found, *columns) == expected
+    pairs, everything = sum(r.pairs for r in work.collect()), work.first().all_pairs
+    assert everything == len(points) ** 2
+    if cell_rows == 30:
+        assert pairs < 0.35 * everything  # the spot alone has a tenth of all pairs
+    if cell_rows == 10_000:
+        assert pairs == everything
+
+
+def test_cells_without_training_rows(spark):
+    none = spark.createDataFrame([], "id long, vector array<double>, label int")
+    found, work = neighbours.nearest_by_cells(none.select("id", "vector"), none, 5)
+    assert found.collect() == [] and work.collect() == []
+    one = spark.createDataFrame([(1, [0.0], 4)], "id long, vector array<double>, label int")
+    assert neighbours.nearest_by_cells(one.select("id", "vector"), one, 5)[0].collect() == []
+
+
 def test_neighbours_equal_brute_force_over_blocks(spark):
     made = np.random.default_rng(5).normal(size=(90, 6))
     made[10] = made[20]  # copies tie at distance zero
