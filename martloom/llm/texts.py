@@ -7,12 +7,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SPACE = b" \t\n\x0b\x0c\r"
 # bytes that follow the first byte of a code point
 CONTINUATION = bytes(range(0x80, 0xC0))
 SHINGLE = 5
+SIEVE_BITS = 1 << 25  # a bitmap of 4 MB
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -71,5 +73,21 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def sieve(rows: DataFrame, key: str, ids: DataFrame, bits: int = SIEVE_BITS) -> DataFrame:
+    """The rows whose ``key`` may be among ``ids`` (one column): all that are, and few others.
+
+    Drops rows where they are read, before an exact join would move them.  The bitmap goes to all tasks as
+    at most ``bits / 64`` rows, however many ids there are; with too many ids it lets all rows pass.
+    """
+    def place(column: str) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(bits))
+
+    name, word, mask = ids.columns[0], unused(rows, "_word"), unused(rows, "_mask")
+    words = (ids.select(place(name).alias("place")).groupBy(F.shiftright("place", 6).alias(word))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(place % 64 as int))")).alias(mask)))
+    marked = rows.withColumn(word, F.shiftright(place(key), 6)).join(F.broadcast(words), word)
+    return marked.filter(F.getbit(F.col(mask), (place(key) % 64).cast("int")) == 1).select(*[F.col(f"`{c}`") for c in rows.columns])
+
+
 def table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base}/{name}.parquet")

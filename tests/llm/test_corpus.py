@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from martloom.llm import decontaminate, language, lines, mixing, neardup, quality, toxicity
 from martloom.llm.queries import ORACLES, QUERIES
-from martloom.llm.texts import code_points, shingle_set, table
+from martloom.llm.texts import code_points, shingle_set, sieve, table
 
 BASE = "/root/testdata/sf0.001"
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -149,6 +149,16 @@ def test_large_bucket_is_compared_in_blocks(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found} == brute_groups(rows)
 
 
+@pytest.mark.parametrize("bits", [64, 1 << 12, 1 << 25])
+def test_sieve_lets_all_wanted_rows_pass(spark, bits):
+    rows = spark.createDataFrame([(i, i, "x") for i in range(2_000)] + [(None, 0, "x")], "doc_id bigint, _word bigint, _mask string")
+    passed = {r[0] for r in sieve(rows, "doc_id", rows.filter("doc_id % 40 = 7").select("doc_id"), bits).collect()}
+    assert passed >= set(range(7, 2_000, 40)) and sieve(rows, "doc_id", rows.select("doc_id").limit(0), bits).collect() == []
+    if bits == 1 << 25:
+        assert len(passed) <= 60
+    assert sieve(rows, "doc_id", rows.select("doc_id"), bits).columns == rows.columns
+
+
 def test_signature_estimates_similarity():
     a = np.arange(1, 1001, dtype=np.uint64)
     b = np.arange(201, 1201, dtype=np.uint64)
