@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.catalog.registry import big, query
-from martloom.models import corpus, metrics, series, training
+from martloom.catalog.statistics import HOURS_SQL
+from martloom.models import corpus, metrics, moments, series, training
 from martloom.session import cut_lineage
 from martloom.tables import table
 
@@ -173,20 +174,54 @@ def l23(spark, base):
 
 
 SEARCH_GRID = training.grid_of(regParam=[0.0, 0.001, 0.01], elasticNetParam=[0.0, 1.0])
-TRIED_SQL = ", ".join(f"({s['regParam']}::DOUBLE, {s['elasticNetParam']}::DOUBLE)" for s in training.chosen_settings(SEARCH_GRID, 3))
 
 
-@query("l24_parameter_search", f"SELECT reg_param, elastic_net, TRUE AS better_than_chance FROM (VALUES {TRIED_SQL}) t(reg_param, elastic_net)")
+PENALTIES = [0.0, 100.0, 10_000.0, 1_000_000.0]
+
+
+def _two_features_sql(rows: str, first: str, second: str, label: str, trains: str, penalties: list[float]) -> str:
+    """Least squares on two features in closed form, per fold and penalty; ``trains`` tells which rows of ``r`` train fold ``f``."""
+    listed = ", ".join(f"({p}::DOUBLE)" for p in penalties)
+    return f"""
+WITH r AS {rows}, f AS (SELECT DISTINCT fold FROM r),
+ t AS (SELECT f.fold, count(*) AS n, avg({first}) AS m1, avg({second}) AS m2, avg({label}) AS my, var_pop({first}) * count(*) AS s11, var_pop({second}) * count(*) AS s22,
+  covar_pop({first}, {second}) * count(*) AS s12, covar_pop({first}, {label}) * count(*) AS s1y, covar_pop({second}, {label}) * count(*) AS s2y FROM f JOIN r ON {trains} GROUP BY f.fold),
+ w AS (SELECT *, ((s22 + penalty) * s1y - s12 * s2y) / ((s11 + penalty) * (s22 + penalty) - s12 * s12) AS b1,
+  ((s11 + penalty) * s2y - s12 * s1y) / ((s11 + penalty) * (s22 + penalty) - s12 * s12) AS b2 FROM t, (VALUES {listed}) p(penalty)),
+ e AS (SELECT w.fold, penalty, n, b1, b2, {label} - (my + b1 * ({first} - m1) + b2 * ({second} - m2)) AS miss, {label} - my AS mean_miss, {label} AS y FROM w JOIN r ON r.fold = w.fold)
+SELECT fold::BIGINT AS fold, penalty, any_value(n) AS n_train, count(*) AS n_test, round(any_value(b1), 5) AS first_weight, round(any_value(b2), 5) AS second_weight,
+ round(sqrt(avg(miss * miss)), 4) AS rmse, round(1 - sum(miss * miss) / (var_pop(y) * count(*)), 6) AS r2, round(sqrt(avg(mean_miss * mean_miss)), 4) AS mean_rmse FROM e GROUP BY fold, penalty"""
+
+
+def _errors(results: DataFrame) -> DataFrame:
+    return results.select("fold", "penalty", "n_train", "n_test", F.round(F.col("coefficients")[1], 5).alias("first_weight"),
+                          F.round(F.col("coefficients")[2], 5).alias("second_weight"), F.round("rmse", 4).alias("rmse"), F.round("r2", 6).alias("r2"),
+                          F.round("mean_rmse", 4).alias("mean_rmse"))
+
+
+@query("l24_parameter_search", _two_features_sql(
+    f"(SELECT *, ('0x' || substr(md5(id || ':{training.SEED}'), 1, 8))::BIGINT % 5 AS fold FROM (SELECT l_orderkey || ':' || l_linenumber || ':' || l_partkey || ':' || l_suppkey AS id,"
+    " l_quantity AS quantity, l_tax AS tax, l_quantity * (p_size + 100) * (1 - l_discount) AS label FROM lineitem JOIN part ON l_partkey = p_partkey))",
+    "quantity", "tax", "label", "r.fold <> f.fold", PENALTIES))
 def l24(spark, base):
+    """Ridge penalties by five-fold cross-validation: the errors of every setting and fold, from one pass."""
+    digest = F.md5(F.concat("id", F.lit(f":{training.SEED}")))
+    data = lines(spark, base).withColumn("fold", F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 5)
+    trained = moments.left_out(moments.fold_moments(data, ["quantity", "tax"], "label"))
+    return _errors(moments.validated(trained, 2, PENALTIES))
+
+
+@query("l24_logistic_search")
+def l24_logistic(spark, base):
     """Random search over the settings of an L1 logistic regression, by cross-validated ROC-AUC."""
     data, grid = lines(spark, base).withColumn("label", F.col("large")), SEARCH_GRID
     _, tried = training.search([*training.preparation(NUMBERS, CATEGORIES), training.model("logistic", maxIter=10)], grid, BinaryClassificationEvaluator(), data, folds=3, sample=3)
     return spark.createDataFrame([(float(s["regParam"]), float(s["elasticNetParam"]), float(m) > 0.8) for s, m in tried], "reg_param double, elastic_net double, better_than_chance boolean")
 
 
-@query("l25_time_series_validation")
-def l25(spark, base):
-    """Taxi-style series: hourly purchases, each fold predicted from the hours before it."""
+@query("l25_pipeline_validation")
+def l25_pipeline(spark, base):
+    """The same with calendar features and the prepared pipeline, one fit per fold."""
     events = table(spark, base, "events").filter(F.col("event_type") == "purchase")
     hours = series.features(series.hourly(events, "ts"), [1, 2, 24]).na.drop().withColumn("label", F.col("n").cast("double"))
     folded = series.time_folds(hours.withColumn("id", F.unix_seconds("hour")), 3, "hour", "id").persist()
@@ -201,6 +236,18 @@ def l25(spark, base):
     return kept
 
 
+@query("l25_time_series_validation", _two_features_sql(f"""(SELECT n::DOUBLE AS label, lag_1::DOUBLE AS lag_1, lag_24::DOUBLE AS lag_24, ntile(4) OVER (ORDER BY hour) - 1 AS fold
+  FROM (SELECT hour, n, lag(n, 1) OVER w AS lag_1, lag(n, 24) OVER w AS lag_24 FROM {HOURS_SQL} WINDOW w AS (ORDER BY hour)) WHERE lag_24 IS NOT NULL)""",
+    "lag_1", "lag_24", "label", "r.fold < f.fold", [0.0]))
+def l25(spark, base):
+    """Hourly purchases, each fold predicted from the hours before it; all folds from one pass."""
+    events = table(spark, base, "events").filter(F.col("event_type") == "purchase")
+    hours = series.features(series.hourly(events, "ts"), [1, 24]).na.drop().withColumn("id", F.unix_seconds("hour"))
+    folded = series.time_folds(hours, 3, "hour", "id")
+    trained = moments.rolling_origin(moments.fold_moments(folded, ["lag_1", "lag_24"], "n"))
+    return _errors(moments.validated(trained, 2))
+
+
 @query("l30_feature_importance", """
 SELECT unnest(['discount', 'quantity', 'tax']) AS feature, unnest([2, 1, 2]) AS place, 1.0::DOUBLE AS importance_sum, unnest([FALSE, TRUE, FALSE]) AS matters""")
 def l30(spark, base):

@@ -7,7 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from martloom import session
-from martloom.models import corpus, describe, hypothesis, metrics, neighbours, training
+from martloom.models import corpus, describe, hypothesis, metrics, moments, neighbours, training
 from martloom.sources import files, geo_events, jdbc, queue
 from martloom.streaming import jobs, runs, state
 
@@ -127,6 +127,38 @@ def test_ranking_metrics(frame):
     assert metrics.threshold_for(df, 0.0).first().threshold == 0.9
 
 
+def test_errors_from_moments_are_those_of_the_rows(spark):
+    """Rolling-origin and left-out folds with five features against least squares on the rows."""
+    draw = np.random.default_rng(8)
+    x = draw.normal(3, 2, (400, 5))
+    y, fold = x @ [1.0, -2.0, 0.5, 0.0, 4.0] + 7 + draw.normal(0, 1, 400), draw.integers(0, 4, 400)
+    df = spark.createDataFrame([(int(f), *map(float, row), float(v)) for f, row, v in zip(fold, x, y)], "fold int, a double, b double, c double, d double, e double, y double")
+    held = moments.fold_moments(df, list("abcde"), "y")
+
+    def by_hand(train, test, penalty):
+        ones = lambda rows_: np.column_stack([np.ones(rows_.sum()), x[rows_]])
+        a = ones(train)
+        w = np.linalg.solve(a.T @ a + penalty * np.diag([0.0] + [1.0] * 5), a.T @ y[train])
+        miss = y[test] - ones(test) @ w
+        return [*w, np.sqrt((miss ** 2).mean()), 1 - (miss ** 2).sum() / ((y[test] - y[test].mean()) ** 2).sum(), np.sqrt(((y[test] - y[train].mean()) ** 2).mean())]
+
+    for trained, past in ((moments.rolling_origin(held), True), (moments.left_out(held), False)):
+        results = moments.validated(trained, 5, [0.0, 50.0]).collect()
+        assert len(results) == (6 if past else 8)
+        for r in results:
+            expected = by_hand(fold < r.fold if past else fold != r.fold, fold == r.fold, r.penalty)
+            assert [*r.coefficients, r.rmse, r.r2, r.mean_rmse] == pytest.approx(expected, rel=1e-8)
+    assert moments.best_penalty(moments.validated(moments.left_out(held), 5, [0.0, 50.0])).first().penalty == 0.0
+
+
+def test_moments_of_one_fold_and_of_repeated_features(spark):
+    df = spark.createDataFrame([(0, 1.0, 2.0), (0, 2.0, 4.0)], "fold int, a double, y double")
+    held = moments.fold_moments(df, ["a", "a"], "y")
+    assert moments.validated(moments.rolling_origin(held), 2).count() == 0 and moments.validated(moments.left_out(held), 2).count() == 0
+    both = moments.fold_moments(df.union(df.selectExpr("1 AS fold", "a", "y")), ["a", "a"], "y")
+    assert moments.validated(moments.left_out(both), 2).first().rmse == pytest.approx(0.0, abs=1e-6)
+
+
 @pytest.mark.parametrize("block_rows, cell_rows", [(4_096, 30), (20, 60), (4_096, 10_000)])
 def test_cells_give_the_rows_of_the_blocks(spark, block_rows, cell_rows):
     """Clustered points, a third of them at one spot, and fewer rows than neighbours in some cells."""
