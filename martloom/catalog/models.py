@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from martloom.catalog.registry import big, query
 from martloom.catalog.statistics import HOURS_SQL
-from martloom.models import corpus, metrics, moments, series, training
+from martloom.models import corpus, metrics, moments, series, splits, training
 from martloom.session import cut_lineage
 from martloom.tables import table
 
@@ -143,6 +143,34 @@ def l16_full(spark, base):
     return _regression(spark, base, "linear")
 
 
+def _level_sql(rows: str) -> str:
+    """The best split of each node of ``rows`` (``node, quantity, size, tax, label``) by running sums over the distinct values."""
+    return f"""(SELECT node, feature, threshold, gain, n_left, n_right FROM (
+  SELECT node, feature, value AS threshold, nl AS n_left, na - nl AS n_right, (sl * sl / nl + (sa - sl) * (sa - sl) / (na - nl) - sa * sa / na) / na AS gain
+  FROM (SELECT node, feature, value, sum(n) OVER w AS nl, sum(s) OVER w AS sl, sum(n) OVER g AS na, sum(s) OVER g AS sa
+   FROM (SELECT node, feature, value, count(*) AS n, sum(label) AS s FROM (SELECT node, label, unnest(['quantity', 'size', 'tax']) AS feature, unnest([quantity, size, tax]) AS value FROM {rows}) GROUP BY ALL)
+   WINDOW w AS (PARTITION BY node, feature ORDER BY value), g AS (PARTITION BY node, feature)) WHERE na > nl)
+ QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, feature, threshold) = 1)"""
+
+
+SPLIT_ROWS_SQL = "(SELECT 1 AS node, l_quantity::DOUBLE AS quantity, p_size::DOUBLE AS size, l_tax::DOUBLE AS tax, l_quantity * (p_size + 100) * (1 - l_discount) AS label FROM lineitem JOIN part ON l_partkey = p_partkey)"
+
+
+@query("l18_exact_splits", f"""
+WITH x AS MATERIALIZED {SPLIT_ROWS_SQL}, one AS MATERIALIZED {_level_sql('x')},
+ y AS MATERIALIZED (SELECT CASE WHEN CASE feature WHEN 'quantity' THEN quantity WHEN 'size' THEN size ELSE tax END <= threshold THEN 2 ELSE 3 END AS node, quantity, size, tax, label FROM x, one),
+ two AS {_level_sql('y')}
+SELECT level, node::BIGINT AS node, feature, round(threshold, 6) AS threshold, round(gain, 3) AS gain, n_left::BIGINT AS n_left, n_right::BIGINT AS n_right FROM (SELECT 1 AS level, * FROM one UNION ALL SELECT 2, * FROM two)""")
+def l18_exact(spark, base):
+    """The first two levels of a regression tree with every distinct value as a candidate."""
+    parts = table(spark, base, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_size").cast("double").alias("size"))
+    rows = table(spark, base, "lineitem").join(parts, "l_partkey").select(
+        F.col("l_quantity").cast("double").alias("quantity"), "size", F.col("l_tax").cast("double").alias("tax"),
+        (F.col("l_quantity") * (F.col("size") + 100) * (1 - F.col("l_discount"))).alias("label"))
+    found = splits.grown(rows, ["quantity", "size", "tax"], "label", 2)
+    return found.select("level", "node", "feature", F.round("threshold", 6).alias("threshold"), F.round("gain", 3).alias("gain"), "n_left", "n_right")
+
+
 @query("l18_tree_regression", _mean_sql("tree"))
 def l18(spark, base):
     return _regression(spark, base, "tree")

@@ -7,7 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from martloom import session
-from martloom.models import corpus, describe, hypothesis, metrics, moments, neighbours, training
+from martloom.models import corpus, describe, hypothesis, metrics, moments, neighbours, splits, training
 from martloom.sources import files, geo_events, jdbc, queue
 from martloom.streaming import jobs, runs, state
 
@@ -151,6 +151,26 @@ def test_errors_from_moments_are_those_of_the_rows(spark):
     assert moments.best_penalty(moments.validated(moments.left_out(held), 5, [0.0, 50.0])).first().penalty == 0.0
 
 
+def test_best_splits_equal_brute_force(spark):
+    """Many distinct values, a value shared by a third of the rows, gaps, and a node that cannot be split."""
+    draw = np.random.default_rng(4)
+    x = np.column_stack([draw.normal(0, 1, 150).round(2), np.where(np.arange(150) % 3 == 0, 5.0, draw.normal(5, 2, 150))])
+    y = np.where(x[:, 1] > 5.5, 10.0, 0.0) + x[:, 0] + draw.normal(0, 0.1, 150)
+    made = [(i % 2, None if i % 11 == 0 else float(x[i, 0]), float(x[i, 1]), float(y[i])) for i in range(150)] + [(7, 1.0, 1.0, 3.0), (7, 1.0, 1.0, 4.0)]
+    found = {r.node: r for r in splits.best_splits(spark.createDataFrame(made, "node int, a double, b double, y double"), ["a", "b"], "y").collect()}
+    assert set(found) == {0, 1}
+    for node, row in found.items():
+        best = []
+        for column, name in ((1, "a"), (2, "b")):
+            held = [(r[column], r[3]) for r in made if r[0] == node and r[column] is not None]
+            error = lambda values: sum((v - sum(values) / len(values)) ** 2 for v in values)
+            for cut in sorted({v for v, _ in held})[:-1]:
+                left, right = [t for v, t in held if v <= cut], [t for v, t in held if v > cut]
+                best.append((-(error(left + right) - error(left) - error(right)) / len(held), name, cut, len(left), len(right)))
+        loss, name, cut, n_left, n_right = min(best)
+        assert (row.feature, row.threshold, row.n_left, row.n_right) == (name, cut, n_left, n_right) and row.gain == pytest.approx(-loss)
+
+
 def test_moments_of_one_fold_and_of_repeated_features(spark):
     df = spark.createDataFrame([(0, 1.0, 2.0), (0, 2.0, 4.0)], "fold int, a double, y double")
     held = moments.fold_moments(df, ["a", "a"], "y")
