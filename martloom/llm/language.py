@@ -60,6 +60,8 @@ class ContextTrees:
     def __init__(self, counts: dict[str, dict[int, int]], order: int = ORDER):
         self.languages, self.order = sorted(counts), order
         n = len(self.languages)
+        if not n:
+            return
         keys = np.unique(np.fromiter((c for of in counts.values() for c in of), np.uint64))
         table = np.zeros((len(keys), n))
         for column, language in enumerate(self.languages):
@@ -120,8 +122,9 @@ def held_out(doc_id: Column) -> Column:
 
 def learn(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE, order: int = ORDER) -> ContextTrees:
     """Context trees of the languages in ``lang`` from ``doc_id, text, lang``."""
-    rows = docs.filter("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "lang", "text")
-    sizes = dict(rows.groupBy("lang").count().collect())
+    rows = docs.filter("doc_id IS NOT NULL AND lang IS NOT NULL AND text <> ''").select("doc_id", "lang", "text")
+    # by distinct ids, which the hash below picks, so that few ids in many rows are kept whole
+    sizes = dict(rows.groupBy("lang").agg(F.count_distinct("doc_id")).collect())
     if not sizes:
         return ContextTrees({}, order)
     share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, rows_per_language / n))])
@@ -142,7 +145,8 @@ def learn(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE, order: in
                .groupBy("lang", "code").agg(F.sum("n").alias("n")).toArrow())
     langs = np.array(counted.column("lang").to_pylist(), object)
     codes, n = counted.column("code").to_numpy(), counted.column("n").to_numpy()
-    return ContextTrees({lang: dict(zip(codes[langs == lang].tolist(), n[langs == lang].tolist())) for lang in sizes}, order)
+    # a language of which no row was picked is not learned
+    return ContextTrees({lang: dict(zip(codes[langs == lang].tolist(), n[langs == lang].tolist())) for lang in sorted(set(langs))}, order)
 
 
 def predict(docs: DataFrame, trees: ContextTrees) -> DataFrame:

@@ -106,7 +106,10 @@ def judge_urls(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, train_rows:
         features = [*lexical_features(F.col("url"), F.col("host"), F.col("path")), share, F.log1p(F.coalesce("seen", F.lit(0)).cast("double"))]
         return df.join(suffixes, "suffix", "left").withColumn("features", array_to_vector(F.array(*features)))
 
-    sample = labelled.filter(F.pmod(F.xxhash64("url", F.lit(seed)), F.lit(1_000_000)) < min(1.0, train_rows / seen) * 1_000_000)
+    # up to half of the rows for either label, counted by the distinct addresses that the hash picks; a rare label is kept whole
+    kinds = dict(labelled.groupBy("label").agg(F.count_distinct("url")).collect())
+    picked = F.when(F.col("label") == 1.0, min(1.0, train_rows / 2 / kinds[1.0])).otherwise(min(1.0, train_rows / 2 / kinds[0.0]))
+    sample = labelled.filter(F.pmod(F.xxhash64("url", F.lit(seed)), F.lit(1_000_000)) < picked * 1_000_000)
     train = cut_lineage(with_features(sample.dropDuplicates(["url"])).select("url", "features", "label")).orderBy("url").coalesce(1)
     trees = GBTClassifier(maxIter=12, maxDepth=4, stepSize=0.3, seed=seed, cacheNodeIds=False).fit(train)
     judged = trees.transform(with_features(known))

@@ -426,6 +426,18 @@ def test_code_lengths_are_exact():
         assert trees.code_lengths(raw) == pytest.approx([slow_bits(counts[name], 3, raw) for name in ("x", "y")])
 
 
+def test_languages_without_training_bytes(spark):
+    rows = [(0, "", "en"), (1, "plain words", None), (2, None, "de")]
+    docs = spark.createDataFrame([(i, text, lang, "s", 0) for i, text, lang in rows], DOCS)
+    trees = language.learn(docs)
+    assert trees.languages == [] and {r.lang_pred for r in language.predict(docs, trees).collect()} == {"und"}
+    # one id in most rows, and a language with empty texts only, do not keep the others from being learned
+    many = spark.range(6_000).select(F.lit(7).cast("bigint").alias("doc_id"), F.lit("the same words").alias("text"), F.lit("en").alias("lang"),
+                                     F.lit("s").alias("source"), F.lit(0).cast("bigint").alias("n_chars"))
+    trees = language.learn(many.unionByName(docs))
+    assert trees.languages == ["en"] and {r.lang_pred for r in language.predict(docs, trees).collect()} == {"und", "en"}
+
+
 def test_language_of_odd_rows(odd, none):
     trees = language.learn(odd)
     assert trees.languages == ["de", "en", "fr"]

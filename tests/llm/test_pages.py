@@ -249,6 +249,14 @@ def test_trees_learn_what_the_labels_show(spark):
     assert all(found[i] == ("block" if bad else "allow") for i, _, bad in rows)
 
 
+def test_few_addresses_in_very_many_rows(spark):
+    """Three addresses in 300 000 rows, one of them rare: both labels are learned from."""
+    pages = spark.range(300_000).select(F.col("id").alias("page_id"), F.when(F.col("id") == 5, "https://a.net/es/x").when(
+        F.col("id") % 3 == 0, "https://b.com/y").otherwise("https://c.org/z").alias("url"))
+    judged = urls.judge_urls(pages).groupBy("rule").agg(F.count("*").alias("n"), F.count_distinct("verdict").alias("kinds")).collect()
+    assert sum(r.n for r in judged) == 300_000 and all(r.kinds == 1 for r in judged)
+
+
 def test_lexical_features(spark):
     url = "https://a.b-c.org/x1/yy/?p=1&q=22#t"
     df = spark.createDataFrame([(url,), (None,)], "url string")
