@@ -1,4 +1,4 @@
-"""Hard negatives, the prefix trie and token counts: oracle, brute force and odd rows."""
+"""Hard negatives, the prefix trie and token counts against brute force, the library, and odd rows."""
 
 import hashlib
 import heapq
@@ -10,21 +10,15 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
-from check_oracle import compare, oracle_connection
 from pyspark.sql import functions as F
 
 from martloom.llm import negatives, tokens, trie
-from martloom.llm.queries import ORACLES, QUERIES
+from martloom.llm.queries import QUERIES
 from martloom.session import scratch_path
 
 BASE = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("key", ["op11_hard_negatives", "op12_prefix_trie"])
-def test_oracle(spark, key):
-    assert compare(QUERIES[key](spark, BASE), oracle_connection(BASE), ORACLES[key]) == ""
-
-
 # hard negatives
 
 VECTORS = "vec_id bigint, embedding array<float>, label int"
