@@ -130,7 +130,7 @@ def order_line_read(spark, base):
     path = scratch_path(spark, "vault")
     rows.write.partitionBy("table").parquet(path)
     stored = spark.read.schema(rows.schema).parquet(path)
-    return order_lines({name: vault_table(stored, name) for name in VAULT_TABLES})
+    return order_lines({name: vault_table(stored, name, plain=True) for name in VAULT_TABLES}, plain=True)
 
 
 @query("v05_social_link", "SELECT user_id, group_id FROM (SELECT DISTINCT user_id, CAST(json_extract(props, '$.k') AS BIGINT) AS group_id FROM events) WHERE (user_id, group_id) NOT IN (SELECT (user_id, CAST(json_extract(props, '$.k') AS BIGINT)) FROM events WHERE ts < TIMESTAMP '2024-01-10')")
