@@ -11,6 +11,7 @@ from martloom.functions.numeric import plain_number
 from martloom.operators.vault import VAULT_TABLES, append_unseen, message_lines, order_lines, order_vault, vault_rows, vault_table
 from martloom.plans import couriers, customers, geography, groups, money, shipping
 from martloom.schemas import ORDER_LINE_MESSAGE, ORDER_MESSAGE
+from martloom.sources.queue import as_messages
 from martloom.streaming import jobs, runs, state
 
 T = dt.datetime
@@ -204,6 +205,20 @@ def test_campaigns_running_at_a_moment(frame):
     assert rows(sent, "restaurant_id", "client_id", "feedback") == [(2, "a", None), (2, "b", None)]
 
 
+def test_notifications_meet_pages_of_subscribers(spark, frame, monkeypatch):
+    """Whatever the pages, and repeated or lone rows kept; messages are those made of the rows."""
+    monkeypatch.setattr(jobs, "PAGE_SUBSCRIBERS", 3)
+    moment = F.lit("2024-01-01").cast("timestamp")
+    campaigns = frame([(1, "a \"{x}\"", None), (1, "b", T(2024, 1, 1)), (2, None, None), (None, "n", None), (7, "lone", None)],
+                      "restaurant_id long, content string, starts timestamp")
+    subscribers = frame([(1, f"c{i % 9}") for i in range(20)] + [(2, None), (2, "}"), (None, "x"), (8, "lone")], "restaurant_id long, client_id string")
+    plain = campaigns.join(subscribers, "restaurant_id").withColumn("trigger_datetime_created", moment)
+    made = jobs.notifications(campaigns, subscribers, moment)
+    assert made.columns == [*plain.columns, "feedback"] and rows(made.drop("feedback")) == rows(plain)
+    assert "Generate" in made._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(jobs.notification_messages(campaigns, subscribers, moment)) == rows(as_messages(plain))
+
+
 @pytest.mark.parametrize("turned", [False, True])
 def test_vault_stream_over_several_batches(spark, frame, tmp_path, turned):
     """An order sent twice, with products of its own each time, equals the batch form in either order of arrival."""
