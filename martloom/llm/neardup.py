@@ -10,9 +10,9 @@ Work is kept linear in the rows:
 * equal sets are one class from the start, so copies never become pairs;
 * every member of a bucket is first compared with the bucket's smallest member only;
 * what then still lies in different groups of a bucket, members outside its largest group
-  against all, is compared in blocks of bounded size; a bucket with too many of them is
-  divided first by a second (third) band, which unrelated documents that share a passage
-  do not have in common;
+  against all, is compared in blocks of bounded size; members of a bucket with too many of
+  them meet instead where they share one of their rarest shingles, as every pair at the
+  threshold does, so no link of such a bucket is lost;
 * pairs pass an estimate on one byte per coordinate, set far below the threshold, before
   the exact similarity of their whole sets decides.
 
@@ -45,6 +45,7 @@ PERCENT = 75
 AGREEING = 122
 BLOCK = 256
 DIVIDE_ABOVE = 2048
+PLACES = 1 << 16  # of the table that tells rare shingles from frequent ones
 _SEED = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -147,15 +148,16 @@ def _several_groups(rows: DataFrame) -> DataFrame:
     return rows.join(sizes, "key")
 
 
-def _in_blocks(rows: DataFrame, marks: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links between different groups within a bucket.
+def _in_blocks(rows: DataFrame, marks: DataFrame, sets: DataFrame | None = None) -> DataFrame:
+    """Links between different groups within a bucket; without ``sets``, the pairs whose signatures allow one.
 
     Every such pair has a member outside the bucket's main group.  Those members, in blocks, meet
     all members, in blocks; a task compares the signatures of two blocks and then the whole sets
     of the pairs that these allow.
     """
     blocks_few, blocks_all = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("few", "n"))
-    marked = rows.join(marks, "rep").join(sets, "rep")
+    marked = rows.join(marks, "rep")
+    marked = marked.withColumn("shingles", F.lit(None).cast("binary")) if sets is None else marked.join(sets, "rep")
     few = (marked.filter("label <> main").withColumn("i", F.pmod(F.xxhash64("rep"), blocks_few).cast("int"))
            .withColumn("j", F.explode(F.sequence(F.lit(0), blocks_all - 1))))
     every = (marked.withColumn("j", F.pmod(F.xxhash64("rep"), blocks_all).cast("int"))
@@ -163,14 +165,16 @@ def _in_blocks(rows: DataFrame, marks: DataFrame, sets: DataFrame) -> DataFrame:
     columns = ["key", "i", "j", "rep", "label", "marks", "shingles"]
     met = few.select(*columns, F.lit(True).alias("outside")).unionByName(every.select(*columns, F.lit(False).alias("outside")))
 
+    whole = sets is not None
+
     def compare(group: pa.Table) -> pa.Table:
         rep, label, outside = (group.column(c).to_numpy() for c in ("rep", "label", "outside"))
         sig = np.frombuffer(b"".join(group.column("marks").to_pylist()), np.uint8).reshape(-1, COORDINATES)
-        known = [np.frombuffer(raw, np.uint64) for raw in group.column("shingles").to_pylist()]
+        known = [np.frombuffer(raw or b"", np.uint64) for raw in group.column("shingles").to_pylist()]
         inside, found = np.flatnonzero(~outside), set()
         for x in np.flatnonzero(outside):
             near = inside[((sig[inside] == sig[x]).sum(axis=1) >= AGREEING) & (label[inside] != label[x])]
-            found.update((min(rep[x], rep[y]), max(rep[x], rep[y])) for y in near if reaches(known[x], known[y]))
+            found.update((min(rep[x], rep[y]), max(rep[x], rep[y])) for y in near if not whole or reaches(known[x], known[y]))
         return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
     return met.groupBy("key", "i", "j").applyInArrow(compare, "a bigint, b bigint").distinct()
 
@@ -183,16 +187,48 @@ def remaining_links(members: DataFrame, labels: DataFrame, marks: DataFrame, ban
     rest = (members.filter((F.col("n") > 2) & (F.col("rep") != F.col("leader"))).join(labels, "rep", "left")
             .select("key", "rep", F.coalesce("label", "rep").alias("label")))
     rows = cut_lineage(_several_groups(cut_lineage(rest)))
-    for _ in range(2):
-        large = rows.filter(F.col("few") > DIVIDE_ABOVE)
-        if large.isEmpty():
-            break
-        divided = (large.join(bands, "rep").select(
-            "rep", "label", F.col("key").alias("outer"), F.explode("bands").alias("band"))
-            .filter(F.col("band") != F.col("outer"))
-            .select(F.xxhash64(F.least("outer", "band"), F.greatest("outer", "band")).alias("key"), "rep", "label").distinct())
-        rows = cut_lineage(rows.filter(F.col("few") <= DIVIDE_ABOVE).unionByName(_several_groups(cut_lineage(divided))))
-    return _in_blocks(rows, marks, sets)
+    links = _in_blocks(rows.filter(F.col("few") <= DIVIDE_ABOVE), marks, sets)
+    crowded = cut_lineage(rows.filter(F.col("few") > DIVIDE_ABOVE).select("rep", "label").distinct())
+    if crowded.isEmpty():
+        return links
+    return links.unionByName(_by_rare_shingles(crowded, marks, bands, sets)).distinct()
+
+
+def _by_rare_shingles(rows: DataFrame, marks: DataFrame, bands: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between different groups among ``rep, label`` for pairs that have a band in common.
+
+    With shingles in one order for all sets, two sets at the threshold share one among the first
+    quarter (and one more) of each.  Rare ones go first, so a passage that many texts share does not bring
+    them together.  Rareness is counted in a table of fixed size; any counts would give the same links.
+    """
+    known = cut_lineage(rows.join(sets, "rep"))
+
+    def count(tables):
+        total = np.zeros(PLACES, np.int64)
+        for table in tables:
+            for raw in table.column("shingles").to_pylist():
+                total += np.bincount((np.frombuffer(raw, np.uint64) % np.uint64(PLACES)).astype(np.int64), minlength=PLACES)
+        held = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"place": pa.array(held, pa.int64()), "n": pa.array(total[held], pa.int64())})
+
+    often = np.zeros(PLACES, np.int64)
+    for place, n in known.select("shingles").mapInArrow(count, "place bigint, n bigint").groupBy("place").agg(F.sum("n")).collect():
+        often[place] = n
+
+    @F.arrow_udf("array<bigint>")
+    def rarest(values: pa.Array) -> pa.Array:
+        out = []
+        for raw in values.to_pylist():
+            x = np.frombuffer(raw, np.uint64)
+            order = np.lexsort((x, often[(x % np.uint64(PLACES)).astype(np.int64)]))
+            out.append(x[order[:len(x) + (-PERCENT * len(x)) // 100 + 1]].view(np.int64))
+        return pa.array(out, pa.list_(pa.int64()))
+
+    met = cut_lineage(known.select(F.explode(rarest("shingles")).alias("key"), "rep", "label"))
+    pairs = _in_blocks(cut_lineage(_several_groups(met)), marks)
+    sides = [bands.select(F.col("rep").alias(c), F.col("bands").alias(f"bands_{c}")) for c in ("a", "b")]
+    shared = pairs.join(sides[0], "a").join(sides[1], "b").filter(F.arrays_overlap("bands_a", "bands_b")).select("a", "b")
+    return confirm(cut_lineage(shared), sets)
 
 
 def components(links: DataFrame) -> DataFrame:

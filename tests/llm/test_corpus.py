@@ -149,6 +149,22 @@ def test_large_bucket_is_compared_in_blocks(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found} == brute_groups(rows)
 
 
+@pytest.mark.parametrize("above", [4, 2048])
+def test_pair_that_shares_only_a_crowded_bucket_is_linked(spark, monkeypatch, above):
+    """Whether the bucket counts as crowded or not, and whatever frequent shingles all its members share."""
+    monkeypatch.setattr(neardup, "DIVIDE_ABOVE", above)
+    frame = spark.createDataFrame
+    hot, reps = list(range(1, 41)), range(20)
+    own = lambda i: [1000 * (i + 1) + j for j in range(100)]
+    whole = {i: hot + own(i) for i in reps} | {2: hot + own(1)[:95] + [5, 77777]}  # 1 and 2 are similar, the others are not
+    sets = frame([(i, bytearray(np.unique(np.array(x, np.uint64)).tobytes())) for i, x in whole.items()], "rep bigint, shingles binary")
+    members = frame([(7, i, 20, 0) for i in reps], "key bigint, rep bigint, n bigint, leader bigint")
+    bands = frame([(i, [7, 100 + i]) for i in reps], "rep bigint, bands array<bigint>")
+    marks = frame([(i, bytearray(neardup.COORDINATES)) for i in reps], "rep bigint, marks binary")
+    found = neardup.remaining_links(members, frame([], "rep bigint, label bigint"), marks, bands, sets)
+    assert [tuple(r) for r in found.select("a", "b").collect()] == [(1, 2)]
+
+
 @pytest.mark.parametrize("bits", [64, 1 << 12, 1 << 25])
 def test_sieve_lets_all_wanted_rows_pass(spark, bits):
     rows = spark.createDataFrame([(i, i, "x") for i in range(2_000)] + [(None, 0, "x")], "doc_id bigint, _word bigint, _mask string")
