@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions.geo import cells_around, distance_km, fine_cell, home_cell, may_reach
 from martloom.session import cut_lineage
-from martloom.sizing import LITERAL_ROWS, broadcast_if_bounded, rows_if_bounded
+from martloom.sizing import BROADCAST_ROWS, LITERAL_ROWS, broadcast_if_bounded, is_bounded, rows_if_bounded
 
 # Widest grid of the nearest-place search, rows of either side that one tile of a distance
 # join holds, and times a dense cell's sides are halved.
@@ -60,20 +60,25 @@ def _nearest_by_blocks(points: DataFrame, places: DataFrame, lat: str, lng: str,
 
 
 def nearest_by_grid(points: DataFrame, places: DataFrame, lat: str = "lat", lng: str = "lon", bound: int = LITERAL_ROWS,
-                    first_radius_km: float = 25.0) -> DataFrame:
+                    first_radius_km: float = 25.0, most_listed: int = BROADCAST_ROWS // 9) -> DataFrame:
     """Exact nearest place for any number of places.
 
     Points look for places within a radius over a grid of that size; whoever finds none goes on
     with four times the radius.  The few that lie farther than ``FAR_KM`` from every place are
     compared with the places block by block, because a grid that coarse has only a few cells.
+    Up to ``most_listed`` places are broadcast, listed by the cells they may be reached from, and points
+    stay where they lie; more of them meet the points in tiles, see ``within_distance``.
     Rows are told apart by a number of their own, so keys may repeat or be null.
     """
-    numbered = cut_lineage(points.withColumn("_row", F.monotonically_increasing_id()))
     sites = places.select("id", F.col("lat").alias("_plat"), F.col("lng").alias("_plng"))
+    if is_bounded(sites, most_listed):
+        return _nearest_by_listed_cells(points, sites, lat, lng, bound, first_radius_km)
+    numbered = cut_lineage(points.withColumn("_row", F.monotonically_increasing_id()))
     open_points = numbered.filter(F.col(lat).isNotNull() & F.col(lng).isNotNull()).select("_row", lat, lng)
     found, radius = [], first_radius_km
     while radius <= FAR_KM:
-        near = within_distance(open_points, sites, radius, (lat, lng), ("_plat", "_plng"))
+        # the places go to the cells around them, so that each point lies in one cell only
+        near = within_distance(sites, open_points, radius, ("_plat", "_plng"), (lat, lng))
         settled = cut_lineage(near.groupBy("_row").agg(F.min(F.struct("distance", "id"))["id"].alias("zone_id")))
         found.append(settled)
         open_points = cut_lineage(open_points.join(settled, "_row", "left_anti"))
@@ -86,6 +91,29 @@ def nearest_by_grid(points: DataFrame, places: DataFrame, lat: str = "lat", lng:
     return numbered.join(zones, "_row", "left").drop("_row")
 
 
+def _nearest_by_listed_cells(points: DataFrame, sites: DataFrame, lat: str, lng: str, bound: int, first_radius_km: float) -> DataFrame:
+    """``nearest_by_grid`` for places of bounded number: every radius is one broadcast lookup by the cell of a point."""
+    searched, radius, at = points.withColumn("_zone", F.lit(None).cast("bigint")), first_radius_km, (F.col(lat), F.col(lng))
+    while radius <= FAR_KM:
+        listed = cut_lineage(sites.withColumn("_cell", F.explode(cells_around(F.col("_plat"), F.col("_plng"), radius)))
+                             .groupBy("_cell").agg(F.collect_list(F.struct("id", "_plat", "_plng")).alias("_listed")))
+        here = F.array(F.struct(at[0].alias("lat"), at[1].alias("lng"), F.col("_listed").alias("listed")))
+        near = F.transform(here, lambda p: F.array_min(F.filter(F.transform(p["listed"], lambda q: F.struct(
+            distance_km(q["_plat"], q["_plng"], p["lat"], p["lng"]).alias("distance"), q["id"].alias("id"))),
+            lambda found: found["distance"] <= radius)))[0]["id"]
+        # a point that has its place keeps it and looks nothing up
+        searched = (searched.withColumn("_cell", F.when(F.col("_zone").isNull(), home_cell(*at, radius)))
+                    .join(F.broadcast(listed), "_cell", "left").withColumn("_zone", F.coalesce("_zone", near)).drop("_cell", "_listed"))
+        radius *= 4
+    searched = cut_lineage(searched)
+    far = F.col("_zone").isNull() & at[0].isNotNull() & at[1].isNotNull()
+    if searched.filter(far).isEmpty():
+        return searched.withColumnRenamed("_zone", "zone_id")
+    places = sites.select("id", F.col("_plat").alias("lat"), F.col("_plng").alias("lng"))
+    settled = _nearest_by_blocks(searched.filter(far).drop("_zone"), places, lat, lng, True, bound)
+    return searched.filter(~far).withColumnRenamed("_zone", "zone_id").unionByName(settled)
+
+
 def within_distance(left: DataFrame, right: DataFrame, radius_km: float, left_at: tuple[str, str], right_at: tuple[str, str],
                     on: list[str] | None = None, once: tuple[str, str] | None = None, tile_rows: int = TILE_ROWS) -> DataFrame:
     """Pairs not farther apart than ``radius_km``, with their ``distance``; they also agree on the columns ``on``.

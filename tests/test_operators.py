@@ -251,6 +251,18 @@ def test_nearest_by_grid_equals_brute_force(spark):
     assert {r.k: r.zone_id for r in found.collect()} == expected
 
 
+def test_nearest_by_grid_listed_or_tiled(frame):
+    """Few places are looked up where the points lie, without a shuffle of the points; many meet them in tiles: the same rows."""
+    draw = random.Random(4)
+    places = frame([(i, draw.uniform(40, 50), draw.uniform(0, 10)) for i in range(30)] + [(30, 45.0, 5.0), (31, 45.0, 5.0)], "id long, lat double, lng double")
+    points = frame([(i, draw.uniform(38, 52), draw.uniform(-2, 12)) for i in range(300)] + [(0, 45.0, 5.0), (None, None, 5.0), (None, -70.0, -170.0)],
+                   "k long, lat double, lon double")
+    listed = geo.nearest_by_grid(points, places, first_radius_km=60.0)
+    assert rows(listed) == rows(geo.nearest_by_grid(points, places, first_radius_km=60.0, most_listed=0)) == rows(geo.nearest_place(points, places, "k"))
+    near = points.filter("lat > 0")
+    assert "Exchange" not in geo.nearest_by_grid(near, places)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_checks(frame):
     df = frame([(1, 5), (1, None), (2, -1)], "k long, v long")
     assert rows(checks.rule_violations(df, {"positive": F.col("v") > 0})) == [("positive", 1)]
