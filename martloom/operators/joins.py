@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martloom.session import cut_lineage
 from martloom.sizing import BROADCAST_ROWS, broadcast_if_bounded, is_bounded
 
 # Facts of one key that one task takes, most keys that are dealt over several tasks,
@@ -89,8 +90,11 @@ def has_no_match(df: DataFrame, other: DataFrame, on: list[str]) -> DataFrame:
 
 
 def partner_counts(df: DataFrame, keys: list[str], member: str) -> DataFrame:
-    """How many other members share the key with each member, without forming the pairs."""
-    members = df.select(*keys, member).distinct()
+    """How many other members share the key with each member, without forming the pairs.
+
+    The members are written once, so that what leads to ``df`` is not worked out again for each use of them.
+    """
+    members = cut_lineage(df.select(*keys, member).distinct())
     sizes = members.groupBy(*keys).agg((F.count("*") - 1).alias("partners"))
     return lookup_join(members, sizes, keys)
 

@@ -263,6 +263,18 @@ def test_nearest_by_grid_listed_or_tiled(frame):
     assert "Exchange" not in geo.nearest_by_grid(near, places)._jdf.queryExecution().executedPlan().toString()
 
 
+def test_partner_counts_work_out_their_input_once(spark, frame):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def member(value):
+        made.add(1)
+        return value
+
+    found = joins.partner_counts(frame([(k % 2, k) for k in range(10)], "k long, v long").select("k", member("v").alias("u")), ["k"], "u")
+    assert {r.partners for r in found.collect()} == {4} and made.value == 10
+
+
 def test_checks(frame):
     df = frame([(1, 5), (1, None), (2, -1)], "k long, v long")
     assert rows(checks.rule_violations(df, {"positive": F.col("v") > 0})) == [("positive", 1)]
