@@ -17,6 +17,7 @@ from martloom.tables import table
 
 NUMBERS = ["quantity", "discount", "tax"]
 CATEGORIES = ["flag", "kind"]
+BAG_PIECES = 16
 
 
 def lines(spark, base) -> DataFrame:
@@ -62,8 +63,8 @@ FROM s, m WHERE held_out"""
 
 def _regression(spark, base, kind: str) -> DataFrame:
     """Held-out figures of the mean, and whether a model is nearer to the truth than it."""
-    train, test = training.split(lines(spark, base), "id")
-    fitted = training.fit([*training.preparation(NUMBERS, CATEGORIES), training.model(kind)], train)
+    train, test = training.stored_split(lines(spark, base), "id", [*NUMBERS, *CATEGORIES, "label"])
+    fitted = training.fit_counted([*training.preparation(NUMBERS, CATEGORIES), training.model(kind)], train)
     own = metrics.regression_metrics(fitted.transform(test)).select(F.col("rmse").alias("own_rmse"))
     mean = metrics.regression_metrics(metrics.constant_mean(train, test))
     n = _sizes(train, test)
@@ -74,9 +75,10 @@ def _regression(spark, base, kind: str) -> DataFrame:
 
 def _classification(spark, base, kind: str) -> DataFrame:
     """Held-out accuracy of the majority class, and whether a model is right more often than it."""
-    data = lines(spark, base).withColumn("label", F.col("large"))
-    train, test = training.split(training.signed(data), "id")
-    fitted = training.fit([*training.preparation(NUMBERS, CATEGORIES), training.model(kind)], train)
+    data = training.signed(lines(spark, base).withColumn("label", F.col("large")))
+    # a forest draws its bags from counted rows: dealt into pieces first, so that copies are not drawn all or none
+    train, test = training.stored_split(data, "id", [*NUMBERS, *CATEGORIES, "label", "signed_label"], BAG_PIECES if kind == "forest" else None)
+    fitted = training.fit_counted([*training.preparation(NUMBERS, CATEGORIES), training.model(kind)], train)
     scored = fitted.transform(test)
     if kind == "ridge_class":
         scored = scored.withColumn("prediction", F.when(F.col("prediction") > 0, 1.0).otherwise(0.0))
@@ -242,8 +244,9 @@ def l24(spark, base):
 @query("l24_logistic_search")
 def l24_logistic(spark, base):
     """Random search over the settings of an L1 logistic regression, by cross-validated ROC-AUC."""
-    data, grid = lines(spark, base).withColumn("label", F.col("large")), SEARCH_GRID
-    _, tried = training.search([*training.preparation(NUMBERS, CATEGORIES), training.model("logistic", maxIter=10)], grid, BinaryClassificationEvaluator(), data, folds=3, sample=3)
+    data, grid = lines(spark, base).withColumns({"label": F.col("large"), "fold": training.place_of("id") % 3}), SEARCH_GRID
+    data = cut_lineage(data.select(*NUMBERS, *CATEGORIES, "label", "fold"))
+    _, tried = training.search([*training.preparation(NUMBERS, CATEGORIES), training.model("logistic", maxIter=10)], grid, BinaryClassificationEvaluator(), data, sample=3)
     return spark.createDataFrame([(float(s["regParam"]), float(s["elasticNetParam"]), float(m) > 0.8) for s, m in tried], "reg_param double, elastic_net double, better_than_chance boolean")
 
 
@@ -283,13 +286,13 @@ def l30(spark, base):
 
     The amount follows mostly from the quantity, so that comes first and the others matter little.
     """
-    train, test = training.split(lines(spark, base).drop("ts"), "id")
-    test = cut_lineage(test)
-    fitted = training.fit([*training.preparation(NUMBERS, []), training.model("tree")], train)
+    train, test = training.stored_split(lines(spark, base), "id", ["id", *NUMBERS, "label"])
+    fitted = training.fit_counted([*training.preparation(NUMBERS, []), training.model("tree")], train.drop("id"))
     own = training.importances(fitted, NUMBERS)
     evaluator = RegressionEvaluator(metricName="rmse")
     whole = evaluator.evaluate(fitted.transform(test))
-    lost = {name: evaluator.evaluate(fitted.transform(training.permuted(test, "id", name))) - whole for name in NUMBERS}
+    dealt = cut_lineage(training.dealt_anew(test, "id", NUMBERS).drop("id"))
+    lost = {name: evaluator.evaluate(fitted.transform(dealt.withColumn(name, F.col(f"{name}_anew")))) - whole for name in NUMBERS}
     rows = [(n, 1 if own[n] == max(own.values()) else 2, round(sum(own.values()), 9), lost[n] > 0.1 * whole) for n in NUMBERS]
     return spark.createDataFrame(rows, "feature string, place int, importance_sum double, matters boolean")
 
@@ -297,7 +300,7 @@ def l30(spark, base):
 @query("l32_cascade", _majority_sql("cascade"))
 def l32(spark, base):
     """The predicted price as a feature of the model that predicts large lines."""
-    train, test = training.split(lines(spark, base), "id")
+    train, test = training.stored_split(lines(spark, base), "id", [*NUMBERS, *CATEGORIES, "label", "large"])
     first = [*training.preparation(NUMBERS, CATEGORIES), training.model("tree")]
     second = [*training.preparation(["quantity", "predicted_price"], ["flag"], "features2"), training.model("logistic", labelCol="large", featuresCol="features2")]
     scored = training.cascade(first, second, train, test, "predicted_price")

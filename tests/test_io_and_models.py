@@ -4,6 +4,7 @@ import os
 import numpy as np
 import pytest
 from conftest import rows
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
 from martloom import session
@@ -222,6 +223,44 @@ def test_permuted_column_keeps_its_values(spark):
     assert sum(r.v == 3 * r.id for r in mixed) < 20
 
 
+def test_columns_dealt_anew_keep_their_values_in_one_order(spark):
+    df = spark.range(200).select("id", (F.col("id") * 3).alias("v"), (F.col("id") * 5).alias("w"))
+    mixed = training.dealt_anew(df, "id", ["v", "w"]).collect()
+    assert [sorted(r[c] for r in mixed) for c in ("v_anew", "w_anew")] == [[3 * i for i in range(200)], [5 * i for i in range(200)]]
+    assert all((r.v, r.w, 5 * r.v_anew) == (3 * r.id, 5 * r.id, 3 * r.w_anew) for r in mixed)
+
+
+def _repeated(spark):
+    return spark.range(4000).select("id", F.when(F.col("id") % 5 > 0, (F.col("id") % 5).cast("double")).alias("x"), (F.col("id") % 3).cast("string").alias("c"),
+                                    (F.col("id") % 5 * 2 + F.col("id") % 3).cast("double").alias("label"), F.when(F.col("id") % 15 > 8, 1.0).otherwise(0.0).alias("large"))
+
+
+def test_models_fitted_on_counted_rows_equal_those_on_all_rows(spark):
+    """The last stage gets each distinct row once, and learns what it learns from all of them."""
+    df = _repeated(spark).drop("id", "large")
+    for kind in ("linear", "tree"):
+        stages = [*training.preparation(["x"], ["c"]), training.model(kind)]
+        every, counted = training.fit(stages, df), training.fit_counted(stages, df)
+        if kind == "linear":
+            assert counted.stages[-1].summary.numInstances == 15 and every.stages[-1].summary.numInstances == 4000
+        expected = {(r.x, r.c): r.prediction for r in every.transform(df).select("x", "c", "prediction").distinct().collect()}
+        found = {(r.x, r.c): r.prediction for r in counted.transform(df).select("x", "c", "prediction").distinct().collect()}
+        assert found.keys() == expected.keys() and all(found[k] == pytest.approx(expected[k], abs=1e-6) for k in expected)
+
+
+def test_search_on_counted_rows(spark):
+    """The metric of each setting is that of fits on all rows of the other folds."""
+    df = _repeated(spark).withColumn("fold", F.when(F.col("id") < 1000, 0).when(F.col("id") < 2500, 1).otherwise(2)).drop("id", "label")
+    stages = [*training.preparation(["x"], ["c"]), training.model("logistic", labelCol="large")]
+    evaluator = BinaryClassificationEvaluator(labelCol="large")
+    best, tried = training.search(stages, training.grid_of(regParam=[0.3, 0.01]), evaluator, df)
+    for setting, metric in tried:
+        last = stages[-1].copy({stages[-1].regParam: setting["regParam"]})
+        parts = [evaluator.evaluate(training.fit([*stages[:-1], last], df.filter(F.col("fold") != f)).transform(df.filter(F.col("fold") == f))) for f in range(3)]
+        assert metric == pytest.approx(sum(parts) / 3, abs=1e-6)
+    assert best.stages[-1].getRegParam() == max(tried, key=lambda t: t[1])[0]["regParam"]
+
+
 def test_split_is_stable_and_complete(spark):
     df = spark.range(1000)
     train, test = training.split(df, "id")
