@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 from martloom.session import cut_lineage
 
 # Rows per block and queries per matrix product; two blocks and their distances fit easily into one task.
-# Training rows per cell, and most pivots: they go to every task.
+# Training rows per cell, and most pivots: they go to every task.  Cells travel in groups of about as many training rows,
+# so that a row meets a group once, whatever the number of cells it visits there.
 BLOCK_ROWS = 4_096
 PIECE_ROWS = 256
 CELL_ROWS = 512
 MOST_PIVOTS = 4_096
+GROUP_ROWS = 16_384
 
 
 def nearest(queries: DataFrame, train: DataFrame, k: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -47,7 +49,7 @@ def nearest(queries: DataFrame, train: DataFrame, k: int, block_rows: int = BLOC
 
 
 def nearest_by_cells(queries: DataFrame, train: DataFrame, k: int, block_rows: int = BLOCK_ROWS,
-                     cell_rows: int = CELL_ROWS) -> tuple[DataFrame, DataFrame]:
+                     cell_rows: int = CELL_ROWS, group_rows: int = GROUP_ROWS) -> tuple[DataFrame, DataFrame]:
     """The rows of ``nearest`` by way of pivots, and the work this took: ``round, pairs, all_pairs``.
 
     About one training row in ``cell_rows`` is a pivot (``MOST_PIVOTS`` at most), chosen by hash,
@@ -55,7 +57,9 @@ def nearest_by_cells(queries: DataFrame, train: DataFrame, k: int, block_rows: i
     own cell.  The distance of its ``k``-th neighbour so far, or the distance within which the counted
     radii of the nearest cells promise ``k`` rows, then rules out by the triangle inequality every
     cell whose ring of distances from its pivot lies farther away; a second round visits the others.
-    Cells with more than ``block_rows`` rows of a side are compared in blocks.
+    Near cells form groups of about ``group_rows`` training rows: a query is sent to a group once, with the list of the
+    cells to visit there.  Groups with more than ``group_rows`` rows of a side are compared in blocks of that many,
+    and cells with more than ``block_rows`` rows of a side block by block within the task.
     """
     rows = train.count()
     wanted = max(1, min(MOST_PIVOTS, rows // cell_rows))
@@ -69,13 +73,18 @@ def nearest_by_cells(queries: DataFrame, train: DataFrame, k: int, block_rows: i
     rings = known.groupBy("cell").agg(F.count("*").alias("n"), F.min("away").alias("inner"), F.max("away").alias("outer"))
     held = sorted((r.cell, r.n, r.inner, r.outer) for r in rings.collect())  # one row per pivot
 
-    first, first_pairs = _compared(asked.select("id", "vector", "cell"), known, k, block_rows)
+    group_of = _groups(centres, held, group_rows)
+
+    own = F.array("cell").alias("cells")
+    lookup = F.broadcast(queries.sparkSession.createDataFrame([(int(c), int(g)) for c, g in enumerate(group_of)], "cell int, part int"))
+    known = known.join(lookup, "cell")
+    first, first_pairs = _compared(asked.join(lookup, "cell").select("id", "vector", "part", own), known, k, block_rows, group_rows)
     first = cut_lineage(first)
     reached = first.groupBy("query_id").agg(F.when(F.count("*") >= k, F.max("distance")).alias("reach"))
     open_queries = asked.join(reached.withColumnRenamed("query_id", "id"), "id", "left")
     onward = cut_lineage(open_queries.select("id", "vector", "cell", "reach").mapInArrow(
-        _onward(centres, held, k), _schema(asked, "id", "vector") + ", cell int"))
-    second, second_pairs = _compared(onward, known, k, block_rows)
+        _onward(centres, held, k, group_of), _schema(asked, "id", "vector") + ", part int, cells array<int>"))
+    second, second_pairs = _compared(onward, known, k, block_rows, group_rows)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "neighbour_id"))
     found = first.unionByName(second).withColumn("_rank", rank).filter(F.col("_rank") <= k).drop("_rank")
     return found, _work(queries, [first_pairs, second_pairs], queries.count(), rows)
@@ -110,8 +119,14 @@ def _in_cells(rows: DataFrame, centres: np.ndarray) -> DataFrame:
     return rows.mapInArrow(place, f"{_schema(rows, *rows.columns)}, cell int, away double")
 
 
-def _onward(centres: np.ndarray, rings: list[tuple], k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """For each query the further cells that may hold one of its ``k`` nearest."""
+def _groups(centres: np.ndarray, rings: list[tuple], group_rows: int) -> np.ndarray:
+    """The group of each cell: that of the nearest among the first few pivots, about one in ``group_rows`` training rows."""
+    wanted = max(1, min(len(centres), sum(n for _, n, _, _ in rings) // group_rows))
+    return _distances(centres, centres[:wanted]).argmin(axis=1)
+
+
+def _onward(centres: np.ndarray, rings: list[tuple], k: int, group_of: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For each query the further cells that may hold one of its ``k`` nearest, as one list for each group of cells."""
     cells, counts, inner, outer = (np.array(column) for column in zip(*rings))
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,31 +144,37 @@ def _onward(centres: np.ndarray, rings: list[tuple], k: int) -> Callable[[Iterat
                 nearest_row = np.maximum(away - outer, inner - away)
                 slack = 1e-6 * (1.0 + away)  # far above the rounding of the distances
                 row, column = np.nonzero((nearest_row <= reach[:, None] + slack) & (cells != piece["cell"].to_numpy()[:, None]))
-                taken = piece.select(["id", "vector"]).take(pa.array(row))
-                yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(cells[column], pa.int32())], ["id", "vector", "cell"])
+                part = group_of[cells[column]]
+                order = np.lexsort((part, row))
+                row, column, part = row[order], column[order], part[order]
+                begin = np.flatnonzero(np.append(True, (np.diff(row) != 0) | (np.diff(part) != 0))[:len(row)])
+                taken = piece.select(["id", "vector"]).take(pa.array(row[begin]))
+                listed = pa.ListArray.from_arrays(pa.array(np.append(begin, len(row)), pa.int32()), pa.array(cells[column], pa.int32()))
+                yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(part[begin], pa.int32()), listed], ["id", "vector", "part", "cells"])
 
     return visit
 
 
-def _compared(asked: DataFrame, known: DataFrame, k: int, block_rows: int) -> tuple[DataFrame, DataFrame]:
-    """The best ``k`` rows of its cell for every query row, and ``pairs``: how many distances that takes."""
+def _compared(asked: DataFrame, known: DataFrame, k: int, block_rows: int, group_rows: int) -> tuple[DataFrame, DataFrame]:
+    """The best ``k`` rows of the listed cells for every query row, and ``pairs``: how many distances that takes."""
     def dealt(df: DataFrame, name: str) -> DataFrame:
-        counted = df.groupBy("cell").agg(F.count("*").alias(f"{name}_rows"))
-        return counted.withColumn(f"{name}_blocks", F.ceil(F.col(f"{name}_rows") / block_rows).cast("int"))
+        return df.groupBy("part").agg(F.ceil(F.count("*") / group_rows).cast("int").alias(f"{name}_blocks"))
 
     # at most one row per pivot
-    sizes = F.broadcast(cut_lineage(dealt(asked, "asked").join(dealt(known, "known"), "cell")))
+    sizes = F.broadcast(cut_lineage(dealt(asked, "asked").join(dealt(known, "known"), "part")))
     def numbers(count: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
     def own(count: str) -> Column:
         return F.pmod(F.xxhash64("id"), F.col(count)).cast("int")
-    left = asked.join(sizes, "cell").select("id", "vector", F.col("cell").alias("qc"), own("asked_blocks").alias("qb"), numbers("known_blocks").alias("tb"))
-    right = known.join(sizes, "cell").select(
-        F.col("id").alias("neighbour_id"), F.col("vector").alias("point"), "label", F.col("cell").alias("train_cell"),
+    left = asked.join(sizes, "part").select("id", "vector", "cells", F.col("part").alias("qp"), own("asked_blocks").alias("qb"), numbers("known_blocks").alias("tb"))
+    right = known.join(sizes, "part").select(
+        F.col("id").alias("neighbour_id"), F.col("vector").alias("point"), "label", "cell", F.col("part").alias("train_part"),
         own("known_blocks").alias("train_block"), numbers("asked_blocks").alias("query_block"))
-    found = left.groupBy("qc", "qb", "tb").cogroup(right.groupBy("train_cell", "query_block", "train_block")).applyInPandas(
-        lambda q, t: best_in_block(q, t, k), "query_id long, neighbour_id long, distance double, label long")
-    return found, sizes.agg(F.coalesce(F.sum(F.col("asked_rows") * F.col("known_rows")), F.lit(0)).alias("pairs"))
+    found = left.groupBy("qp", "qb", "tb").cogroup(right.groupBy("train_part", "query_block", "train_block")).applyInPandas(
+        lambda q, t: best_in_cells(q, t, k, block_rows), "query_id long, neighbour_id long, distance double, label long")
+    visits = asked.select(F.explode("cells").alias("cell")).groupBy("cell").agg(F.count("*").alias("asked_rows"))
+    held = known.groupBy("cell").agg(F.count("*").alias("known_rows"))
+    return found, visits.join(held, "cell").agg(F.coalesce(F.sum(F.col("asked_rows") * F.col("known_rows")), F.lit(0)).alias("pairs"))
 
 
 def _work(queries: DataFrame, pairs: list[DataFrame], asked: int, known: int) -> DataFrame:
@@ -163,6 +184,31 @@ def _work(queries: DataFrame, pairs: list[DataFrame], asked: int, known: int) ->
     return reduce(DataFrame.unionByName, rounds)
 
 
+def best_in_cells(queries: pd.DataFrame, train: pd.DataFrame, k: int, block_rows: int) -> pd.DataFrame:
+    """Best ``k`` of the training rows of its listed ``cells`` for each query, cell by cell."""
+    best = best_in_block(queries[:0], train[:0], k)
+    if queries.empty or train.empty:
+        return best
+    visits = queries["cells"].explode().astype(int)
+    at = {cell: rows.index for cell, rows in visits.groupby(visits.to_numpy())}
+    found, held = [best], 0
+    for cell, points in train.groupby("cell"):
+        asked = queries.loc[at[cell]] if cell in at else queries[:0]
+        for i in range(0, len(asked), block_rows):
+            for j in range(0, len(points), block_rows):
+                found.append(best_in_block(asked[i:i + block_rows], points[j:j + block_rows], k))
+                held += len(found[-1])
+                if held > 4 * k * max(block_rows, len(queries)):  # what waits for the merge stays bounded
+                    found = [_first(pd.concat(found), k)]
+                    held = len(found[0])
+    return _first(pd.concat(found), k)
+
+
+def _first(found: pd.DataFrame, k: int) -> pd.DataFrame:
+    found = found.sort_values(["query_id", "distance", "neighbour_id"])
+    return found[found.groupby("query_id").cumcount() < k]
+
+
 def best_in_block(queries: pd.DataFrame, train: pd.DataFrame, k: int) -> pd.DataFrame:
     """Best ``k`` of one training block for each query of one block, from matrix products of ``PIECE_ROWS`` queries."""
     columns = ["query_id", "neighbour_id", "distance", "label"]

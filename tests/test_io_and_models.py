@@ -2,6 +2,7 @@ import datetime as dt
 import os
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import rows
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -198,6 +199,20 @@ def test_cells_give_the_rows_of_the_blocks(spark, block_rows, cell_rows):
         assert pairs == everything
 
 
+def test_cells_are_visited_in_groups(spark):
+    """A query is sent to a group of cells once, however many of its cells it visits: at most once per group, not per cell."""
+    points = np.random.default_rng(6).normal(size=(300, 20))
+    df = spark.createDataFrame([(i, p.tolist(), i % 3) for i, p in enumerate(points)], "id long, vector array<double>, label int")
+    columns = ["query_id", "neighbour_id", "distance", "label"]
+    expected = rows(neighbours.nearest(df.select("id", "vector"), df, 5), *columns)
+    for group_rows in (40, 150, 10_000):
+        assert rows(neighbours.nearest_by_cells(df.select("id", "vector"), df, 5, 20, 10, group_rows)[0], *columns) == expected
+    rings = [(c, 10, 0.0, 9.0) for c in range(30)]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([p.tolist() for p in points[:2]]), pa.array([0, 7], pa.int32()), pa.array([9.0, 9.0])], ["id", "vector", "cell", "reach"])
+    sent = [r for b in neighbours._onward(points[:30], rings, 5, neighbours._groups(points[:30], rings, 100))([batch]) for r in b.to_pylist()]
+    assert len(sent) == len({(r["id"], r["part"]) for r in sent}) <= 2 * 3 and sum(len(r["cells"]) for r in sent) == 2 * 29
+
+
 def test_cells_without_training_rows(spark):
     none = spark.createDataFrame([], "id long, vector array<double>, label int")
     found, work = neighbours.nearest_by_cells(none.select("id", "vector"), none, 5)
