@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from martloom.operators.aggregates import nested_pages
 from martloom.schemas import EVENT_PROPS
-from martloom.sizing import spread_if_small
+from martloom.sizing import spread_if_small, spread_in_pieces
 from martloom.tables import table
 
 
@@ -178,7 +178,7 @@ SALES_SQL = """(SELECT CAST(date_trunc('week', o_orderdate) AS DATE) AS week, p_
 
 def deliveries(spark: SparkSession, base: str) -> DataFrame:
     """Order lines as deliveries: the supplier is the courier, the discount gives the rating."""
-    lines = spread_if_small(table(spark, base, "lineitem").select("l_suppkey", "l_shipdate", "l_discount", "l_quantity", "l_extendedprice"))
+    lines = spread_in_pieces(table(spark, base, "lineitem").select("l_suppkey", "l_shipdate", "l_discount", "l_quantity", "l_extendedprice"))
     couriers = table(spark, base, "supplier").select("s_suppkey", "s_name")
     return lines.join(couriers, F.col("l_suppkey") == F.col("s_suppkey")).select(
         F.col("l_suppkey").alias("courier_id"), F.col("s_name").alias("courier_name"), F.col("l_shipdate").alias("order_ts"),

@@ -8,7 +8,7 @@ from conftest import rows
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
-from martloom import session
+from martloom import session, sizing
 from martloom.models import corpus, describe, hypothesis, metrics, moments, neighbours, splits, training
 from martloom.sources import files, geo_events, jdbc, queue
 from martloom.streaming import jobs, runs, state
@@ -309,6 +309,12 @@ def test_shuffles_follow_the_input(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_pieces_stay_small_as_the_input_grows(spark):
+    cores = spark.sparkContext.defaultParallelism
+    parts = {n: sizing.spread_in_pieces(spark.range(n)).rdd.getNumPartitions() for n in (10, 1_000_000, 40_000_000)}
+    assert parts[10] == parts[1_000_000] == cores and parts[40_000_000] >= 40_000_000 * 8 // sizing.PIECE_BYTES > cores
+
+
 def test_city_file_and_nested_events(spark, frame, tmp_path):
     (tmp_path / "geo.csv").write_text("id;city;lat;lng\n1;Sydney;-33,865;151,2094\n")
     assert rows(geo_events.city_file(spark, str(tmp_path / "geo.csv"))) == [(1, "Sydney", -33.865, 151.2094)]
