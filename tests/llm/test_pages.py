@@ -159,6 +159,28 @@ def test_lines_shared_with_the_nearest_addresses_go(spark):
     assert (found[101], found[102], found[103], found[104], found[105]) == ("b", "c", "same", "q", "r")
 
 
+def test_blocks_repeated_inside_the_main_element_go(spark):
+    """A block of the article that each neighbour has goes; quoted lines, a shared headline, and near copies of articles keep theirs."""
+    def page(i, quote=""):
+        return (f"<nav>Menu {i}</nav><article><header><h1>Daily report</h1></header><div class='x1'><p>own {i}</p><p>more {i}</p><p>last {i}</p>{quote}</div>"
+                f"<div class='x2'><p>Sign up</p><p>Never miss a story</p><p>Box {i}</p></div><p>Written by {i}</p><p>Printed {i}</p></article>")
+    rows = [(i, f"http://h.com/a/{i:03d}", page(i, "<p>quoted</p>" if 3 <= i <= 6 else "")) for i in range(10)]
+    near = "".join(f"<p>line {n}</p>" for n in range(9))
+    rows += [(40 + i, f"http://again.com/{i}", f"<article><p>and so on</p>{'<p>and so on</p>' * 3 * i}<p>a {i}</p><p>b {i}</p></article>") for i in range(3)]
+    rows += [(20 + i, f"http://near.com/{i}", f"<article><div>{near}</div><p>change {i}</p></article>") for i in range(4)]
+    pages = spark.createDataFrame(rows, PAGES)
+    for run in (3, 64):
+        assert {r.page_id for r in html.shared_lines(pages, run).collect()} == {*range(10), 40, 41, 42}
+    found = {r.page_id: r.text.split("\n\n") for r in html.extract_text(pages).collect()}
+    for i in range(10):
+        quote = ["quoted"] if 3 <= i <= 6 else []
+        assert found[i] == ["Daily report", f"own {i}", f"more {i}", f"last {i}", *quote, f"Box {i}", f"Written by {i}", f"Printed {i}"]
+    for i in range(3):
+        assert found[40 + i] == [*["and so on"] * (1 + 3 * i), f"a {i}", f"b {i}"]
+    for i in range(4):
+        assert found[20 + i] == [*[f"line {n}" for n in range(9)], f"change {i}"]
+
+
 def test_copies_at_neighbouring_addresses_keep_their_text(spark):
     """No main element: copies count as one page, and are aligned with the pages of other content around them."""
     def page(own):
