@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.operators.aggregates import nested_pages
+from martloom.operators.joins import join_in_pieces, lookup_in_pieces
 from martloom.schemas import EVENT_PROPS
-from martloom.sizing import spread_if_small, spread_in_pieces
+from martloom.sizing import pieces_of, spread_if_small, spread_in_pieces
 from martloom.tables import table
 
 
@@ -105,15 +106,17 @@ def rfm_frames(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
 def shipping_log(spark: SparkSession, base: str) -> DataFrame:
     """Wide shipping log: one ``booked`` row per order and one state row per line.
 
-    Country comes from the customer's nation, agreement and transfer from order columns.
+    Country comes from the customer's nation, agreement and transfer from order columns.  The rows are dealt by
+    shipment over pieces of bounded size, as the marts group them.
     """
+    pieces = _order_pieces(spark, base)
     orders = spread_if_small(table(spark, base, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority", "o_orderstatus"))
     customers = table(spark, base, "customer").select("c_custkey", "c_nationkey")
     nations = table(spark, base, "nation").select("n_nationkey", "n_name")
-    wide = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).join(
+    wide = lookup_in_pieces(orders.withColumnRenamed("o_custkey", "c_custkey"), customers, "c_custkey", pieces).join(
         nations, F.col("c_nationkey") == F.col("n_nationkey"))
-    vendor = F.col("o_custkey") % 20
+    vendor = F.col("c_custkey") % 20
     described = wide.select(
         F.col("o_orderkey").alias("shippingid"), vendor.alias("vendorid"),
         F.col("o_totalprice").cast("decimal(14,2)").alias("payment_amount"),
@@ -126,7 +129,7 @@ def shipping_log(spark: SparkSession, base: str) -> DataFrame:
         F.concat(F.substring("o_orderpriority", 1, 1), F.lit("p:"), F.lower(F.substring("o_orderpriority", 3, 4)))
         .alias("shipping_transfer_description"),
         (F.substring("o_orderpriority", 1, 1).cast("int") / F.lit(1000.0)).cast("decimal(14,3)").alias("shipping_transfer_rate"),
-        "o_orderdate", "o_orderstatus")
+        "o_orderdate", "o_orderstatus").repartition(pieces, "shippingid")
     lines = table(spark, base, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_returnflag")
     steps = lines.select(
         F.col("l_orderkey").alias("shippingid"),
@@ -135,7 +138,7 @@ def shipping_log(spark: SparkSession, base: str) -> DataFrame:
     booked = described.select(*[c for c in described.columns if c not in ("o_orderdate", "o_orderstatus")],
                               F.lit("in_progress").alias("status"), F.lit("booked").alias("state"),
                               F.col("o_orderdate").alias("state_datetime"))
-    moved = described.join(steps, "shippingid").select(
+    moved = described.join(steps.repartition(pieces, "shippingid"), "shippingid").select(
         *[c for c in described.columns if c not in ("o_orderdate", "o_orderstatus")],
         F.when(F.col("state") == "recieved", "finished").otherwise("in_progress").alias("status"), "state", "state_datetime")
     return booked.unionByName(moved)
@@ -255,21 +258,43 @@ def order_messages(spark: SparkSession, base: str) -> DataFrame:
                 "products").alias("payload")))
 
 
-def order_rows(spark: SparkSession, base: str) -> DataFrame:
-    """The lines of the order messages as flat columns, for readers that need no messages."""
-    orders = table(spark, base, "orders")
+def _order_pieces(spark: SparkSession, base: str) -> int:
+    """Pieces of orders and lines, not fewer than the session's shuffles have, so that all of them agree."""
+    return max(pieces_of(table(spark, base, "orders"), table(spark, base, "lineitem")), int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _order_parts(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame, int]:
+    """Orders with their customer, lines with their product, and the pieces of both; products and orders meet last.
+
+    Joined by the text of the order id, the rows lie as the tables of orders are grouped.
+    """
+    orders, lines = table(spark, base, "orders"), table(spark, base, "lineitem").select("l_orderkey", "l_partkey")
+    pieces = _order_pieces(spark, base)
     customers = table(spark, base, "customer").select("c_custkey", "c_name")
-    lines = spread_if_small(table(spark, base, "lineitem").select("l_orderkey", "l_partkey"))
     parts = table(spark, base, "part").select("p_partkey", "p_name", "p_type")
-    wide = (lines.join(orders, F.col("o_orderkey") == F.col("l_orderkey")).join(customers, F.col("o_custkey") == F.col("c_custkey"))
-            .join(parts, F.col("l_partkey") == F.col("p_partkey")))
-    return wide.select(
+    bought = lookup_in_pieces(orders.withColumnRenamed("o_custkey", "c_custkey"), customers, "c_custkey", pieces).select(
         F.col("o_orderkey").cast("string").alias("order_id"), F.col("o_orderdate").cast("timestamp").alias("order_dt"),
         F.when(F.col("o_orderstatus") == "F", "CLOSED").otherwise("OPEN").alias("status"),
         F.col("o_totalprice").alias("ordercost"), F.col("o_totalprice").alias("payment"), F.col("c_custkey").cast("string").alias("user_id"),
-        F.col("c_name").alias("username"), F.lower("c_name").alias("userlogin"), (F.col("o_custkey") % 50).cast("string").alias("restaurant_id"),
-        F.concat(F.lit("Place "), (F.col("o_custkey") % 50).cast("string")).alias("restaurantname"),
-        F.col("l_partkey").cast("string").alias("product_id"), F.col("p_name").alias("productname"), F.col("p_type").alias("category_name"))
+        F.col("c_name").alias("username"), F.lower("c_name").alias("userlogin"), (F.col("c_custkey") % 50).cast("string").alias("restaurant_id"),
+        F.concat(F.lit("Place "), (F.col("c_custkey") % 50).cast("string")).alias("restaurantname"))
+    sold = lookup_in_pieces(spread_if_small(lines).withColumnRenamed("l_partkey", "p_partkey"), parts, "p_partkey", pieces).select(
+        F.col("l_orderkey").cast("string").alias("order_id"),
+        F.col("p_partkey").cast("string").alias("product_id"), F.col("p_name").alias("productname"), F.col("p_type").alias("category_name"))
+    return bought, sold, pieces
+
+
+def order_rows(spark: SparkSession, base: str, by: list[str] | None = None) -> DataFrame:
+    """The lines of the order messages as flat columns, for readers that need no messages; dealt by the order, or ``by``."""
+    bought, sold, pieces = _order_parts(spark, base)
+    rows = join_in_pieces(sold, bought, "order_id", pieces)
+    return rows.repartition(pieces, *by) if by else rows
+
+
+def order_heads(spark: SparkSession, base: str) -> DataFrame:
+    """What the same rows say of the order, once per order that has a line."""
+    bought, sold, pieces = _order_parts(spark, base)
+    return join_in_pieces(bought, sold.select("order_id"), "order_id", pieces, "left_semi")
 
 
 MESSAGE_LINES_SQL = """(SELECT DISTINCT CAST(o_orderkey AS VARCHAR) AS order_id, o_orderdate AS order_dt, CASE WHEN o_orderstatus = 'F' THEN 'CLOSED' ELSE 'OPEN' END AS status,

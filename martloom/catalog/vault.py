@@ -17,10 +17,12 @@ LOADED = "2024-02-01 00:00:00"
 LINES = data.MESSAGE_LINES_SQL
 
 
-def vault(spark, base):
-    """All vault tables of the orders, loaded at a fixed time; the one that is read is built from the columns it needs."""
-    rows = data.order_rows(spark, base)
-    return line_vault(rows, rows, F.lit(LOADED).cast("timestamp"))
+def vault(spark, base, by=None):
+    """All vault tables of the orders, loaded at a fixed time; the one that is read is built from the columns it needs.
+
+    Tables of orders come from one row per order; lines are dealt by order, or ``by`` the keys that a table is grouped by.
+    """
+    return line_vault(data.order_heads(spark, base), data.order_rows(spark, base, by), F.lit(LOADED).cast("timestamp"))
 
 
 def _stamped(df, *columns):
@@ -118,7 +120,7 @@ def link_product_category(spark, base):
 
 @query("v03_link_product_restaurant", f"SELECT {joined('product_id', 'restaurant_id')} AS hk_product_restaurant_pk, {data.uuid_sql('product_id')} AS h_product_pk, {data.uuid_sql('restaurant_id')} AS h_restaurant_pk, {STAMP_SQL} FROM (SELECT DISTINCT product_id, restaurant_id FROM {LINES})")
 def link_product_restaurant(spark, base):
-    return _stamped(vault(spark, base)["l_product_restaurant"], "hk_product_restaurant_pk", "h_product_pk", "h_restaurant_pk")
+    return _stamped(vault(spark, base, ["product_id", "restaurant_id"])["l_product_restaurant"], "hk_product_restaurant_pk", "h_product_pk", "h_restaurant_pk")
 
 
 @query("v04_order_lines", f"""

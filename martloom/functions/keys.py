@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The DNS namespace of RFC 4122 and the separator between key parts.
@@ -16,8 +16,15 @@ def uuid5(text: Column) -> Column:
     The name is hashed with SHA-1 after the namespace bytes; then the version and
     variant digits are written over digits 13 and 17.
     """
-    name = F.encode(text.cast("string"), "UTF-8")
-    digest = F.sha1(F.concat(F.unhex(F.lit(DNS_NAMESPACE)), name))
+    return uuid_of(name_digest(text))
+
+
+def name_digest(text: Column) -> Column:
+    """What ``uuid_of`` makes a UUID of."""
+    return F.sha1(F.concat(F.unhex(F.lit(DNS_NAMESPACE)), F.encode(text.cast("string"), "UTF-8")))
+
+
+def uuid_of(digest: Column) -> Column:
     variant = F.translate(F.substring(digest, 17, 1), "0123456789abcdef", "89ab89ab89ab89ab")
     return F.concat_ws(
         "-",
@@ -29,6 +36,15 @@ def uuid5(text: Column) -> Column:
     )
 
 
+def with_keys(df: DataFrame, texts: dict[str, Column]) -> DataFrame:
+    """Add a UUID for each text.
+
+    The digests are a step of their own: an aggregation right below would else work out a digest again for each part of the UUID.
+    """
+    return (df.withColumns({f"_digest_{name}": name_digest(text) for name, text in texts.items()})
+            .withColumns({name: uuid_of(F.col(f"_digest_{name}")) for name in texts}))
+
+
 def joined_key(*parts: Column) -> Column:
     """UUID of several parts put together with the fixed separator."""
     return uuid5(key_text(*parts))

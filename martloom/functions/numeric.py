@@ -38,4 +38,4 @@ def tiered_pay(amount: Column, score: Column, tiers: list[tuple[float | None, fl
 
 def plain_number(value: Column) -> Column:
     """A number as decimal text without exponent and idle zeros: 300.5, 10000000."""
-    return F.when(value == 0, "0").otherwise(F.regexp_replace(value.cast("decimal(38,10)").cast("string"), r"\.?0+$", ""))
+    return F.when(value == 0, "0").otherwise(F.rtrim(F.rtrim(value.cast("decimal(38,10)").cast("string"), F.lit("0")), F.lit(".")))

@@ -58,6 +58,21 @@ def salted_join(facts: DataFrame, lookup: DataFrame, on: list[str], how: str = "
     return dealt.join(repeated, [*on, "_piece"], how).drop("_piece")
 
 
+def join_in_pieces(left: DataFrame, right: DataFrame, on: str, pieces: int, how: str = "inner") -> DataFrame:
+    """Join on a key with few rows each, both sides dealt by it over ``pieces``: a task sorts one piece, whatever the session's width.
+
+    The result stays dealt by ``on``, so a grouping that starts from this key needs no further shuffle.
+    """
+    if how != "left_semi":  # the planner moves a semi join below the shuffle of its left side, which follows the right one
+        left = left.repartition(pieces, on)
+    return left.join(right.repartition(pieces, on), on, how)
+
+
+def lookup_in_pieces(facts: DataFrame, lookup: DataFrame, on: str, pieces: int, how: str = "inner") -> DataFrame:
+    """The same where a lookup within its bounds of rows and bytes is broadcast and the facts do not move."""
+    return facts.join(F.broadcast(lookup), on, how) if is_bounded(lookup) else join_in_pieces(facts, lookup, on, pieces, how)
+
+
 def _any_null(names: list[str]) -> Column:
     found = F.lit(False)
     for name in names:
@@ -164,5 +179,5 @@ def with_base_rate(rates: DataFrame, days: DataFrame, base: int, day: str = "day
     return others.unionByName(base_rows)
 
 
-__all__ = ["lookup_join", "salted_join", "not_in", "has_match", "has_no_match", "partner_counts",
+__all__ = ["lookup_join", "salted_join", "join_in_pieces", "lookup_in_pieces", "not_in", "has_match", "has_no_match", "partner_counts",
            "pairs_sharing", "pair_tiles", "mirrored", "merge_by_key", "with_base_rate", "broadcast_if_bounded"]

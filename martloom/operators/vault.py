@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martloom.functions.keys import joined_key, key_text, uuid5
+from martloom.functions.keys import joined_key, key_text, uuid5, with_keys
 from martloom.functions.numeric import plain_number
 
 # Fixed value: source label written into every vault row.
@@ -24,7 +24,7 @@ def hub(df: DataFrame, pk: str, business_key: str, load_dt: Column, load_src: st
         F.col(business_key).cast("string").alias(business_key), *held, *_stamped(load_dt, load_src))
     earliest = rows.groupBy(business_key).agg(
         F.min(F.struct("load_dt", *held, "load_src")).alias("_first"))
-    return earliest.select(joined_key(F.col(business_key)).alias(pk), business_key,
+    return with_keys(earliest, {pk: key_text(F.col(business_key))}).select(pk, business_key,
                            *[F.col(f"_first.{c}").alias(c) for c in [*(extra or []), "load_dt", "load_src"]])
 
 
@@ -32,10 +32,9 @@ def link(df: DataFrame, pk: str, ends: dict[str, str], load_dt: Column, load_src
     """One row per pair of business keys; ``ends`` maps hub key names to business keys."""
     keys = list(ends.values())
     rows = df.groupBy(*keys).agg(F.min(load_dt).alias("load_dt"))
-    return rows.select(
-        joined_key(*[F.col(k) for k in keys]).alias(pk),
-        *[joined_key(F.col(key)).alias(end) for end, key in ends.items()],
-        "load_dt", F.lit(load_src).alias("load_src"))
+    texts = {pk: key_text(*[F.col(k) for k in keys]), **{end: key_text(F.col(key)) for end, key in ends.items()}}
+    return with_keys(rows, texts).select(
+        *texts, "load_dt", F.lit(load_src).alias("load_src"))
 
 
 def satellite(df: DataFrame, pk: str, business_key: str, attributes: dict[str, str], hashdiff: str,
@@ -47,11 +46,10 @@ def satellite(df: DataFrame, pk: str, business_key: str, attributes: dict[str, s
     text = {c: plain_number(F.col(c)) if kind in ("double", "float") else F.col(c) for c, kind in df.dtypes}
     inputs = list(attributes.values())
     rows = df.groupBy(business_key, *inputs).agg(F.min(load_dt).alias("load_dt"))
-    return rows.select(
-        joined_key(F.col(business_key)).alias(pk),
-        *[F.col(source).alias(name) for name, source in attributes.items()],
-        "load_dt", F.lit(load_src).alias("load_src"),
-        joined_key(F.col(business_key), *[text[c] for c in inputs]).alias(hashdiff))
+    hashed = with_keys(rows, {pk: key_text(F.col(business_key)), hashdiff: key_text(F.col(business_key), *[text[c] for c in inputs])})
+    return hashed.select(
+        pk, *[F.col(source).alias(name) for name, source in attributes.items()],
+        "load_dt", F.lit(load_src).alias("load_src"), hashdiff)
 
 
 def append_unseen(built: DataFrame, loaded: DataFrame | None, key: str) -> DataFrame:

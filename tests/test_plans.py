@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import re
 import uuid
 from decimal import Decimal
 
@@ -7,6 +8,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from martloom.catalog import QUERIES
 from martloom.functions.numeric import plain_number
 from martloom.operators.vault import VAULT_TABLES, append_unseen, message_lines, order_lines, order_vault, vault_rows, vault_table
 from martloom.plans import couriers, customers, geography, groups, money, shipping
@@ -15,6 +17,7 @@ from martloom.sources.queue import as_messages
 from martloom.streaming import jobs, runs, state
 
 T = dt.datetime
+BASE = "/root/testdata/sf0.01"
 
 
 def test_rfm_keeps_users_without_orders(frame):
@@ -251,3 +254,15 @@ def test_vault_stream_over_several_batches(spark, frame, tmp_path, turned):
 def test_numbers_in_hashes_are_plain_text(frame):
     values = frame([(1.0e7,), (300.5,), (300.0,), (0.0,), (0.25,), (None,)], "v double")
     assert [r[0] for r in values.select(plain_number(F.col("v"))).collect()] == ["10000000", "300.5", "300", "0", "0.25", None]
+
+
+@pytest.mark.parametrize("key", ["v02_sat_order_cost", "v03_link_order_product", "v03_link_product_restaurant", "m06_shipping_datamart",
+                                 "m06_shipping_datamart_planned"])
+def test_pieces_of_a_query_follow_its_input(spark, monkeypatch, key):
+    """Every shuffle of a large table has as many parts as the input has pieces, whatever the session's number; a key's text is hashed once."""
+    monkeypatch.setattr("martloom.catalog.standins.pieces_of", lambda *inputs: 40)
+    plan = QUERIES[key](spark, BASE)._jdf.queryExecution()
+    parts = re.findall(r"hashpartitioning\(.*, (\d+)\)", plan.executedPlan().toString())
+    assert parts and set(parts) == {"40"}
+    hashes = {"v02_sat_order_cost": 2, "v03_link_order_product": 3, "v03_link_product_restaurant": 3}
+    assert plan.optimizedPlan().toString().count("sha1(") == hashes.get(key, 0)
