@@ -322,3 +322,14 @@ def test_city_file_and_nested_events(spark, frame, tmp_path):
                 "event_type string, event struct<message_from:long,message_to:long,reaction_from:string,user:string,subscription_channel:long,datetime:string,message_ts:string>, lat double, lon double")
     assert rows(geo_events.flat_events(raw), "event_type", "user_id", "message_to", "channel", "ts", "lat") == [
         ("message", 5, 6, None, dt.datetime(2022, 1, 2, 3, 4, 5), 1.0), ("subscription", 7, None, 9, dt.datetime(2022, 1, 1), None)]
+
+
+def test_terms_are_counted_where_the_texts_lie(spark):
+    """Only texts whose key is repeated, null ones too, are shuffled to be counted together."""
+    rows = [(1, "The cat, a CAT"), (2, "cat dog"), (2, "dog bird the"), (None, "x y"), (None, "x"), (3, None), (4, ""), (5, "the a")]
+    docs = spark.createDataFrame(rows, "d long, t string")
+    found = sorted(map(tuple, corpus.term_counts(docs, "d", "t").collect()), key=str)
+    assert found == sorted([(1, "cat", 2), (2, "cat", 1), (2, "dog", 2), (2, "bird", 1), (None, "x", 2), (None, "y", 1)], key=str)
+    alone = corpus.term_counts(docs.filter("d <> 2"), "d", "t")
+    assert sorted(map(tuple, alone.collect())) == [(1, "cat", 2)]
+    assert "Exchange" not in alone._jdf.queryExecution().executedPlan().toString()
