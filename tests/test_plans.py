@@ -222,6 +222,20 @@ def test_notifications_meet_pages_of_subscribers(spark, frame, monkeypatch):
     assert rows(jobs.notification_messages(campaigns, subscribers, moment)) == rows(as_messages(plain))
 
 
+def test_notifications_of_one_restaurant_are_dealt_out(spark, frame, monkeypatch):
+    """One restaurant has nearly all rows, its subscribers and campaigns are copies: no task makes more than a few cells."""
+    for name, value in {"PAGE_SUBSCRIBERS": 10, "BLOCK_CAMPAIGNS": 10, "TASK_ROWS": 500}.items():
+        monkeypatch.setattr(jobs, name, value)
+    monkeypatch.setattr(jobs, "broadcast_if_bounded", lambda df: df)
+    campaigns = frame([(1, "same")] * 100 + [(2, "other"), (3, "lone"), (None, "none")], "restaurant_id long, content string")
+    subscribers = frame([(1, "copy")] * 199 + [(1, None), (2, "a"), (2, "a"), (4, "lone"), (None, "x")], "restaurant_id long, client_id string")
+    made = jobs.notifications(campaigns, subscribers, F.lit("2024-01-01").cast("timestamp"))
+    assert rows(made.groupBy("restaurant_id", "content", "client_id").count()) == [(1, "same", "copy", 19_900), (1, "same", None, 100), (2, "other", "a", 2)]
+    by_task = [r["count"] for r in made.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(by_task) > 20 and max(by_task) < 4_000
+    assert rows(jobs.notifications(campaigns.limit(0), subscribers)) == [] == rows(jobs.notifications(campaigns, subscribers.limit(0)))
+
+
 @pytest.mark.parametrize("turned", [False, True])
 def test_vault_stream_over_several_batches(spark, frame, tmp_path, turned):
     """An order sent twice, with products of its own each time, equals the batch form in either order of arrival."""
