@@ -109,7 +109,7 @@ def shipping_log(spark: SparkSession, base: str) -> DataFrame:
     Country comes from the customer's nation, agreement and transfer from order columns.  The rows are dealt by
     shipment over pieces of bounded size, as the marts group them.
     """
-    pieces = _order_pieces(spark, base)
+    pieces = order_pieces(spark, base)
     orders = spread_if_small(table(spark, base, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority", "o_orderstatus"))
     customers = table(spark, base, "customer").select("c_custkey", "c_nationkey")
@@ -258,7 +258,7 @@ def order_messages(spark: SparkSession, base: str) -> DataFrame:
                 "products").alias("payload")))
 
 
-def _order_pieces(spark: SparkSession, base: str) -> int:
+def order_pieces(spark: SparkSession, base: str) -> int:
     """Pieces of orders and lines, not fewer than the session's shuffles have, so that all of them agree."""
     return max(pieces_of(table(spark, base, "orders"), table(spark, base, "lineitem")), int(spark.conf.get("spark.sql.shuffle.partitions")))
 
@@ -269,7 +269,7 @@ def _order_parts(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame,
     Joined by the text of the order id, the rows lie as the tables of orders are grouped.
     """
     orders, lines = table(spark, base, "orders"), table(spark, base, "lineitem").select("l_orderkey", "l_partkey")
-    pieces = _order_pieces(spark, base)
+    pieces = order_pieces(spark, base)
     customers = table(spark, base, "customer").select("c_custkey", "c_name")
     parts = table(spark, base, "part").select("p_partkey", "p_name", "p_type")
     bought = lookup_in_pieces(orders.withColumnRenamed("o_custkey", "c_custkey"), customers, "c_custkey", pieces).select(

@@ -8,8 +8,8 @@ from martloom.catalog import standins as data
 from martloom.catalog.registry import query, time_text
 from martloom.functions.keys import link_hash
 from martloom.operators.increments import unseen
-from martloom.operators.vault import VAULT_TABLES, append_unseen, hub, line_vault, order_lines, vault_rows, vault_table
-from martloom.session import scratch_path
+from martloom.operators.vault import VAULT_TABLES, append_unseen, distinct_vault_rows, hub, line_vault, order_lines, vault_table
+from martloom.session import lean_writes, scratch, scratch_path
 from martloom.sources import files
 from martloom.tables import table
 
@@ -127,10 +127,13 @@ def link_product_restaurant(spark, base):
 SELECT {data.uuid_sql('order_id')} AS h_order_pk, {data.uuid_sql('user_id')} AS h_user_pk, {data.uuid_sql('product_id')} AS h_product_pk, productname,
  {data.uuid_sql('category_name')} AS h_category_pk, category_name, status FROM {LINES}""")
 def order_line_read(spark, base):
-    """From nested messages, as a topic holds them: one pass over them, one shuffle for the rows of all tables."""
-    rows = vault_rows(data.order_messages(spark, base), F.lit(LOADED).cast("timestamp")).dropDuplicates(["table", "key"])
+    """From nested messages, as a topic holds them: written once, then the rows of all tables with one narrow shuffle per business key."""
     path = scratch_path(spark, "vault")
-    rows.write.partitionBy("table").parquet(path)
+    with scratch(spark), lean_writes(spark):
+        topic = scratch_path(spark, "orders_topic")
+        data.order_messages(spark, base).write.option("compression", "zstd").parquet(topic)
+        rows = distinct_vault_rows(spark.read.parquet(topic), data.order_pieces(spark, base), F.lit(LOADED).cast("timestamp"))
+        rows.write.partitionBy("table").option("compression", "zstd").parquet(path)
     stored = spark.read.schema(rows.schema).parquet(path)
     return order_lines({name: vault_table(stored, name, plain=True) for name in VAULT_TABLES}, plain=True)
 

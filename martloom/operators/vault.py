@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martloom.functions.keys import joined_key, key_text, uuid5, with_keys
+from martloom.functions.keys import PART_SEPARATOR, joined_key, key_text, uuid5, with_keys
 from martloom.functions.numeric import plain_number
 
 # Fixed value: source label written into every vault row.
@@ -65,15 +67,21 @@ def order_vault(messages: DataFrame, load_dt: Column | None = None, load_src: st
 
 def flat_orders(messages: DataFrame) -> DataFrame:
     """One row per message and product, numbered by ``_pos``; a message without products keeps a row."""
-    return messages.select(
-        F.col("payload.id").alias("order_id"), F.col("payload.date").alias("order_dt"),
-        F.col("payload.status").alias("status"), F.col("payload.cost").alias("ordercost"),
-        F.col("payload.payment").alias("payment"),
-        F.col("payload.user.id").alias("user_id"), F.col("payload.user.name").alias("username"),
-        F.col("payload.user.login").alias("userlogin"),
-        F.col("payload.restaurant.id").alias("restaurant_id"), F.col("payload.restaurant.name").alias("restaurantname"),
-        F.posexplode_outer("payload.products").alias("_pos", "p")).select(
-        "*", F.col("p.id").alias("product_id"), F.col("p.name").alias("productname"), F.col("p.category").alias("category_name")).drop("p")
+    return messages.select(*_order_columns(), F.posexplode_outer("payload.products").alias("_pos", "p")).select(
+        "*", *_product_columns()).drop("p")
+
+
+def _order_columns() -> list[Column]:
+    return [F.col("payload.id").alias("order_id"), F.col("payload.date").alias("order_dt"),
+            F.col("payload.status").alias("status"), F.col("payload.cost").alias("ordercost"),
+            F.col("payload.payment").alias("payment"),
+            F.col("payload.user.id").alias("user_id"), F.col("payload.user.name").alias("username"),
+            F.col("payload.user.login").alias("userlogin"),
+            F.col("payload.restaurant.id").alias("restaurant_id"), F.col("payload.restaurant.name").alias("restaurantname")]
+
+
+def _product_columns() -> list[Column]:
+    return [F.col("p.id").alias("product_id"), F.col("p.name").alias("productname"), F.col("p.category").alias("category_name")]
 
 
 _FIRST, _HAS_PRODUCT = "coalesce(_pos, 0) = 0", "_pos IS NOT NULL"
@@ -120,6 +128,7 @@ VAULT_TABLES = {
 # Columns that are not text.
 _KINDS = {"order_dt": "timestamp", "ordercost": "double", "payment": "double"}
 _PLACES = ("first", "second", "third")
+_MANY_OWNERS = ("order_id", "product_id")  # business keys so many that their rows hardly repeat within a task
 
 
 def key_of(name: str) -> str:
@@ -144,32 +153,77 @@ def vault_rows(messages: DataFrame, load_dt: Column | None = None, load_src: str
     ``vault_table`` hashes the keys and gives the columns back their names and types.
     """
     flat = flat_orders(messages)
-    text = {c: plain_number(F.col(c)) if kind in ("double", "float") else F.col(c) for c, kind in flat.dtypes}
+    there = {side: F.expr(_FIRST if side == "order" else _HAS_PRODUCT) for side in ("order", "line")}
+    return _loaded(_rows_of(flat, {name: there[side] for name, (side, *_) in VAULT_TABLES.items()}), load_dt, load_src)
+
+
+def _rows_of(flat: DataFrame, tables: dict[str, Column], *kept: Column) -> DataFrame:
+    """Flat columns as rows ``table, key`` and values of the tables, each where its condition holds, beside what is ``kept``."""
+    made = []
+    for name, there in tables.items():
+        known, key, values = _row_of(name, flat)
+        made.append(F.when(there & known, F.struct(F.lit(name).alias("table"), key.alias("key"), *[v.alias(c) for c, v in zip(_PLACES, values)])))
+    return flat.select(*kept, F.explode(F.array_compact(F.array(*made))).alias("row")).select("*", "row.*").drop("row")
+
+
+def _row_of(name: str, flat: DataFrame) -> tuple[Column, Column, list[Column]]:
+    """Whether flat columns make a row of a table, its key and its three values as text."""
+    _, kind, pk, *described = VAULT_TABLES[name]
+    text = {c: plain_number(F.col(c)) if of in ("double", "float") else F.col(c) for c, of in flat.dtypes}
 
     def as_text(column: str) -> Column:
         return (F.unix_micros(column) if _KINDS.get(column) == "timestamp" else F.col(column)).cast("string")
 
-    made = []
-    for name, (side, kind, pk, *described) in VAULT_TABLES.items():
-        there = F.expr(_FIRST if side == "order" else _HAS_PRODUCT)
-        if kind == "hub":
-            there, key = there & F.col(described[0]).isNotNull(), F.col(described[0]).cast("string")
-            values = [as_text(c) for c in _held(name)]
-        elif kind == "link":
-            ends = list(described[0].values())
-            key, values = key_text(*[F.col(c) for c in ends]), [as_text(c) for c in ends]
-        else:
-            business_key, attributes, _ = described
-            key = key_text(F.col(business_key), *[text[c] for c in attributes.values()])
-            values = [as_text(c) for c in [business_key, *attributes.values()]]
-        values += [F.lit(None).cast("string")] * (len(_PLACES) - len(values))
-        made.append(F.when(there, F.struct(F.lit(name).alias("table"), key.alias("key"), *[v.alias(c) for c, v in zip(_PLACES, values)])))
-    rows = flat.select(F.explode(F.array_compact(F.array(*made))).alias("row")).select("row.*")
+    there, columns = F.lit(True), _made_from(name)
+    if kind == "hub":
+        there, key = F.col(described[0]).isNotNull(), F.col(described[0]).cast("string")
+    elif kind == "link":
+        key = key_text(*[F.col(c) for c in columns])
+    else:
+        key = key_text(F.col(columns[0]), *[text[c] for c in columns[1:]])
+    values = [as_text(c) for c in columns]
+    return there, key, values + [F.lit(None).cast("string")] * (len(_PLACES) - len(values))
+
+
+def _made_from(name: str) -> list[str]:
+    """The flat columns that a table is made from, the business key that owns its rows first."""
+    _, kind, _, *described = VAULT_TABLES[name]
+    if kind == "hub":
+        return [described[0], *described[1]]
+    return list(described[0].values()) if kind == "link" else [described[0], *described[1].values()]
+
+
+def _loaded(rows: DataFrame, load_dt: Column | None, load_src: str) -> DataFrame:
     return rows.withColumns({"load_dt": F.current_timestamp() if load_dt is None else load_dt, "load_src": F.lit(load_src)})
 
 
+def distinct_vault_rows(messages: DataFrame, pieces: int, load_dt: Column | None = None, load_src: str = LOAD_SOURCE) -> DataFrame:
+    """The rows of ``vault_rows``, of each table and key one.
+
+    The tables that begin with the same business key are made where its columns lie, so what is shuffled is one narrow row
+    for each message or product and business key, not a row for each table.  ``pieces`` parts are sorted one at a time.
+    """
+    sides = {"order": messages.select(*_order_columns()),
+             "line": messages.select(F.explode("payload.products").alias("p"), *_order_columns()).select("*", *_product_columns()).drop("p")}
+    groups: dict[tuple[str, str], list[str]] = {}
+    for name, (side, *_) in VAULT_TABLES.items():
+        groups.setdefault((side, _made_from(name)[0]), []).append(name)
+    made = []
+    for (side, owner), names in groups.items():
+        facts = sides[side].select(*dict.fromkeys(c for name in names for c in _made_from(name)))
+        # rows with one key lie together, also where it can be taken apart in several ways: by what comes before the first separator
+        place = F.substring_index(F.concat(F.coalesce(F.col(owner), F.lit("None")), F.lit(PART_SEPARATOR)), PART_SEPARATOR, 1)
+        if owner not in _MANY_OWNERS:
+            facts = facts.distinct()  # few remain, and common ones are not sent again and again
+        facts = facts.repartition(pieces, place)
+        # copies go before the rows are sorted by key, and the sort is by place first, which tells most of them apart
+        made.append(_rows_of(facts, {name: F.lit(True) for name in names}, place.alias("_place")).distinct()
+                    .dropDuplicates(["_place", "table", "key"]).drop("_place"))
+    return _loaded(reduce(DataFrame.unionByName, made), load_dt, load_src)
+
+
 def vault_table(rows: DataFrame, name: str, plain: bool = False) -> DataFrame:
-    """One table out of the typed rows, with its own columns; ``plain`` leaves the keys of hubs unhashed, for joins."""
+    """One table out of the typed rows, with its own columns; ``plain`` leaves the keys of hubs and satellites unhashed, for joins."""
     hubs = () if plain else {pk for _, kind, pk, *_ in VAULT_TABLES.values() if kind == "hub"}
 
     def typed(column: str, place: str) -> Column:
@@ -180,7 +234,7 @@ def vault_table(rows: DataFrame, name: str, plain: bool = False) -> DataFrame:
         return value.alias(column)
 
     own = key_of(name)
-    key = (F.col("key") if plain and VAULT_TABLES[name][1] == "hub" else uuid5(F.col("key"))).alias(own)
+    key = (F.col("key") if plain and VAULT_TABLES[name][1] != "link" else uuid5(F.col("key"))).alias(own)
     held, stamp = [typed(c, place) for c, place in zip(_held(name), _PLACES)], ["load_dt", "load_src"]
     ordered = [*held, *stamp, key] if VAULT_TABLES[name][1] == "satellite" else [key, *held, *stamp]
     return rows.filter(F.col("table") == name).select(*ordered)
@@ -190,12 +244,16 @@ def order_lines(vault: dict[str, DataFrame], plain: bool = False) -> DataFrame:
     """Order lines read back from the vault, with the latest status of each order.
 
     What describes orders and what describes products is joined first, each by itself, so the lines move twice only.
-    With ``plain`` the tables have unhashed hub keys; the lines get theirs hashed at the end.
+    With ``plain`` the tables have unhashed keys of hubs and satellites; the lines get theirs hashed at the end.
     """
-    latest = vault["s_order_status"].groupBy("h_order_pk").agg(
-        F.max_by("status", F.struct("load_dt", "hk_order_status_hashdiff")).alias("status"))
-    names = vault["s_product_names"].groupBy("h_product_pk").agg(
-        F.max_by("productname", F.struct("load_dt", "hk_product_names_hashdiff")).alias("productname"))
+    key = uuid5 if plain else (lambda column: column)
+
+    def newest(table: DataFrame, pk: str, value: str, hashdiff: str) -> DataFrame:  # dealt out before the hash is there, which is long
+        dealt = table.repartition(pk) if plain else table
+        return dealt.groupBy(pk).agg(F.max_by(value, F.struct("load_dt", key(F.col(hashdiff)))).alias(value))
+
+    latest = newest(vault["s_order_status"], "h_order_pk", "status", "hk_order_status_hashdiff")
+    names = newest(vault["s_product_names"], "h_product_pk", "productname", "hk_product_names_hashdiff")
 
     def by_order(left: DataFrame, right: DataFrame) -> DataFrame:  # the hash of a missing order id is a key like any other
         right = right.withColumnRenamed("h_order_pk", "_order")
@@ -206,7 +264,6 @@ def order_lines(vault: dict[str, DataFrame], plain: bool = False) -> DataFrame:
                 .join(vault["h_category"].select("h_category_pk", "category_name"), "h_category_pk")
                 .join(vault["h_product"].select("h_product_pk"), "h_product_pk").join(names, "h_product_pk"))
     lines = by_order(vault["l_order_product"].select("h_order_pk", "h_product_pk"), orders).join(products, "h_product_pk")
-    key = uuid5 if plain else (lambda column: column)
     return lines.select(key(F.col("h_order_pk")).alias("h_order_pk"), key(F.col("h_user_pk")).alias("h_user_pk"),
                         key(F.col("h_product_pk")).alias("h_product_pk"), "productname",
                         key(F.col("h_category_pk")).alias("h_category_pk"), "category_name", "status")

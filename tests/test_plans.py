@@ -3,6 +3,7 @@ import json
 import re
 import uuid
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from conftest import rows
@@ -10,14 +11,14 @@ from pyspark.sql import functions as F
 
 from martloom.catalog import QUERIES
 from martloom.functions.numeric import plain_number
-from martloom.operators.vault import VAULT_TABLES, append_unseen, message_lines, order_lines, order_vault, vault_rows, vault_table
+from martloom.operators.vault import VAULT_TABLES, append_unseen, distinct_vault_rows, message_lines, order_lines, order_vault, vault_rows, vault_table
 from martloom.plans import couriers, customers, geography, groups, money, shipping
 from martloom.schemas import ORDER_LINE_MESSAGE, ORDER_MESSAGE
 from martloom.sources.queue import as_messages
 from martloom.streaming import jobs, runs, state
 
 T = dt.datetime
-BASE = "/root/testdata/sf0.01"
+BASE, SMALL = "/root/testdata/sf0.01", "/root/testdata/sf0.001"
 
 
 def test_rfm_keeps_users_without_orders(frame):
@@ -196,6 +197,32 @@ def test_vault_rows_move_with_short_keys(frame):
     assert rows(order_lines(plain, plain=True)) == rows(order_lines(hashed)) != []
 
 
+def test_distinct_vault_rows_are_the_rows_once(frame):
+    """Also where a key has no owner, or can be taken apart in two ways; each business key is shuffled once for a side."""
+    twins = [json.loads(order_message(*given)) for given in
+             [("x#$", "2024-01-01T10:00:00", "OPEN", [("y", "a", "k"), ("y", "b", "k"), ("y", "a", "k")]), ("x", "2024-01-01T10:00:00", "OPEN", [("$#$#y", "a", "k")]),
+              ("None", "2024-01-03T00:00:00", "OPEN", [("p", None, None)]), (None, "2024-01-03T00:00:00", "OPEN", [("p", None, None)]), ("8", "2024-01-03T00:00:00", "OPEN", [])]]
+    twins[2]["payload"]["user"]["id"] = None
+    messages = messages_frame(frame, *[json.dumps(t) for t in [*twins, *twins]], "{}")
+    moment = F.lit("2024-01-02").cast("timestamp")
+    made, once = distinct_vault_rows(messages, 7, moment), vault_rows(messages, moment).dropDuplicates(["table", "key"])
+    assert made.schema.simpleString() == once.schema.simpleString() and rows(made, "table", "key") == rows(once, "table", "key")
+    assert set(rows(made)) <= set(rows(vault_rows(messages, moment)))
+    dealt = re.findall(r"hashpartitioning\(.*, 7\)", made._jdf.queryExecution().executedPlan().toString())
+    assert len(set(dealt)) == 6  # orders, users, restaurants; orders, products, categories of lines
+
+
+def test_order_lines_leave_no_shuffle_files(spark):
+    """What the messages and the vault were made from is gone when they are read: no shuffle files are left behind."""
+    def shuffled():
+        dirs = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+        return {f for d in dirs for f in Path(d).glob("*/shuffle_*.data")}
+    before = shuffled()
+    QUERIES["v04_order_lines"](spark, SMALL)
+    assert shuffled() <= before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def test_campaigns_running_at_a_moment(frame):
     def campaign(i, start, end):
         return (i, T.fromisoformat(start), T.fromisoformat(end))
