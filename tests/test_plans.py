@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from martloom.catalog import QUERIES
 from martloom.functions.numeric import plain_number
+from martloom.operators import vault as vaults
 from martloom.operators.vault import VAULT_TABLES, append_unseen, distinct_vault_rows, message_lines, order_lines, order_vault, vault_rows, vault_table
 from martloom.plans import couriers, customers, geography, groups, money, shipping
 from martloom.schemas import ORDER_LINE_MESSAGE, ORDER_MESSAGE
@@ -212,6 +213,22 @@ def test_distinct_vault_rows_are_the_rows_once(frame):
     assert len(set(dealt)) == 6  # orders, users, restaurants; orders, products, categories of lines
 
 
+def test_rows_on_their_way_to_the_state_are_short(spark, frame, tmp_path):
+    """Values that a key spells out do not travel beside it, nor the stamp; all come back, whatever the parts of a key hold."""
+    odd = json.loads(order_message("8#$#", "2024-01-03T00:00:00", "#$", [("p1", None, ""), ("", "None", "x#")]))
+    odd["payload"]["user"]["id"] = None
+    messages = messages_frame(frame, json.dumps(odd), order_message("7", "2024-01-01T10:00:00", "OPEN", [("p1", "Борщ", "Супы")]))
+    whole = vault_rows(messages, F.lit("2024-01-02").cast("timestamp"))
+    short = vaults._short(whole)
+    assert rows(vaults._long(short)) == rows(whole.drop("load_dt", "load_src"))
+    held = {r["table"]: r for r in short.collect() if r["key"].startswith("7")}
+    assert held["l_order_product"][2:] == (True, None, None, None) and held["h_order"]["second"] is not None
+    frame([(order_message("7", "2024-01-01T10:00:00", "OPEN", [("p1", "a", "b")]),)], "value string").write.parquet(str(tmp_path / "topic"))
+    stream = jobs.vault_stream(spark.readStream.schema("value string").parquet(str(tmp_path / "topic")))
+    kept = stream._jdf.queryExecution().analyzed().toString().split("Deduplicate")
+    assert "load_src" in kept[0] and "spelt" in kept[1] and "load_src" not in kept[1]
+
+
 def test_order_lines_leave_no_shuffle_files(spark):
     """What the messages and the vault were made from is gone when they are read: no shuffle files are left behind."""
     def shuffled():
