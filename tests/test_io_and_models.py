@@ -213,6 +213,30 @@ def test_cells_are_visited_in_groups(spark):
     assert len(sent) == len({(r["id"], r["part"]) for r in sent}) <= 2 * 3 and sum(len(r["cells"]) for r in sent) == 2 * 29
 
 
+@pytest.mark.parametrize("scale", [1.0, 1e-25, 3e18])
+def test_cells_are_exact_at_any_scale(spark, scale):
+    """Products in single precision only sift: copies, ties and a repeated id come out as they do block by block."""
+    import numpy as np
+
+    spots = np.random.default_rng(5).normal(size=(40, 6)) * scale
+    data = [(i % 310, [float(x) for x in spots[i % 40] * (1 + (i % 3) * 1e-9)], i % 4) for i in range(320)]
+    df = spark.createDataFrame(data, "id long, vector array<double>, label long")
+    columns = ["query_id", "neighbour_id", "distance", "label"]
+    expected = rows(neighbours.nearest(df.select("id", "vector").limit(300), df, 3), *columns)
+    assert len(expected) == 900
+    assert rows(neighbours.nearest_by_cells(df.select("id", "vector").limit(300), df, 3, 20, 10, 50)[0], *columns) == expected
+
+
+def test_a_task_gives_back_only_what_may_count():
+    """Rows beyond the distance a query has reached elsewhere are not sent on; before, every task gave back ``k`` rows."""
+    import pyarrow as pa
+
+    queries = pa.table({"id": [1, 2], "vector": [[0.0], [10.0]], "cells": [[0, 1], [1]], "reach": pa.array([2.0, None], pa.float64())})
+    train = pa.table({"neighbour_id": [1, 3, 4, 5, 6], "point": [[0.0], [2.0], [2.5], [9.0], [50.0]], "label": [0, 1, None, 0, 0], "cell": pa.array([0, 0, 0, 1, 1], pa.int32())})
+    found = neighbours.best_in_cells(queries, train, 2, 2).to_pylist()
+    assert [(r["query_id"], r["neighbour_id"], r["distance"], r["label"]) for r in found] == [(1, 3, 2.0, 1), (2, 5, 1.0, 0), (2, 6, 40.0, 0)]
+
+
 def test_cells_without_training_rows(spark):
     none = spark.createDataFrame([], "id long, vector array<double>, label int")
     found, work = neighbours.nearest_by_cells(none.select("id", "vector"), none, 5)
